@@ -10,7 +10,7 @@ from hexwatch.operators.clean import in_box
 from hexwatch.settings import RAW_KEY, TEXT_WIDTHS
 from hexwatch.sources.bronze import ROW_POS, SOURCE_FILE
 
-ROWS = F.lit(1)
+ROWS = "*"
 
 
 def counts_by_cell_hour(gold: DataFrame) -> DataFrame:

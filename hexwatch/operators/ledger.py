@@ -6,6 +6,7 @@ rules per field follow from which events touch that field.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,7 +102,13 @@ def append_events(events: DataFrame, path: str) -> None:
 
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(EVENT_SCHEMA).parquet(path)
+    """The event table, empty before the first append."""
+    try:
+        return spark.read.schema(EVENT_SCHEMA).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], EVENT_SCHEMA)
 
 
 def last_ingested(ledger: DataFrame, n: int = 5) -> DataFrame:

@@ -18,7 +18,7 @@ from hexwatch.settings import (
 )
 from hexwatch.sources.bronze import ROW_POS, SOURCE_FILE
 
-ROWS = F.lit(1)
+ROWS = "*"
 
 
 def _check(name: str, passed: Column, value: Column, level: str = "error") -> Column:
