@@ -247,7 +247,7 @@ from (
   where seq >= first_seq group by file_name)"""
 LEDGER_CTES = {"ledger_events": LEDGER_EVENTS, "ledger": LEDGER}
 FILES_CTE = f"""
-select 'dir/' || source_file || '/' || user_id as path, source_file as file_name, cast(count(*) as bigint) as bytes,
+select user_id, 'dir/' || source_file || '/' || user_id as path, source_file as file_name, cast(count(*) as bigint) as bytes,
        max(ts) as modified_at, {DATASET} as dataset_type
 from (select *, {FILE_CASE} as source_file from events) group by user_id, source_file"""
 MODEL_WRITES = """
@@ -424,10 +424,10 @@ def oracles() -> dict[str, str]:
         select source_file, dataset_type, name, name is not null as is_known, count(*) as row_count
         from cleaned left join {registry} on dataset_type = dataset_key group by all""")
     o["j2_unseen_files"] = sql({"files": FILES_CTE, **LEDGER_CTES}, """
-        select path from (select *, 'file_' || bytes || '.csv' as fname from files)
+        select path from (select *, 'file_' || (user_id * 2) || '.csv' as fname from files)
         where fname not in (select file_name from ledger)""")
     o["j2_unseen_or_failed"] = sql({"files": FILES_CTE, **LEDGER_CTES}, """
-        select path from (select *, 'file_' || bytes || '.csv' as fname from files)
+        select path from (select *, 'file_' || (user_id * 2) || '.csv' as fname from files)
         where fname not in (select file_name from ledger where status = 'completed')""")
     o["j3_drop_loaded"] = on_gold("select " + GOLD_FLAT + " from gold where source_file not like 'police%'")
     o["j4_backfill_dataset_type"] = on_gold("""

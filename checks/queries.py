@@ -174,8 +174,10 @@ def s1_scan_bronze(spark, sf):
     rows = raw(spark, sf).withColumn("NEIGHBOURHOOD_158", F.replace("NEIGHBOURHOOD_158", F.lit("O"), F.lit("Ö")))
     rows = rows.withColumnRenamed(ROW_POS, "pos").drop("source_file")
     for encoding, part in (("UTF-8", F.col("pos") % 2 == 0), ("ISO-8859-1", F.col("pos") % 2 == 1)):
-        rows.where(part).write.option("header", "true").option("encoding", encoding).option("escape", '"').csv(
-            f"{out}/{encoding}"
+        (
+            rows.where(part).write.option("header", "true").option("encoding", encoding).option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
+            .csv(f"{out}/{encoding}")
         )
     frames = bronze.scan_bronze(spark, out)
     both = bronze.union_layouts(frames).withColumn("pos", F.col("pos").cast("bigint"))
@@ -367,19 +369,21 @@ def j1_registry_join(spark, sf):
     )
 
 
-def _named_by_size(files: DataFrame) -> DataFrame:
-    return files.withColumn("file_name", F.concat(F.lit("file_"), F.col("bytes").cast("string"), F.lit(".csv")))
+def _renamed(files: DataFrame) -> DataFrame:
+    """About half of the names are in the ledger."""
+    user = F.element_at(F.split("path", "/"), -1).cast("bigint")
+    return files.withColumn("file_name", F.concat(F.lit("file_"), (user * 2).cast("string"), F.lit(".csv")))
 
 
 @query
 def j2_unseen_files(spark, sf):
-    files = _named_by_size(arrived_files(spark, sf))
+    files = _renamed(arrived_files(spark, sf))
     return joins.unseen_files(files, ledger_now(spark, sf)).select("path")
 
 
 @query
 def j2_unseen_or_failed(spark, sf):
-    files = _named_by_size(arrived_files(spark, sf))
+    files = _renamed(arrived_files(spark, sf))
     return joins.unseen_files(files, ledger_now(spark, sf), retry_failed=True).select("path")
 
 

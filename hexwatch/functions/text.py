@@ -48,9 +48,11 @@ def clean_category(c: Column) -> Column:
 
 
 def clean_neighbourhood(c: Column) -> Column:
-    """drop a leading number and a trailing `(number)`."""
-    text = F.regexp_replace(strip(c), r"^\d+\s*", "")
-    return blank_to_null(F.regexp_replace(text, r"\s*\(\d+\)$", ""))
+    """drop a leading number and a trailing `(number)`. Trimming does the first: the text is stripped already, so
+    white space in front can only be what followed the number."""
+    text = F.ltrim(F.ltrim(strip(c), F.lit("0123456789")), F.lit(WHITESPACE))
+    numbered = text.endswith(")")
+    return blank_to_null(F.when(numbered, F.regexp_replace(text, r"\s*\(\d+\)$", "")).otherwise(text))
 
 
 def clean_premise(c: Column) -> Column:

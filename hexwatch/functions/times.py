@@ -6,15 +6,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexwatch.functions.numbers import to_number
-from hexwatch.settings import DATE_FORMATS
+from hexwatch.settings import HALF_DAY_FORMAT, MONTH_FIRST, YEAR_FIRST
 
 
 def parse_date(c: Column, formats: list[str] | None = None) -> Column:
-    """Date text to TIMESTAMP_NTZ. The ISO cast comes first: it needs no formatter and covers current files."""
+    """Date text to TIMESTAMP_NTZ; a text with a zone offset is converted to UTC.
+
+    `2014-01-31`, `2014/1/31` and `1/31/2014`, each with an optional 24-hour time, are brought into ISO order and cast:
+    no formatter runs and nothing is thrown for a text that does not fit. Only 12-hour times, and whatever extra
+    `formats` are given, go through a formatter.
+    """
     text = F.btrim(c)
-    tries = [F.when(text.rlike(r"^\d{4}-\d"), text).try_cast("timestamp_ntz")]
-    tries += [F.try_to_timestamp(text, F.lit(f)).cast("timestamp_ntz") for f in (formats or DATE_FORMATS)]
-    return F.coalesce(*tries)
+    iso = (
+        F.when(text.substr(5, 1) == "-", text)
+        .when(text.substr(5, 1) == "/", F.translate(text, "/", "-"))
+        .otherwise(F.regexp_replace(text, MONTH_FIRST, "$3-$1-$2"))
+    )
+    half_day = F.upper(F.right(text, F.lit(1))) == "M"
+    tries = [
+        F.when(half_day, F.try_to_timestamp(text, F.lit(HALF_DAY_FORMAT)))
+        .when(iso.rlike(YEAR_FIRST), iso.try_cast("timestamp"))
+    ]
+    tries += [F.try_to_timestamp(text, F.lit(f)) for f in formats or []]
+    return F.coalesce(*tries).cast("timestamp_ntz")
 
 
 def clip_hour(c: Column) -> Column:

@@ -61,17 +61,28 @@ def densify(counts: DataFrame, span: str = "cell", start: Column | None = None,
 
 
 def with_lookbacks(counts: DataFrame) -> DataFrame:
-    """W2-W6 over hourly counts, dense or sparse: frames are by hour value, so both give the same sums."""
+    """W2-W6 over hourly counts, dense or sparse: frames are by hour value, so both give the same sums.
+
+    A look-back is the difference of two running totals. Frames that start at the beginning of the partition grow
+    along with it; a sliding frame would be summed anew for every row, up to 720 values each time.
+    """
     by_hour = Window.partitionBy("h3_index").orderBy(HOUR_NO)
 
+    def until(hours_ago: int) -> Column:
+        frame = by_hour.rangeBetween(Window.unboundedPreceding, -hours_ago)
+        return F.coalesce(F.sum("crime_count").over(frame), F.lit(0))
+
+    ends = {h for low, high in [*LOOKBACKS.values(), (-MONTH_HOURS, -1)] for h in (-high, 1 - low)}
+    totals = counts.withColumns({f"_until_{h}": until(h) for h in sorted(ends)})
+
     def total(low: int, high: int) -> Column:
-        return F.coalesce(F.sum("crime_count").over(by_hour.rangeBetween(low, high)), F.lit(0))
+        return F.col(f"_until_{-high}") - F.col(f"_until_{1 - low}")
 
     mean = total(-MONTH_HOURS, -1).cast("decimal(20,0)") / F.lit(MONTH_HOURS).cast("decimal(10,0)")
-    return counts.withColumns({
+    return totals.withColumns({
         **{name: total(*frame).cast("int") for name, frame in LOOKBACKS.items()},
         "rolling_avg_30d": mean.cast("decimal(10,4)"),
-    })
+    }).drop(*[f"_until_{h}" for h in ends])
 
 
 def with_calendar(df: DataFrame, holidays: DataFrame | None = None, ts: str = "time_window") -> DataFrame:

@@ -69,17 +69,10 @@ EXTENDED_HEADERS = {
     "occurrence_time": ["occ_hour"],
 }
 
-# Date texts tried in this order after the ISO form.
-DATE_FORMATS = [
-    "yyyy/M/d H:mm:ssx",
-    "yyyy/M/d H:mm:ss",
-    "yyyy/M/d H:mm",
-    "yyyy/M/d",
-    "M/d/yyyy h:mm:ss a",
-    "M/d/yyyy H:mm:ss",
-    "M/d/yyyy H:mm",
-    "M/d/yyyy",
-]
+# Shapes of date texts. Month-first dates are rewritten year-first; 12-hour times need a formatter.
+MONTH_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
+YEAR_FIRST = r"^\d{4}(-\d|$)"
+HALF_DAY_FORMAT = "M/d/yyyy h:mm:ss a"
 
 SILVER_COLUMNS = [
     "occurred_at", "latitude", "longitude", "crime_type",

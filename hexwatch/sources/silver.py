@@ -14,7 +14,8 @@ def write_silver(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ap
     """Parquet partitioned by dataset type, or headered CSV."""
     out = df.select(*SILVER_COLUMNS)
     if fmt == "csv":
-        out.write.mode(mode).option("header", "true").option("escape", '"').csv(path)
+        writer = out.write.mode(mode).option("header", "true").option("escape", '"')
+        writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
     else:
         out.write.mode(mode).partitionBy("dataset_type").format(fmt).save(path)
 
