@@ -68,17 +68,28 @@ def _face_vectors(res: int) -> dict[str, tuple[float, float, float]]:
     }
 
 
-def _nearest(c: Column) -> Column:
-    return F.floor(c + F.lit(0.5)).cast("double")
+def _dot(vector: tuple[float, float, float]) -> str:
+    x, y, z = vector
+    return f"(_px * {x!r}D + _py * {y!r}D + _pz * {z!r}D)"
 
 
-def _digit(remainder: Column, q: int) -> Column:
-    """Digit for the division remainder, shifted to 0..6: seven 3-bit entries packed in one BIGINT."""
+def _climb(q: int) -> list[str]:
+    """Parent of (_a, _b) at resolution q - 1, and the id with the cell's digit under that parent put in.
+
+    The first numerator of the parent division has a different remainder for each of the seven digits; the digits,
+    3 bits each, are looked up in one BIGINT by shifting.
+    """
     row_a, row_b = PARENT_ROW[q % 2]
+    first = f"({row_a}D * _a + {row_b}D * _b)"
+    second = "(_a + 2D * _b)" if q % 2 else "(3D * _b - _a)"
+    parent = f"cast(floor(({first} + 3D) / 7D) as double)"
     packed = sum(d << (3 * (row_a * da + row_b * db + 3)) for d, (da, db) in DIGIT_OFFSET.items())
-    return F.call_function("shiftright", F.lit(packed).cast("bigint"), remainder.cast("int") * F.lit(3)).bitwiseAND(
-        F.lit(7).cast("bigint")
-    )
+    digit = f"(shiftright({packed}L, 3 * cast({first} - {parent} * 7D + 3D as int)) & 7L)"
+    return [
+        f"{parent} as _a",
+        f"cast(floor(({second} + 3D) / 7D) as double) as _b",
+        f"_id | shiftleft({digit}, {3 * (15 - q)}) as _id",
+    ]
 
 
 def with_h3(
@@ -91,64 +102,33 @@ def with_h3(
     """Add the cell id (15 hex digits) of each point; NULL for a missing point or one outside the base cell."""
     if not 1 <= res <= 15:
         raise ValueError(f"resolution must be 1..15, got {res}")
-    keep = [F.col(f"`{c}`") for c in df.columns if c != out]
+    keep = [f"`{c}`" for c in df.columns if c != out]
     vec = _face_vectors(res)
-    phi, lam = F.radians(F.col(lat).cast("double")), F.radians(F.col(lon).cast("double"))
-    step = df.select(
-        *keep,
-        (F.cos(phi) * F.cos(lam)).alias("_px"),
-        (F.cos(phi) * F.sin(lam)).alias("_py"),
-        F.sin(phi).alias("_pz"),
-    )
-
-    def dot(name: str) -> Column:
-        x, y, z = vec[name]
-        return F.col("_px") * F.lit(x) + F.col("_py") * F.lit(y) + F.col("_pz") * F.lit(z)
-
-    depth = dot("depth")
-    on_face = (depth > 0) & (dot("edge1") <= depth) & (dot("edge2") <= depth)
-    step = step.select(
-        *keep,
-        F.when(on_face, dot("a") / depth).alias("_a"),
-        F.when(on_face, dot("b") / depth).alias("_b"),
-    )
-    # Nearest hexagon: round the three cube coordinates a, b and b - a, then rebuild the worst one from the others.
-    a, b, c = F.col("_a"), F.col("_b"), F.col("_c")
-    ra, rb, rc = F.col("_ra"), F.col("_rb"), F.col("_rc")
-    step = step.select(
-        *keep, a, b, (b - a).alias("_c"), _nearest(a).alias("_ra"), _nearest(b).alias("_rb"), _nearest(b - a).alias("_rc")
-    )
-    step = step.select(
-        *keep, ra, rb, rc, F.abs(ra - a).alias("_ea"), F.abs(rb - b).alias("_eb"), F.abs(rc - c).alias("_ec")
-    )
-    worst_a = (F.col("_ea") > F.col("_eb")) & (F.col("_ea") > F.col("_ec"))
-    worst_b = ~worst_a & (F.col("_eb") > F.col("_ec"))
+    phi, lam = f"radians(cast(`{lat}` as double))", f"radians(cast(`{lon}` as double))"
+    depth, a, b = _dot(vec["depth"]), _dot(vec["a"]), _dot(vec["b"])
+    on_face = f"{depth} > 0D and {_dot(vec['edge1'])} <= {depth} and {_dot(vec['edge2'])} <= {depth}"
+    worst_a = "_ea > _eb and _ea > _ec"
     prefix = (1 << 59) | (res << 52) | (BASE_CELL << 45)
     for unused in range(res + 1, 16):
         prefix |= 7 << (3 * (15 - unused))
-    step = step.select(
-        *keep,
-        F.when(worst_a, rb - rc).otherwise(ra).alias("_a"),
-        F.when(worst_b, ra + rc).otherwise(rb).alias("_b"),
-        F.lit(prefix).cast("bigint").alias("_id"),
-    )
-    for q in range(res, 0, -1):
-        if q % 2:
-            up_a, up_b = a * 3.0 - b, a + b * 2.0
-        else:
-            up_a, up_b = a * 2.0 + b, b * 3.0 - a
-        parent_a = F.floor((up_a + 3.0) / 7.0).cast("double")
-        parent_b = F.floor((up_b + 3.0) / 7.0).cast("double")
-        digit = _digit(up_a - parent_a * 7.0 + 3.0, q)
-        step = step.select(
-            *keep,
-            parent_a.alias("_a"),
-            parent_b.alias("_b"),
-            F.col("_id").bitwiseOR(F.call_function("shiftleft", digit, F.lit(3 * (15 - q)))).alias("_id"),
-        )
-    inside = (a == float(BASE_AXIAL[0])) & (b == float(BASE_AXIAL[1]))
-    cell = F.when(inside, F.lower(F.hex(F.col("_id"))))
-    return step.select(*keep, F.inline(F.array(F.struct(cell.alias(out)))))
+    steps = [
+        # Unit vector of the point, then its axial coordinates on the face plane.
+        [f"cos({phi}) * cos({lam}) as _px", f"cos({phi}) * sin({lam}) as _py", f"sin({phi}) as _pz"],
+        [f"case when {on_face} then {a} / {depth} end as _a", f"case when {on_face} then {b} / {depth} end as _b"],
+        # Nearest hexagon: round the three cube coordinates, then rebuild the worst one from the others.
+        ["_a", "_b", "_b - _a as _c", "cast(floor(_a + 0.5D) as double) as _ra",
+         "cast(floor(_b + 0.5D) as double) as _rb", "cast(floor(_b - _a + 0.5D) as double) as _rc"],
+        ["_ra", "_rb", "_rc", "abs(_ra - _a) as _ea", "abs(_rb - _b) as _eb", "abs(_rc - _c) as _ec"],
+        [f"case when {worst_a} then _rb - _rc else _ra end as _a",
+         f"case when not ({worst_a}) and _eb > _ec then _ra + _rc else _rb end as _b", f"{prefix}L as _id"],
+        *[_climb(q) for q in range(res, 0, -1)],
+    ]
+    step = df
+    for columns in steps:
+        step = step.selectExpr(*keep, *columns)
+    inside = f"_a = {BASE_AXIAL[0]}D and _b = {BASE_AXIAL[1]}D"
+    cell = f"inline(array(named_struct('{out}', case when {inside} then lower(hex(_id)) end)))"
+    return step.selectExpr(*keep, cell)
 
 
 def make_point(lon: Column | str, lat: Column | str, srid: int = SRID) -> Column:
