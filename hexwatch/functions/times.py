@@ -18,9 +18,9 @@ def parse_date(c: Column, formats: list[str] | None = None) -> Column:
     """
     text = F.btrim(c)
     iso = (
-        F.when(text.substr(5, 1) == "-", text)
+        F.when((text.substr(2, 1) == "/") | (text.substr(3, 1) == "/"), F.regexp_replace(text, MONTH_FIRST, "$3-$1-$2"))
         .when(text.substr(5, 1) == "/", F.translate(text, "/", "-"))
-        .otherwise(F.regexp_replace(text, MONTH_FIRST, "$3-$1-$2"))
+        .otherwise(text)
     )
     half_day = F.upper(F.right(text, F.lit(1))) == "M"
     tries = [
