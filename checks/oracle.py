@@ -340,13 +340,14 @@ SILVER_CHECKS = " union all ".join(
     f"cast(count(*) filter ({b}) as double) as value from deduped" for n, b in BAD.items()
 )
 PACKAGES = """
-select l_orderkey as package, o_orderstatus <> 'P' as success,
-  list({'id': case when l_linenumber % 2 = 1 then 'res-' || l_orderkey || '-' || l_linenumber else '' end,
-        'format': case l_returnflag when 'A' then 'csv' when 'N' then 'pdf' else 'XLSX' end,
-        'url': case when l_quantity > 25 then 'http://data/' || l_partkey end,
-        'download_url': case when l_quantity <= 10 then 'http://dl/' || l_suppkey else '' end}
-       order by l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag) as rs
-from lineitem join orders on l_orderkey = o_orderkey group by l_orderkey, o_orderstatus"""
+select l_orderkey as package, l_linenumber % 5 <> 0 as success, [
+  {'id': 'doc-' || l_partkey, 'format': 'PDF', 'url': cast(null as varchar), 'download_url': ''},
+  {'id': case when l_linenumber % 2 = 1 then 'res-' || l_orderkey else '' end,
+   'format': case when l_returnflag = 'A' then 'csv' else 'XLSX' end,
+   'url': case when l_quantity > 25 then 'http://data/' || l_partkey end, 'download_url': null},
+  {'id': null, 'format': case when l_linestatus = 'O' then 'CSV' else 'json' end, 'url': null,
+   'download_url': case when l_quantity <= 10 then 'http://dl/' || l_suppkey else '' end}] as rs
+from lineitem"""
 PICKED = """
 select package, case when success then
     coalesce(nullif(c['id'], ''), nullif(c['url'], ''), nullif(c['download_url'], '')) end as resource

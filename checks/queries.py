@@ -144,25 +144,30 @@ def holidays(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def catalog_packages(spark: SparkSession, sf: str) -> DataFrame:
-    """Catalog responses as JSON text, one per order with its line items as resources."""
+    """Catalog responses as JSON text, one per line item, each with three resources."""
     items = table(spark, sf, "lineitem")
-    text_of = lambda c: F.col(c).cast("string")
-    resource = F.struct(
-        F.when(F.col("l_linenumber") % 2 == 1, F.concat(F.lit("res-"), text_of("l_orderkey"), F.lit("-"), text_of("l_linenumber")))
-        .otherwise("").alias("id"),
-        F.when(F.col("l_returnflag") == "A", "csv").when(F.col("l_returnflag") == "N", "pdf").otherwise("XLSX").alias("format"),
-        F.when(F.col("l_quantity") > 25, F.concat(F.lit("http://data/"), text_of("l_partkey"))).alias("url"),
-        F.when(F.col("l_quantity") <= 10, F.concat(F.lit("http://dl/"), text_of("l_suppkey"))).otherwise("").alias("download_url"),
-    )
-    order = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_returnflag", resource.alias("r"))
-    packages = items.groupBy("l_orderkey").agg(F.array_sort(F.collect_list(order)).alias("rs"))
-    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    body = F.struct(
-        (F.col("o_orderstatus") != "P").alias("success"),
-        F.struct(F.transform("rs", lambda x: x["r"]).alias("resources")).alias("result"),
+
+    def named(prefix: str, col: str):
+        return F.concat(F.lit(prefix), F.col(col).cast("string"))
+
+    def resource(id_, format_, url, download_url):
+        return F.struct(id_.alias("id"), format_.alias("format"), url.alias("url"), download_url.alias("download_url"))
+
+    none = F.lit(None).cast("string")
+    resources = F.array(
+        resource(named("doc-", "l_partkey"), F.lit("PDF"), none, F.lit("")),
+        resource(
+            F.when(F.col("l_linenumber") % 2 == 1, named("res-", "l_orderkey")).otherwise(""),
+            F.when(F.col("l_returnflag") == "A", "csv").otherwise("XLSX"),
+            F.when(F.col("l_quantity") > 25, named("http://data/", "l_partkey")), none,
+        ),
+        resource(
+            none, F.when(F.col("l_linestatus") == "O", "CSV").otherwise("json"), none,
+            F.when(F.col("l_quantity") <= 10, named("http://dl/", "l_suppkey")).otherwise(""),
+        ),
     )
-    joined = packages.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    return joined.select(F.col("l_orderkey").alias("package"), F.to_json(body).alias("response"))
+    body = F.struct((F.col("l_linenumber") % 5 != 0).alias("success"), F.struct(resources.alias("resources")).alias("result"))
+    return items.select(F.col("l_orderkey").alias("package"), F.to_json(body).alias("response"))
 
 
 # 2.1 sources and sinks

@@ -41,8 +41,9 @@ def densify(counts: DataFrame, span: str = "cell", start: Column | None = None,
     to join nor a cross product of cells and hours.
     """
     if span == "table":
-        start = counts.agg(F.min(HOUR_NO)).scalar() if start is None else start
-        end = counts.agg(F.max(HOUR_NO)).scalar() if end is None else end
+        period = counts.agg(F.struct(F.min(HOUR_NO).alias("first"), F.max(HOUR_NO).alias("last"))).scalar()
+        start = period["first"] if start is None else start
+        end = period["last"] if end is None else end
     elif span != "cell":
         raise ValueError(f"span must be cell or table, is {span!r}")
     by_hour = Window.partitionBy("h3_index").orderBy(HOUR_NO)
