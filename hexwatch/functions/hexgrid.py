@@ -36,6 +36,8 @@ BASE_AXIAL = (-1, -1)
 
 # Axial offset of the child that each digit names.
 DIGIT_OFFSET = {0: (0, 0), 1: (-1, -1), 2: (0, 1), 3: (-1, 0), 4: (1, 0), 5: (0, -1), 6: (1, 1)}
+# Names of the columns that carry the computation from step to step.
+SCRATCH = {"_px", "_py", "_pz", "_a", "_b", "_c", "_ra", "_rb", "_rc", "_ea", "_eb", "_ec", "_id"}
 # First row of the parent division (numerators over 7) at odd and at even resolutions.
 PARENT_ROW = {1: (3, -1), 0: (2, 1)}
 
@@ -102,6 +104,9 @@ def with_h3(
     """Add the cell id (15 hex digits) of each point; NULL for a missing point or one outside the base cell."""
     if not 1 <= res <= 15:
         raise ValueError(f"resolution must be 1..15, got {res}")
+    taken = sorted(SCRATCH & {c.lower() for c in df.columns})
+    if taken:
+        raise ValueError(f"column names used inside the cell computation: {taken}")
     keep = [f"`{c}`" for c in df.columns if c != out]
     vec = _face_vectors(res)
     phi, lam = f"radians(cast(`{lat}` as double))", f"radians(cast(`{lon}` as double))"

@@ -41,6 +41,15 @@ def test_scan_groups_by_layout_and_encoding(spark, landing):
     assert table.where(f"source_file = '{C}'").select("Lat").first()[0] == "43.7"
 
 
+def test_listing_opens_no_file_and_the_manifest_is_a_hash_aggregate(spark, landing):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "content" not in plan(bronze.list_files(spark, str(landing))).split("ReadSchema")[1]
+    manifest = plan(bronze.file_manifest(spark, str(landing)))
+    assert manifest.count("HashAggregate") == 2 and "SortAggregate" not in manifest and "ObjectHash" not in manifest
+
+
 def test_whole_pipeline(spark, landing):
     gold = incident.pipeline(spark, str(landing))
     got = sorted((r.source_file, r.crime_type, r.occurred_at, r.dataset_type, r.neighbourhood) for r in gold.collect())
