@@ -152,10 +152,9 @@ COUNT_CTES = {
 }
 
 
-def sql(ctes: dict[str, str], select: str, *names: str) -> str:
-    """`with` clause of the given CTEs (or only the named ones) before a select."""
-    chosen = {k: v for k, v in ctes.items() if not names or k in names}
-    body = ",\n".join(f"{k} as ({v})" for k, v in chosen.items())
+def sql(ctes: dict[str, str], select: str) -> str:
+    """A select behind the `with` clause of the given CTEs."""
+    body = ",\n".join(f"{k} as ({v})" for k, v in ctes.items())
     return f"with recursive {body}\n{select}"
 
 
@@ -209,7 +208,6 @@ DENSE_TABLE = """
   from (select h3_index, unnest(range((select min(hour_no) from counts), (select max(hour_no) from counts) + 1)) as hour_no
         from (select distinct h3_index from counts))
   left join counts using (h3_index, hour_no)"""
-LOOKED = "select *, make_timestamp(hour_no * 3600000000) as time_window, {look} from {table} window w as (partition by h3_index order by hour_no)"
 
 
 def features(table: str) -> str:
@@ -436,7 +434,7 @@ def oracles() -> dict[str, str]:
           as dataset_type, count(*) as row_count from gold group by all""")
     o["j5_densify_cell"] = on_counts("select h3_index, hour_no, crime_count from (" + DENSE_CELL + ")")
     o["j5_densify_table"] = on_counts("select h3_index, hour_no, crime_count from (" + DENSE_TABLE + ")")
-    o["j6_score_requests"] = sql({**COUNT_CTES, **{f"r_{k}": v for k, v in {}.items()}}, f"""
+    o["j6_score_requests"] = on_counts(f"""
         select pos, c.h3_index, c.time_window, round(s.crimes_last_24h / (1.0 + s.crimes_last_24h), 6) as risk
         from (select pos, h3_index, date_trunc('hour', occurred_at + interval 1 hour) as time_window from gold) c
         left join (select h3_index, make_timestamp(hour_no * 3600000000) as time_window, {LOOK} from counts
@@ -521,7 +519,7 @@ def oracles() -> dict[str, str]:
         select pos, round(latitude / 3, 8) as lat, round(longitude / 3, 8) as lon from cleaned""")
     o["f10_truncation"] = """
         select event_id, date_trunc('hour', ts) as hour_start, cast(date_trunc('day', ts) as timestamp) as day_start from events"""
-    cal = f"(select event_id, ts as time_window from events)"
+    cal = "(select event_id, ts as time_window from events)"
     for name, col in (
         ("f11_hour_of_day", "hour_of_day"), ("f12_day_of_week", "day_of_week"), ("f13_is_weekend", "is_weekend"),
         ("f14_is_night", "is_night"), ("f16_month", "month"),

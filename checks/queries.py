@@ -12,7 +12,7 @@ from hexwatch.operators import aggregates, clean, columns, features, joins, ledg
 from hexwatch.plans import incident, testview
 from hexwatch.plans.testview import raw_incidents, table
 from hexwatch.session import shared_dir
-from hexwatch.settings import DATASETS, RAW_KEY, SILVER_COLUMNS, Box
+from hexwatch.settings import RAW_KEY, SILVER_COLUMNS, Box
 from hexwatch.sources import bronze, registry
 from hexwatch.sources import gold as gold_io
 from hexwatch.sources import silver as silver_io
@@ -25,7 +25,6 @@ QUERIES: dict[str, Query] = {}
 
 MCI = "major-crime-indicators"
 SHOOTINGS = "shootings-firearm-discharges"
-TEXT = [c for c in SILVER_COLUMNS if c != ROW_POS]
 
 
 def query(fn: Query) -> Query:

@@ -11,13 +11,17 @@ from hexwatch.settings import SILVER_COLUMNS, SILVER_REQUIRED, SILVER_SCHEMA
 
 
 def write_silver(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "append") -> None:
-    """Parquet partitioned by dataset type, or headered CSV."""
+    """Parquet partitioned by dataset type, or headered CSV.
+
+    After the deduplication every task holds rows of every dataset; the rebalance keeps each from writing a sliver of
+    each partition, and lets adaptive execution split a dataset that is much larger than the others.
+    """
     out = df.select(*SILVER_COLUMNS)
     if fmt == "csv":
         writer = out.write.mode(mode).option("header", "true").option("escape", '"')
         writer.option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
     else:
-        out.write.mode(mode).partitionBy("dataset_type").format(fmt).save(path)
+        out.hint("rebalance", "dataset_type").write.mode(mode).partitionBy("dataset_type").format(fmt).save(path)
 
 
 def scan_silver(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
