@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexwatch.llm import language, packing, quality, secrets
+from hexwatch.llm import language, neardup, packing, quality, secrets
 from hexwatch.llm.common import column, fresh, held_out, stored
 from hexwatch.llm.queries import tokenizer_path
 
@@ -29,6 +29,11 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.filtered(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near duplicates, the one with the least id."""
+    return neardup.one_of_each(docs)
+
+
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced in their texts."""
     return secrets.redacted(docs)
@@ -42,6 +47,7 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 STAGES = [
     ("language_id", language_id),
     ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
     ("secret_scan", secret_scan),
     ("best_fit_packing", best_fit_packing),
 ]

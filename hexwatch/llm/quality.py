@@ -34,7 +34,7 @@ FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 RATIOS = {
     "symbol_ratio": ("n_symbols / n_words", 0.10),
     "dup_line_ratio": ("n_dup_lines / n_words", 0.05),
-    "repeat_ratio": ("n_repeat_words / n_words", 0.10),
+    "repeat_ratio": ("n_repeat_words / n_words", 0.30),
     "word_length": ("word_chars / n_words", 12.0),
 }
 

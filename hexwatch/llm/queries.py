@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexwatch.llm import language, packing, quality, secrets
+from hexwatch.llm import language, neardup, packing, quality, secrets
 from hexwatch.llm.common import held_out, stored, table
 
 
@@ -36,10 +36,15 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op10_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.class_of_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op3_language_bloom": op3_language_bloom,
     "op4_quality_rules": op4_quality_rules,
     "op7_secret_scan": op7_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_weighted_minhash": op10_weighted_minhash,
 }
 ORACLES: dict[str, str] = {}
