@@ -1,7 +1,8 @@
 """Near duplicates by improved consistent weighted sampling over TF-IDF shingles (operator 10).
 
 Equal texts are one text from the start. A text is a weighted set of five-word shingles (of all its words, if it has fewer):
-weight (1 + ln tf) * (1 + s * ln(N / df) / ln N) over all N distinct texts. Steps:
+weight (1 + ln tf) * (1 + s * ln(N / max(df, 8)) / ln N) over all N distinct texts; a small s keeps copies in
+large groups together, whose shingles have a high df. Steps:
 
 1. Shingle hashes are dealt by hash range as sorted, delta-coded arrays; each range counts its document frequencies. Only
    shingles of two texts or more go back to their texts; the others cannot be shared, so a text needs only their sum.
@@ -40,7 +41,9 @@ from hexwatch.llm.common import SpanHash, blocks, column, fresh, mix, spans_in,
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 20, 4
-IDF_STRENGTH = 0.25
+IDF_STRENGTH = 0.1
+#: Shingles of up to so many texts are equally rare: in small groups the similarity is that of the plain sets.
+RARE = 8
 ROUNDS = 4
 BUCKET_BYTES = 16 << 20
 BLOCK = 4 << 20
@@ -104,7 +107,7 @@ def tf_weight(tf: np.ndarray) -> np.ndarray:
 
 
 def idf_weight(df: np.ndarray | float, n_texts: int, strength: float) -> np.ndarray:
-    return 1.0 + strength * np.log(n_texts / np.asarray(df, np.float64)) / math.log(max(n_texts, 2))
+    return 1.0 + strength * np.log(np.maximum(1.0, n_texts / np.maximum(np.asarray(df, np.float64), RARE))) / math.log(max(n_texts, 2))
 
 
 def dealt(texts: DataFrame, buckets: int, bits: int) -> DataFrame:
