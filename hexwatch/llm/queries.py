@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexwatch.llm import language, neardup, packing, quality, secrets
+from hexwatch.llm import language, neardup, packing, quality, secrets, toxicity, urls
 from hexwatch.llm.common import held_out, stored, table
 
 
@@ -15,6 +15,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_toxicity_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chosen = toxicity.sampled(table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic"))
+    labelled = docs.join(F.broadcast(chosen), "doc_id")  # bounded by the sample's two limits
+    found = toxicity.score(docs, toxicity.fit(labelled))
+    return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+
+
 def op3_language_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     filters = language.learn(docs.where(~held_out()).select("text", "lang"))
@@ -36,15 +44,22 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judged(pages, urls.fit(urls.labelled_urls(spark))).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 def op10_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.class_of_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES = {
+    "op2_toxicity_counterfactual": op2_toxicity_counterfactual,
     "op3_language_bloom": op3_language_bloom,
     "op4_quality_rules": op4_quality_rules,
     "op7_secret_scan": op7_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_url_filter": op9_url_filter,
     "op10_weighted_minhash": op10_weighted_minhash,
 }
 ORACLES: dict[str, str] = {}

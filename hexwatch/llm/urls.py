@@ -1,0 +1,129 @@
+"""URL filters: rules, and a logistic regression on hashed character n-grams of host and path (operator 9).
+
+The most specific rule whose host is the url's host or a parent domain of it, and whose path begins the url's path, decides.
+Where none fits, a logistic regression decides that is fitted on a small table of labelled urls. Host and path n-grams
+are marked, so that the same letters mean different things in either.
+
+Defined results: a null url, or one without `://`, has an empty host and path, fits no rule, and is judged by the model's
+intercept; repeated rows get equal results; an empty table yields no rows; columns of the input named like results are replaced.
+"""
+
+from __future__ import annotations
+
+from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
+from pyspark.ml.feature import HashingTF
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hexwatch.llm.common import column
+
+SLOTS = 1 << 14
+GRAM_SIZES = (3, 4, 5)
+#: Rules are compiled into one expression; longer lists belong in a join.
+MAX_RULES = 1000
+
+#: Fixed values: (verdict, rule) of the query.
+RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"), ("allow", "com/fr/"), ("block", "com/de/")]
+
+#: The labelled table: each name with each frame below makes one labelled url.
+BLOCKED_NAMES = (
+    "casino-win mega-casino online-casino poker-room slots-bonus free-bets best-bets sports-betting jackpot-city lucky-spins "
+    "cheap-pills discount-pills pharma-shop viagra-store cialis-online weight-loss-pills miracle-diet spam-farm link-farm "
+    "seo-spam backlink-farm ads-track ad-server adclick-track popup-ads click-tracker banner-ads free-porn xxx-videos adult-cams "
+    "sex-dating hot-singles warez-world crack-keys keygen-download free-torrents pirate-movies payday-loans quick-cash "
+    "easy-money get-rich-fast forex-signals crypto-doubler replica-watches fake-bags phish-login malware-drop"
+).split()
+ALLOWED_NAMES = (
+    "library university museum cityhall newsroom gazette weather gardening recipes cooking travel railways atlas history "
+    "science physics biology medicine hospital clinic school college teachers students research journal archive books "
+    "poetry music theatre cinema photography painting football cycling hiking climate energy forestry farming village "
+    "harbour engineering software python linux database council parliament justice"
+).split()
+#: Neutral invented names: pairs of the most frequent English letter pairs.
+PAIRS = "th he in er an re on at en nd ti es or te of ed is it al ar st to nt ng se ha as ou io le".split()
+ALLOWED_NAMES += [a + b + PAIRS[(i + k) % len(PAIRS)] for k in (1, 7, 13, 19) for i, (a, b) in enumerate(zip(PAIRS, PAIRS[k:] + PAIRS[:k]))]
+FRAMES = (
+    "https://www.{name}.example.com/en/{n}", "http://{name}.example.net/fr/{n}.html", "https://blog.{name}.example.org/de/{n}/",
+    "http://m.{name}.example.com/es/{n}?page=2&ref=x",
+)
+BLOCKED_PATHS = "casino bets poker pills viagra porn xxx adclick track warez keygen payday".split()
+
+
+def labelled_urls(spark: SparkSession) -> DataFrame:
+    """A small table of (url, blocked) by the rule above."""
+    rows = []
+    for blocked, names in ((1, BLOCKED_NAMES), (0, ALLOWED_NAMES)):
+        for k, name in enumerate(names):
+            rows += [(frame.format(name=name, n=17 * k + 31 * i), blocked) for i, frame in enumerate(FRAMES)]
+    for k, name in enumerate(BLOCKED_PATHS):
+        other = ALLOWED_NAMES[k]
+        rows += [(f"https://{other}.example.net/{name}/{k}", 1), (f"https://{other}.example.net/page/{k}", 0)]
+    return spark.createDataFrame(rows, "url string, blocked int")
+
+
+def lower_ascii(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def host_path(url: Column) -> tuple[Column, Column]:
+    """Host: after the first `://` up to `/`, `?`, `#` or the end, A-Z in lower case. Path: then up to `?`, `#` or the end."""
+    parts = r"(?s)^.*?://([^/?#]*)([^?#]*)"
+    u = F.coalesce(url, F.lit(""))
+    return lower_ascii(F.regexp_extract(u, parts, 1)), F.regexp_extract(u, parts, 2)
+
+
+def rule_of(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
+    """The longest fitting rule and its verdict, or nulls; of rules of equal length the first listed."""
+    if len(rules) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
+    rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for kind, text in sorted(reversed(rules), key=lambda r: len(r[1])):
+        name, slash, rest = text.partition("/")
+        fits = ((host == name) | host.endswith(f".{name}")) & path.startswith(slash + rest)
+        rule, verdict = F.when(fits, F.lit(text)).otherwise(rule), F.when(fits, F.lit(kind)).otherwise(verdict)
+    return rule, verdict
+
+
+def grams(host: Column, path: Column) -> Column:
+    """Character n-grams of `h:` + host and `p:` + path, each kind with its mark."""
+    def of(mark: str, text: Column) -> Column:
+        framed = F.concat(F.lit("^"), text, F.lit("$"))
+        sizes = [
+            F.transform(F.sequence(F.lit(1), F.greatest(F.length(framed) - n + 1, F.lit(1))), lambda i, n=n: F.concat(F.lit(mark), F.substring(framed, i, F.lit(n))))
+            for n in GRAM_SIZES
+        ]
+        return F.concat(*sizes)
+
+    return F.array_distinct(F.concat(of("h", host), of("p", F.lower(path))))
+
+
+def features(urls: DataFrame, host: str, path: str, into: str) -> DataFrame:
+    tokens = f"{into}_tokens"
+    hashed = HashingTF(inputCol=tokens, outputCol=into, numFeatures=SLOTS, binary=True)
+    return hashed.transform(urls.withColumn(tokens, grams(F.col(host), F.col(path)))).drop(tokens)
+
+
+def fit(labelled: DataFrame) -> LogisticRegressionModel:
+    """A model from rows of (url, blocked). Its labels are few, so it is fitted in a few partitions."""
+    host, path = host_path(F.col("url"))
+    rows = features(labelled.where("blocked is not null").select(host.alias("host"), path.alias("path"), F.col("blocked").cast("double").alias("label")), "host", "path", "grams")
+    return LogisticRegression(featuresCol="grams", labelCol="label", regParam=0.005, maxIter=60).fit(rows.coalesce(2))
+
+
+def judged(pages: DataFrame, model: LogisticRegressionModel, rules: list[tuple[str, str]] = RULES, url: str = "url") -> DataFrame:
+    """The input's columns with host, path, rule, verdict and score, the model's probability of `block`."""
+    new = ("host", "path", "rule", "verdict", "score")
+    own = "__u"
+    while any(c.startswith(own) for c in pages.columns):
+        own = f"_{own}"
+    host, path = host_path(column(pages, url))
+    names = [c for c in pages.columns if c.lower() not in new]
+    rows = pages.select(*(column(pages, c) for c in names), host.alias(f"{own}h"), path.alias(f"{own}p"))
+    model = model.copy()
+    model.setFeaturesCol(f"{own}f").setProbabilityCol(f"{own}pr").setRawPredictionCol(f"{own}r").setPredictionCol(f"{own}y")
+    scored = model.transform(features(rows, f"{own}h", f"{own}p", f"{own}f"))
+    rule, verdict = rule_of(F.col(f"{own}h"), F.col(f"{own}p"), rules)
+    p = vector_to_array(F.col(f"{own}pr"))[1]
+    return scored.select(*(column(scored, c) for c in names), F.col(f"{own}h").alias("host"), F.col(f"{own}p").alias("path"), rule.alias("rule"),
+                         F.coalesce(verdict, F.when(p >= 0.5, "block").otherwise("allow")).alias("verdict"), p.alias("score"))
