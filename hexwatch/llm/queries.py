@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexwatch.llm import language, neardup, packing, quality, secrets, toxicity, urls
+from hexwatch.llm import language, neardup, packing, quality, secrets, toxicity, urls, warc
 from hexwatch.llm.common import held_out, stored, table
+from hexwatch.session import shared_dir
 
 
 def tokenizer_path(name: str) -> str:
@@ -15,6 +16,24 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark, "warc")
+    warc.write(warc.records(table(spark, sf_dir, "pages")), path)
+    kinds = F.col("record_type").isin("response", "revisit")
+    return warc.digests(warc.read(spark, path).where(kinds))
+
+
+OP1_SQL = """
+with p as (
+  select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(coalesce(html, '')) as payload_digest from pages
+), f as (select payload_digest, min(page_id) as page from p where payload_bytes >= 100 group by payload_digest)
+select p.page_id, p.payload_bytes, p.payload_digest,
+       case when f.page is not null and f.page <> p.page_id then 'revisit' else 'response' end as record_type,
+       case when f.page <> p.page_id then f.page end as refers_to
+from p left join f on p.payload_digest = f.payload_digest and p.payload_bytes >= 100
+"""
+
+
 def op2_toxicity_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chosen = toxicity.sampled(table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic"))
@@ -54,6 +73,7 @@ def op10_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_warc": op1_warc,
     "op2_toxicity_counterfactual": op2_toxicity_counterfactual,
     "op3_language_bloom": op3_language_bloom,
     "op4_quality_rules": op4_quality_rules,
@@ -62,4 +82,4 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_weighted_minhash": op10_weighted_minhash,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_warc": OP1_SQL}
