@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexwatch.llm import language, neardup, packing, quality, secrets, toxicity, urls, warc
+from hexwatch.llm import fingerprints, language, neardup, packing, quality, secrets, sentencepiece, toxicity, urls, warc
 from hexwatch.llm.common import held_out, stored, table
 from hexwatch.session import shared_dir
 
@@ -55,6 +55,14 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judged(measured).select("doc_id", *quality.FIGURES, "base_failed", "kept")
 
 
+def op5_sentencepiece_offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.digested(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op6_improbable_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(table(spark, sf_dir, "documents"))
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digests(table(spark, sf_dir, "documents"))
 
@@ -77,6 +85,8 @@ QUERIES = {
     "op2_toxicity_counterfactual": op2_toxicity_counterfactual,
     "op3_language_bloom": op3_language_bloom,
     "op4_quality_rules": op4_quality_rules,
+    "op5_sentencepiece_offsets": op5_sentencepiece_offsets,
+    "op6_improbable_features": op6_improbable_features,
     "op7_secret_scan": op7_secret_scan,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filter": op9_url_filter,
