@@ -30,6 +30,11 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """A stored table with short rows, marked for broadcast if it has at most `most` of them; else it is joined by shuffle."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """`name`, or it with underscores before it until no column of `df` has that name in any case."""
     taken = {c.lower() for c in df.columns}

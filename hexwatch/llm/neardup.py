@@ -10,10 +10,11 @@ large groups together, whose shingles have a high df. Steps:
    settled. This follows from the measure and loses nothing.
 3. The rest are sampled. A sample is the shingle with the least a = c / (y e^r) and its level; a is Exp(weight)
    distributed, so the private shingles take part as one draw of Exp(their sum), which no other text can match.
-4. Samples form bands. In every bucket the member with the least private weight leads; members are verified against
-   it by weighted Jaccard. A member that fails but is near (distance up to twice the limit, by the triangle inequality of
-   the Jaccard distance) is verified against the leader's linked members that can reach it. What is not yet in one
-   component goes into another round with a new leader; what is left after the last round is compared pair by pair.
+4. Samples form bands. In every bucket the member with the most frequent shingles leads, and members that can reach it are
+   verified against it by weighted Jaccard. Members that fail go on if private weights and sizes allow any link in the bucket: they
+   are verified against the leader's linked members, where their weights and what each has in common with the leader
+   allow a link, and meet each other in another round under a new leader. What is left after the last round is compared
+   pair by pair, under the same bounds. All bounds are exact, so no link is lost.
 5. Components of verified links are the classes; the least doc_id of a class is its id.
 
 With 20 bands of 4 samples a pair at the threshold of 0.8 is missed with probability 3e-5. Hash widths grow with the corpus:
@@ -36,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexwatch.llm.common import SpanHash, blocks, column, fresh, mix, spans_in, stored, text_array, text_bytes
+from hexwatch.llm.common import SpanHash, blocks, column, fresh, mix, small, spans_in, stored, text_array, text_bytes
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -44,18 +45,20 @@ BANDS, ROWS = 20, 4
 IDF_STRENGTH = 0.1
 #: Shingles of up to so many texts are equally rare: in small groups the similarity is that of the plain sets.
 RARE = 8
-ROUNDS = 4
+ROUNDS = 3
 BUCKET_BYTES = 16 << 20
 BLOCK = 4 << 20
 FLUSH = 3_000_000
 #: Broadcast rows to drop only up to so many (about 40 bytes each).
 MAX_BROADCAST_ROWS = 200_000
+#: Broadcast the shared shingles of all candidate texts only up to this size.
+MAX_BROADCAST_BYTES = 24 << 20
 
 WORD_CLASS = np.zeros(256, bool)
 WORD_CLASS[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 BLOBS = "batch long, bucket long, hashes binary, docs binary, tfs binary"
-SHARED = "tid binary, total double, share double, hashes binary, weights binary, bands array<long>"
+SHARED = "tid binary, total double, shared double, typical double, hashes binary, weights binary, bands array<long>"
 
 
 def text_id(text: Column) -> Column:
@@ -238,8 +241,8 @@ def bands_of(sampled: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 def signed(back: DataFrame, n_texts: int, similarity: float, bands: int, rows: int, strength: float) -> DataFrame:
     """Texts that can still have a near duplicate: weights of their shared shingles and their band keys."""
-    names = ["tid", "total", "share", "hashes", "weights", "bands"]
-    types = (pa.binary(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
+    names = ["tid", "total", "shared", "typical", "hashes", "weights", "bands"]
+    types = (pa.binary(), pa.float64(), pa.float64(), pa.float64(), pa.binary(), pa.binary(), pa.list_(pa.int64()))
 
     def run(group: pa.Table) -> pa.Table:
         ids, totals, parts = [], np.zeros(0), []
@@ -258,6 +261,7 @@ def signed(back: DataFrame, n_texts: int, similarity: float, bands: int, rows: i
         private = (totals - np.bincount(d, tf_weight(tf), len(ids))) * idf_weight(1.0, n_texts, strength)
         private[private < 1e-9] = 0.0
         whole = shared + private
+        typical = np.bincount(d, w * np.log(df), len(ids)) / np.maximum(whole, 1e-300)
         able = (shared > 0) & (shared >= similarity * whole * (1 - 1e-9))
         keep = able[d]
         order = np.lexsort((h[keep], d[keep]))
@@ -274,7 +278,7 @@ def signed(back: DataFrame, n_texts: int, similarity: float, bands: int, rows: i
             keys[i:j] = bands_of(samples(h[s], w[s], starts[i:j] - starts[i], private[texts[i:j]], own[i:j], bands * rows), bands, rows)
             i = j
         columns = (
-            [ids[t] for t in texts], whole[texts], shared[texts] / whole[texts] if len(texts) else [],
+            [ids[t] for t in texts], whole[texts], shared[texts], typical[texts],
             [h[a:b].astype("<u8").tobytes() for a, b in zip(starts, ends)], [w[a:b].astype("<f8").tobytes() for a, b in zip(starts, ends)],
             list(keys.astype(np.int64)),
         )
@@ -293,8 +297,13 @@ def weighted_jaccard(a: tuple[bytes, bytes, float], b: tuple[bytes, bytes, float
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, b) pairs with their weighted Jaccard similarity; pairs whose totals alone rule out the least are given 0."""
-    side = lambda x: texts.select(F.col("tid").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("hashes", "weights", "total")))
+    """(a, b) pairs with their weighted Jaccard similarity."""
+    light = texts.agg(F.sum(F.octet_length("hashes") + F.octet_length("weights"))).first()[0] or 0
+
+    def side(x: str) -> DataFrame:
+        rows = texts.select(F.col("tid").alias(x), *(F.col(c).alias(f"{c}_{x}") for c in ("hashes", "weights", "total")))
+        return F.broadcast(rows) if light <= MAX_BROADCAST_BYTES else rows
+
     loaded = pairs.join(side("a"), "a").join(side("b"), "b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -306,7 +315,7 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             ]
             yield pa.RecordBatch.from_arrays([col["a"], col["b"], pa.array(values, pa.float64())], names=["a", "b", "similarity"])
 
-    return loaded.mapInArrow(run, "a binary, b binary, similarity double")
+    return stored(loaded.mapInArrow(run, "a binary, b binary, similarity double"), "checked")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -314,54 +323,66 @@ def components(links: DataFrame) -> DataFrame:
 
     Labels spread along links and then jump to their label's label, so the rounds grow with the logarithm of a path.
     """
-    both = stored(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = stored(both.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("tid"), F.least("a", "b").alias("root")), "labels")
+    both = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
+    labels = both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("tid"), F.least("a", "least").alias("root"))
     while True:
-        near = both.join(labels, both["b"] == labels["tid"]).groupBy("a").agg(F.min("root").alias("near"))
-        spread = labels.join(near, labels["tid"] == near["a"]).select("tid", F.col("root").alias("was"), F.least("root", "near").alias("root"))
-        spread = stored(spread, "labels")
-        up = spread.select(F.col("tid").alias("up"), F.col("root").alias("up_root"))
+        labels = stored(labels.select("tid", "root"), "labels")
+        other = small(labels.select(F.col("tid").alias("b"), F.col("root").alias("near")))
+        own = small(labels.select(F.col("tid").alias("a"), "root"))
+        near = both.join(other, "b").groupBy("a").agg(F.min("near").alias("near"))
+        spread = near.join(own, "a").select(F.col("a").alias("tid"), F.col("root").alias("was"), F.least("root", "near").alias("root"))
+        up = small(labels.select(F.col("tid").alias("up"), F.col("root").alias("up_root")))
         jumped = stored(spread.join(up, spread["root"] == up["up"]).select("tid", "was", F.least("root", "up_root").alias("root")), "labels")
-        labels = jumped.select("tid", "root")
         if jumped.where("root <> was").isEmpty():
             return labels
+        labels = jumped
+
+
+def reachable(w1: str, s1: str, w2: str, s2: str, similarity: float) -> Column:
+    """Whether two texts of these total and shared weights can reach the similarity: they have at most the lesser shared
+    weight in common, and at least the rest of both apart."""
+    common = F.least(s1, s2)
+    return common >= similarity * (1 - 1e-9) * (F.col(w1) + F.col(w2) - common)
 
 
 def linked_texts(texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame | None:
     """Links (a, b) between stored, signed texts that join all pairs in shared buckets that reach the similarity."""
     far = 1.0 - similarity
-    members = stored(texts.select("tid", "total", "share", F.explode("bands").alias("key")), "members")
-    links, label = None, None
+    members = texts.select("tid", F.col("total").alias("w"), F.col("shared").alias("s"), "typical", F.explode("bands").alias("key"))
+    links = None
+
+    def add(pairs: DataFrame) -> None:
+        nonlocal links
+        links = pairs.select("a", "b") if links is None else links.union(pairs.select("a", "b"))
+
     for _ in range(ROUNDS):
-        # The leader is the member with the least private weight: usually the text that the others derive from.
-        leaders = members.groupBy("key").agg(F.max(F.struct("share", "tid")).alias("top"), F.count("*").alias("n")).where("n > 1").select("key", F.col("top.tid").alias("a"))
-        rows = stored(members.join(leaders, "key").where("tid <> a"), "led")
-        if rows.isEmpty():
-            return links
-        checked = stored(verified(rows.select("a", F.col("tid").alias("b")).distinct(), texts), "checked")
-        good = checked.where(F.col("similarity") >= similarity).select("a", "b")
-        # Linked members and near ones of the same bucket, where the distances to the leader allow a link.
-        known = rows.join(checked, (rows["a"] == checked["a"]) & (rows["tid"] == checked["b"])).select("key", rows["tid"], "total", (1 - F.col("similarity")).alias("far"))
-        inner = known.where(F.col("far") <= far).select("key", F.col("tid").alias("x"), F.col("total").alias("wx"), F.col("far").alias("fx"))
-        outer = known.where((F.col("far") > far) & (F.col("far") <= 2 * far))
-        reach = (F.col("far") - F.col("fx") <= far) & (F.least("wx", "total") >= similarity * F.greatest("wx", "total") * (1 - 1e-9))
-        more = inner.join(outer, "key").where(reach).select(F.least("x", "tid").alias("a"), F.greatest("x", "tid").alias("b")).distinct()
-        good = good.union(verified(more, texts).where(F.col("similarity") >= similarity).select("a", "b"))
-        links = stored(good if links is None else links.union(good), "found")
-        label = components(links)
-        # A bucket goes on without its leader's linked members, and only while it spans several components.
-        settled = rows.select("key", F.col("a").alias("tid")).union(inner.select("key", F.col("x").alias("tid"))).distinct()
-        rest = members.join(leaders.select("key"), "key", "left_semi").join(settled, ["key", "tid"], "left_anti")
-        rooted = rest.join(label, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
-        open_keys = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-        members = stored(rest.join(open_keys, "key", "left_semi"), "members")
-        if members.isEmpty():
+        # The leader has the most frequent shingles: usually it is the text that the others derive from.
+        top = members.groupBy("key").agg(F.max(F.struct("typical", "tid", "w", "s")).alias("top"), F.min("w").alias("low"), F.count("*").alias("n"))
+        leaders = stored(top.where("n > 1").select("key", "low", F.col("top.tid").alias("a"), F.col("top.w").alias("wa"), F.col("top.s").alias("sa")), "leaders")
+        led = stored(members.join(small(leaders), "key").where("tid <> a"), "led")
+        pairs = led.where(reachable("w", "s", "wa", "sa", similarity)).select("a", F.col("tid").alias("b")).distinct()
+        checked = verified(pairs, texts)
+        add(checked.where(F.col("similarity") >= similarity))
+        known = led.join(small(checked.withColumnRenamed("a", "ca")), (F.col("a") == F.col("ca")) & (F.col("tid") == F.col("b")), "left")
+        # What a member has in common with the leader follows from their similarity.
+        known = known.withColumn("far", 1 - F.col("similarity")).withColumn("i", F.col("similarity") * (F.col("w") + F.col("wa")) / (1 + F.col("similarity")))
+        # A member goes on if it can reach the lightest other text of its bucket that could be of its size.
+        lightest = F.greatest("low", similarity * F.col("w"))
+        open_rows = known.where(F.coalesce(F.col("far") > far, F.lit(True)) & (F.col("s") >= similarity * (1 - 1e-9) * (F.col("w") + lightest - F.col("s"))))
+        outer = stored(open_rows.select("key", "tid", "w", "s", "typical", "far", "i"), "outer")
+        if outer.isEmpty():
             return links
-    rooted = members.join(label, "tid", "left").select("key", "tid", "total", F.coalesce("root", "tid").alias("root"))
-    other = rooted.select("key", F.col("tid").alias("x"), F.col("total").alias("wx"), F.col("root").alias("rx"))
-    reach = (F.col("x") < F.col("tid")) & (F.col("rx") != F.col("root")) & (F.least("wx", "total") >= similarity * F.greatest("wx", "total") * (1 - 1e-9))
-    pairs = rooted.join(other, "key").where(reach).select(F.col("x").alias("a"), F.col("tid").alias("b")).distinct()
-    return links.union(verified(pairs, texts).where(F.col("similarity") >= similarity).select("a", "b"))
+        inner = known.where(F.col("far") <= far).select("key", F.col("tid").alias("x"), F.col("w").alias("wx"), F.col("s").alias("sx"), F.col("i").alias("ix"))
+        # Two members share at most the lesser part of what they have of the leader, and the lesser of their other shared parts.
+        parts = F.least("i", "ix") + F.least(F.col("s") - F.col("i"), F.col("sx") - F.col("ix"))
+        near = F.coalesce(parts >= similarity * (1 - 1e-9) * (F.col("w") + F.col("wx") - parts), F.lit(True))
+        more = inner.join(small(outer), "key").where(reachable("w", "s", "wx", "sx", similarity) & near).select(F.col("x").alias("a"), F.col("tid").alias("b")).distinct()
+        add(verified(more, texts).where(F.col("similarity") >= similarity))
+        members = outer.select("key", "tid", "w", "s", "typical")
+    other = members.select("key", F.col("tid").alias("x"), F.col("w").alias("wx"), F.col("s").alias("sx"))
+    rest = members.join(other, "key").where((F.col("x") < F.col("tid")) & reachable("w", "s", "wx", "sx", similarity)).select(F.col("x").alias("a"), F.col("tid").alias("b")).distinct()
+    add(verified(rest, texts).where(F.col("similarity") >= similarity))
+    return links
 
 
 def signatures(docs: DataFrame, keys: DataFrame, text: str = "text", similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS, strength: float = IDF_STRENGTH) -> DataFrame:
@@ -382,7 +403,7 @@ def classes(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **optio
     links = linked_texts(signatures(docs, keys, text, **options), options.get("similarity", SIMILARITY))
     if links is None:
         return keys, keys.select("tid", F.col("tid").alias("root")).limit(0)
-    return keys, components(links)
+    return keys, small(components(links))
 
 
 def class_of_documents(docs: DataFrame, **options) -> DataFrame:
@@ -392,7 +413,7 @@ def class_of_documents(docs: DataFrame, **options) -> DataFrame:
     grouped = per_text.join(roots, "tid", "left").withColumn("root", F.coalesce("root", "tid"))
     least = grouped.groupBy("root").agg(F.min("first").alias("class_id"), F.sum("n").alias("n")).where("n > 1")
     known = stored(grouped.join(least.drop("n"), "root").select("tid", "class_id"), "classes")
-    return keys.join(known, "tid", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
+    return keys.join(small(known), "tid", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
 
 
 def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
