@@ -215,9 +215,11 @@ def in_order(docs: DataFrame, parts: int) -> DataFrame:
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     edges = sorted({float(e) for e in rows.where("doc_id is not null").approxQuantile("doc_id", [k / parts for k in range(1, parts)], 0.1 / parts)}) if parts > 1 else []
-    splits = [-math.inf, *edges, math.inf]
-    cut = Bucketizer(splits=splits, inputCol="place", outputCol="part", handleInvalid="keep")
-    placed = cut.transform(rows.withColumn("place", F.col("doc_id").cast("double"))).select("doc_id", "text", F.col("part").cast("long").alias("part"))
+    if edges:
+        cut = Bucketizer(splits=[-math.inf, *edges, math.inf], inputCol="place", outputCol="part", handleInvalid="keep")
+        placed = cut.transform(rows.withColumn("place", F.coalesce(F.col("doc_id").cast("double"), F.lit(math.nan)))).select("doc_id", "text", F.col("part").cast("long").alias("part"))
+    else:
+        placed = rows.withColumn("part", F.lit(0).cast("long"))
     firsts = sorted(((r["part"], r["first"]) for r in placed.groupBy("part").agg(F.min("doc_id").alias("first")).collect()))
     if not firsts:
         return placed.withColumn("guest", F.lit(False))
