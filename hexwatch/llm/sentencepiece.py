@@ -176,8 +176,10 @@ class Piecewise:
         raw = b"".join([self.raw[i] for i in ids])
         if self.squeeze:
             raw = raw.lstrip(b" ")
-        elif self.dummy and raw.startswith(b" "):
-            raw = raw[1:]
+        elif self.dummy:
+            first = next((i for i in ids if i not in self.silent), None)
+            if first is not None and self.pieces[first].startswith(SPACE):
+                raw = raw[1:]
         try:
             raw.decode()
         except UnicodeDecodeError:  # bytes that make no character
