@@ -1,4 +1,4 @@
-"""Coercing casts (F5) and decimal narrowing."""
+"""Coercing casts (F5) and decimal narrowing (F9): what does not fit becomes NULL."""
 
 from __future__ import annotations
 
@@ -15,8 +15,8 @@ def to_number(c: Column) -> Column:
 
 
 def lat_decimal(c: Column) -> Column:
-    return c.cast("decimal(10,8)")
+    return c.try_cast("decimal(10,8)")
 
 
 def lon_decimal(c: Column) -> Column:
-    return c.cast("decimal(11,8)")
+    return c.try_cast("decimal(11,8)")

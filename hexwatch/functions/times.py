@@ -6,20 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hexwatch.functions.numbers import to_number
-from hexwatch.settings import HALF_DAY_FORMAT, MONTH_FIRST, YEAR_FIRST
+from hexwatch.settings import COMPACT_DATE, HALF_DAY_FORMAT, MONTH_FIRST, NAMED_MONTH, NAMED_MONTH_FORMATS, YEAR_FIRST
 
 
 def parse_date(c: Column, formats: list[str] | None = None) -> Column:
     """Date text to TIMESTAMP_NTZ; a text with a zone offset is converted to UTC.
 
     `2014-01-31`, `2014/1/31` and `1/31/2014`, each with an optional 24-hour time, are brought into ISO order and cast:
-    no formatter runs and nothing is thrown for a text that does not fit. Only 12-hour times, and whatever extra
-    `formats` are given, go through a formatter.
+    no formatter runs and nothing is thrown for a text that does not fit; `20140131` is cut up likewise. Only 12-hour
+    times, month names (`31-Jan-2014`, `January 31, 2014`), and whatever extra `formats` are given, go through a formatter.
     """
     text = F.btrim(c)
     iso = (
         F.when((text.substr(2, 1) == "/") | (text.substr(3, 1) == "/"), F.regexp_replace(text, MONTH_FIRST, "$3-$1-$2"))
         .when(text.substr(5, 1) == "/", F.translate(text, "/", "-"))
+        .when(text.rlike(COMPACT_DATE), F.concat_ws("-", text.substr(1, 4), text.substr(5, 2), text.substr(7, 2)))
         .otherwise(text)
     )
     half_day = F.upper(F.right(text, F.lit(1))) == "M"
@@ -27,6 +28,8 @@ def parse_date(c: Column, formats: list[str] | None = None) -> Column:
         F.when(half_day, F.try_to_timestamp(text, F.lit(HALF_DAY_FORMAT)))
         .when(iso.rlike(YEAR_FIRST), iso.try_cast("timestamp"))
     ]
+    named = text.rlike(NAMED_MONTH)
+    tries += [F.when(named, F.try_to_timestamp(F.initcap(text) if "," in f else text, F.lit(f))) for f in NAMED_MONTH_FORMATS]
     tries += [F.try_to_timestamp(text, F.lit(f)) for f in formats or []]
     return F.coalesce(*tries).cast("timestamp_ntz")
 
@@ -92,10 +95,16 @@ def season(c: Column) -> Column:
     return F.when(F.month(c) < 3, 4).otherwise(F.floor(F.month(c) / F.lit(3)).cast("int"))
 
 
+#: A calendar has one row per day: up to so many days (over 270 years) are broadcast.
+MAX_BROADCAST_DAYS = 100_000
+
+
 def with_holiday_flag(df: DataFrame, holidays: DataFrame | None, ts: str = "time_window") -> DataFrame:
-    """true when the day is in `holidays(holiday_date)`. Spark broadcasts the table when its size allows."""
+    """true when the day is in `holidays(holiday_date)`. The calendar's size is checked, then it is broadcast."""
     if holidays is None:
         return df.withColumn("is_holiday", F.lit(False))
     days = holidays.select(F.col("holiday_date").cast("date").alias("_holiday")).where("_holiday is not null").distinct()
+    if days.limit(MAX_BROADCAST_DAYS + 1).count() <= MAX_BROADCAST_DAYS:
+        days = F.broadcast(days)
     joined = df.join(days, F.to_date(F.col(ts)) == F.col("_holiday"), "left")
     return joined.withColumn("is_holiday", F.col("_holiday").isNotNull()).drop("_holiday")

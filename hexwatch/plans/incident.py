@@ -3,35 +3,46 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hexwatch.operators import clean, load
 from hexwatch.session import require_utc
-from hexwatch.settings import RAW_KEY
-from hexwatch.sources.bronze import ROW_POS, scan_bronze
+from hexwatch.settings import GOLD_SCHEMA, RAW_KEY, SILVER_COLUMNS
+from hexwatch.sources.bronze import ROW_POS, SOURCE_FILE, exact, latest_file, list_files, scan_landing
+from hexwatch.sources.gold import with_reject_reason
 
 
-def silver(raw: DataFrame | list[DataFrame], skip_validation: bool = False, across_files: bool = False) -> DataFrame:
+def silver(
+    raw: DataFrame | list[DataFrame], skip_validation: bool = False, across_files: bool = False,
+    formats: list[str] | None = None,
+) -> DataFrame:
     """Deduplicate, filter to the region (unless switched off, P8), project, drop incomplete rows.
 
     Deduplication decides before the filters do: an event whose first copy has bad coordinates is gone. The columns
     are cleaned ahead of it all the same. Cleaning is row by row, so the result does not change, while the shuffle
     carries parsed values instead of text and the filters after it read finished columns instead of parsing again.
-    Layouts that have the key share one shuffle; layouts without it are made distinct on their own columns.
+    Layouts that have the key share one shuffle; layouts without it are made distinct on their own columns, and with
+    `across_files` several such layouts also on the cleaned columns. `formats` adds date formats.
     """
     frames = raw if isinstance(raw, list) else [raw]
-    keyed = [cleaned(f) for f in frames if RAW_KEY in f.columns]
-    kept = [cleaned(clean.distinct_rows(f, across_files)) for f in frames if RAW_KEY not in f.columns]
+    keyed = [cleaned(f, formats) for f in frames if RAW_KEY in f.columns]
+    plain = [cleaned(clean.distinct_rows(f, across_files), formats) for f in frames if RAW_KEY not in f.columns]
+    kept = plain
+    if across_files and len(plain) > 1:
+        content = [c for c in SILVER_COLUMNS if c not in (SOURCE_FILE, "dataset_type")]
+        first = F.min(F.struct(SOURCE_FILE, "dataset_type")).alias("first")
+        kept = [_union(plain).groupBy(*content).agg(first).select(*content, "first.*").select(*SILVER_COLUMNS)]
     if keyed:
-        kept.append(clean.dedup_first(_union(keyed), across_files=across_files).drop(RAW_KEY, ROW_POS))
+        kept = [*kept, clean.dedup_first(_union(keyed), across_files=across_files).drop(RAW_KEY, ROW_POS)]
     rows = _union(kept)
     if not skip_validation:
         rows = clean.filter_region(rows)
     return clean.drop_missing_critical(rows)
 
 
-def cleaned(frame: DataFrame) -> DataFrame:
+def cleaned(frame: DataFrame, formats: list[str] | None = None) -> DataFrame:
     """One raw layout to the eight cleaned columns, plus key and row position where it has them."""
-    return clean.to_silver_schema(clean.with_coordinates(clean.canonical(frame)))
+    return clean.to_silver_schema(clean.with_coordinates(clean.canonical(frame)), formats=formats)
 
 
 def gold(silver_df: DataFrame, source_tz: str | None = None) -> DataFrame:
@@ -40,9 +51,27 @@ def gold(silver_df: DataFrame, source_tz: str | None = None) -> DataFrame:
     return load.to_gold_schema(load.assign_cells(silver_df), source_tz)
 
 
-def pipeline(spark: SparkSession, paths, **options) -> DataFrame:
-    """All raw files under `paths` to the gold schema."""
-    return gold(silver(scan_bronze(spark, paths), **options))
+def gold_or_refused(silver_df: DataFrame, source_tz: str | None = None) -> DataFrame:
+    """As `gold`, but rows that the stored table would refuse stay, with their `reject_reason`."""
+    require_utc(silver_df.sparkSession)
+    return with_reject_reason(load.to_gold_schema(load.with_cells(silver_df), source_tz, complete=False))
+
+
+def pipeline(
+    spark: SparkSession, paths, multi_line: bool | None = None, encoding: str | None = None, source_tz: str | None = None,
+    latest_only: bool = False, **options,
+) -> DataFrame:
+    """All raw files under `paths`, or with `latest_only` the newest of each dataset, to the gold schema.
+
+    Files whose header lacks needed columns are left out; `sources.bronze.scan_landing` names them. No usable file gives an
+    empty table. Further options are those of `silver`.
+    """
+    if latest_only:
+        paths = [exact(r["path"]) for r in latest_file(list_files(spark, paths)).select("path").collect()]
+    frames = scan_landing(spark, paths, encoding, multi_line).frames if paths else []
+    if not frames:
+        return spark.createDataFrame([], GOLD_SCHEMA).select(*load.GOLD_COLUMNS, "geom")
+    return gold(silver(frames, **options), source_tz)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -73,6 +73,10 @@ EXTENDED_HEADERS = {
 MONTH_FIRST = r"^(\d{1,2})/(\d{1,2})/(\d{4})"
 YEAR_FIRST = r"^\d{4}(-\d|$)"
 HALF_DAY_FORMAT = "M/d/yyyy h:mm:ss a"
+# Dates without separators or with month names, told apart by their first characters.
+COMPACT_DATE = r"^\d{8}$"
+NAMED_MONTH = r"^(\d{1,2}-[A-Za-z]{3}-\d{4}|[A-Za-z]{3,9} \d{1,2}, \d{4})$"
+NAMED_MONTH_FORMATS = ["d-MMM-yyyy", "MMMM d, yyyy", "MMM d, yyyy"]
 
 SILVER_COLUMNS = [
     "occurred_at", "latitude", "longitude", "crime_type",

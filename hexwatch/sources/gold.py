@@ -1,11 +1,25 @@
-"""Loaded (gold) table: sinks (S6), quarantine split, scan."""
+"""Loaded (gold) table: sinks (S6), quarantine, scan.
+
+The table is a folder of loads, each partitioned by dataset type, and a small table of entries that says which loads
+hold a file's rows. Loading a file again adds a load and an entry that replaces the earlier ones, so a load is visible only when
+its entry is written, old rows of a file never show whatever their dataset type was, and a file without rows replaces
+its rows by none. Rows that the table refuses are kept beside the others under their reason.
+"""
 
 from __future__ import annotations
 
+import time
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexwatch.settings import GOLD_REQUIRED, GOLD_SCHEMA, JDBC_BATCH_ROWS, TEXT_WIDTHS
+from hexwatch.settings import GOLD_COLUMNS, GOLD_REQUIRED, GOLD_SCHEMA, JDBC_BATCH_ROWS, TEXT_WIDTHS
+
+ENTRY_SCHEMA = "source_file string, load_id bigint, replaces boolean"
+STORED_SCHEMA = f"{GOLD_SCHEMA}, reject_reason string, load_id bigint, refused boolean"
+#: Entries are one short row per file and load; up to so many are broadcast, more are joined by shuffle.
+MAX_BROADCAST_ENTRIES = 200_000
 
 
 def with_reject_reason(df: DataFrame) -> DataFrame:
@@ -25,28 +39,60 @@ def split_loadable(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return tagged.where("reject_reason is null").drop("reject_reason"), tagged.where("reject_reason is not null")
 
 
-def write_gold(df: DataFrame, path: str, mode: str = "replace") -> None:
-    """Parquet, one partition per (dataset_type, source_file), rows ordered by cell and time inside each file.
+def write_gold(df: DataFrame, path: str, mode: str = "replace", files: list[str] | None = None) -> None:
+    """Add a load; rows ordered by cell and time inside each file.
 
-    `replace` overwrites just the partitions present in `df`, so loading a file again gives the same table; `append`
-    adds. The rebalance lets adaptive execution split a dataset that is much larger than the others and merge small
-    ones; the order makes row-group statistics useful for cell and time filters.
+    `replace`: the rows of the files in `df`, and of those in `files`, are these and no others; `append` adds to them.
+    Rows with a `reject_reason` go to the quarantine. The rebalance lets adaptive execution split a dataset that is much
+    larger than the others and merge small ones; the order makes row-group statistics useful for cell and time filters.
     """
     if mode not in ("replace", "append"):
         raise ValueError(f"mode must be replace or append, is {mode!r}")
-    arranged = df.hint("rebalance", "dataset_type", "source_file").sortWithinPartitions(
-        "dataset_type", "source_file", "h3_index", "occurred_at"
-    )
-    (
-        arranged.write.mode("overwrite" if mode == "replace" else "append")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("dataset_type", "source_file")
-        .parquet(path)
+    spark = df.sparkSession
+    # Later than every earlier load, also if clocks differ between drivers.
+    load_id = max(time.time_ns(), 1 + (_entries(spark, path).agg(F.max("load_id")).first()[0] or 0))
+    tagged = df if "reject_reason" in df.columns else df.withColumn("reject_reason", F.lit(None).cast("string"))
+    arranged = (
+        tagged.withColumns({"load_id": F.lit(load_id), "refused": F.col("reject_reason").isNotNull()})
+        .hint("rebalance", "refused", "dataset_type")
+        .sortWithinPartitions("refused", "dataset_type", "h3_index", "occurred_at")
     )
+    arranged.write.mode("append").partitionBy("load_id", "refused", "dataset_type").parquet(f"{path}/rows")
+    loaded = spark.read.schema(STORED_SCHEMA).parquet(f"{path}/rows").where(F.col("load_id") == load_id).select("source_file")
+    if files:
+        loaded = loaded.union(spark.createDataFrame([(f,) for f in files], "source_file string"))
+    entries = loaded.distinct().select("source_file", F.lit(load_id).alias("load_id"), F.lit(mode == "replace").alias("replaces"))
+    entries.coalesce(1).write.mode("append").parquet(f"{path}/entries")
+
+
+def _entries(spark: SparkSession, path: str) -> DataFrame:
+    try:
+        return spark.read.schema(ENTRY_SCHEMA).parquet(f"{path}/entries")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], ENTRY_SCHEMA)
+
+
+def _current(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the loads that count: a file's last replacing load and what was appended after it."""
+    entries = _entries(spark, path)
+    since = entries.groupBy("source_file").agg(F.coalesce(F.max(F.when(F.col("replaces"), F.col("load_id"))), F.lit(0)).alias("since"))
+    if since.count() <= MAX_BROADCAST_ENTRIES:
+        since = F.broadcast(since)
+    live = entries.join(since, "source_file").where(F.col("load_id") >= F.col("since")).select("source_file", "load_id").distinct()
+    if live.count() <= MAX_BROADCAST_ENTRIES:
+        live = F.broadcast(live)
+    return spark.read.schema(STORED_SCHEMA).parquet(f"{path}/rows").join(live, ["source_file", "load_id"], "left_semi")
 
 
 def scan_gold(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(GOLD_SCHEMA).parquet(path)
+    return _current(spark, path).where(~F.col("refused")).select(*GOLD_COLUMNS, "geom")
+
+
+def scan_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """Refused rows of the current loads with their reason."""
+    return _current(spark, path).where("refused").select(*GOLD_COLUMNS, "geom", "reject_reason")
 
 
 def write_jdbc(

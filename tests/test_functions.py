@@ -43,13 +43,14 @@ def test_dates(spark):
     got = apply(spark, times.parse_date, [
         "2014-01-31", "2014/1/31", "1/31/2014", "2014-01-31 05:06:07", "2014-01-31T05:06", "1/31/2014 17:30",
         "1/31/2014 5:00:00 PM", "2014/01/31 05:00:00+00", "2014-01-31 05:00:00+02:00", "31 January", "05:00", "", None,
-        "13/13/2014",
+        "13/13/2014", "20140131", "31-Jan-2014", "January 31, 2014", "jan 31, 2014", "20141341",
     ])
     day = dt.datetime(2014, 1, 31)
     five = day.replace(hour=5)
     assert got == [
         day, day, day, day.replace(hour=5, minute=6, second=7), day.replace(hour=5, minute=6),
         day.replace(hour=17, minute=30), day.replace(hour=17), five, day.replace(hour=3), None, None, None, None, None,
+        day, day, day, day, None,
     ]
 
 

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import pathlib
 
 import pytest
 from conftest import rows
@@ -61,10 +62,75 @@ def test_whole_pipeline(spark, landing):
     ])
 
 
-def test_quoted_line_breaks(spark, tmp_path):
+def test_quoted_line_breaks_are_noticed(spark, tmp_path):
     (tmp_path / "x.csv").write_text('a,b\n1,"two\nlines"\n2,one\n')
-    (frame,) = bronze.scan_bronze(spark, str(tmp_path), multi_line=True)
-    assert sorted(r.b for r in frame.collect()) == ["one", "two\nlines"]
+    (tmp_path / "y.csv").write_text('a,b\n3,"a ""quoted"" word"\n')
+    frames = bronze.scan_bronze(spark, str(tmp_path))
+    assert sorted(r.b for f in frames for r in f.collect()) == ['a "quoted" word', "one", "two\nlines"]
+
+
+@pytest.mark.parametrize("name", ["major crime.csv", "a%20b.csv", "a[1].csv", "x+y.csv", "b{1,2}.csv", "q?.csv", "ü.csv"])
+def test_any_file_name(spark, tmp_path, name):
+    (tmp_path / name).write_text(f"{HEADER}\nE1,2024-01-01,5,43.70,-79.40,Assault,x,y\n")
+    (row,) = incident.pipeline(spark, str(tmp_path)).collect()
+    assert row.source_file == name
+
+
+def test_mixed_landing(spark, landing):
+    (landing / "readme.txt").write_text("not,a,table")
+    (landing / "foreign.csv").write_text("a,b\n1,2\n")
+    (landing / "empty.csv").write_text("")
+    assert incident.pipeline(spark, str(landing)).count() == 4
+    aside = {r.file_name: r.reason for r in bronze.scan_landing(spark, str(landing)).set_aside(spark).collect()}
+    assert aside == {"foreign.csv": "no coordinate columns in ['a', 'b']"}  # a file without a byte is not listed
+
+
+def test_empty_folder_and_options(spark, tmp_path, landing):
+    (tmp_path / "none").mkdir()
+    got = incident.pipeline(spark, str(tmp_path / "none"))
+    assert got.count() == 0 and got.columns == incident.pipeline(spark, str(landing)).columns
+    os.utime(landing / C, (1_900_000_000, 1_900_000_000))
+    newest = incident.pipeline(spark, str(landing), latest_only=True, multi_line=False, encoding="ISO-8859-1", source_tz="America/Toronto")
+    assert {(r.source_file, r.occurred_at.hour) for r in newest.collect()} == {(B, 6), (C, 5)}
+
+
+def test_headers_that_differ_in_case(spark, tmp_path):
+    (tmp_path / "x.csv").write_text("LAT,Lat,LONG,OCC_DATE,MCI_CATEGORY,mci_category\n1,43.7,-79.4,2024-01-01,Assault,Robbery\n")
+    (row,) = incident.pipeline(spark, str(tmp_path)).collect()
+    assert float(row.latitude) == 43.7 and row.crime_type == "Assault"
+
+
+def test_equal_names_are_an_error(spark, tmp_path):
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.csv").write_text("a\n1\n")
+    with pytest.raises(ValueError, match="files of equal name"):
+        bronze.scan_bronze(spark, str(tmp_path))
+
+
+def test_keyless_layouts_are_distinct_together(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("Lat,Long,MAJOR_CRIME_INDICATOR,OCCURRENCE_DATE\n43.7,-79.4,robbery,1/3/2024\n" + "43.7,-79.4,robbery,1/3/2024\n")
+    (tmp_path / "b.csv").write_text("Long,Lat,MAJOR_CRIME_INDICATOR,OCCURRENCE_DATE\n-79.4,43.7,robbery,2024-01-03\n")
+    assert incident.pipeline(spark, str(tmp_path)).count() == 2
+    (row,) = incident.pipeline(spark, str(tmp_path), across_files=True).collect()
+    assert row.source_file == "a.csv"
+
+
+def test_far_offsets_keep_their_order(spark):
+    far = [(1 << 44, 1), (1 << 43, 5), (3, 9), (1 << 62, 0)]
+    order = [r.p for r in spark.createDataFrame([((a, b),) for a, b in far], "p struct<start: bigint, row: bigint>").orderBy("p").collect()]
+    assert [tuple(p) for p in order] == sorted(far)
+    assert "start" in str(bronze.row_position())
+
+
+def test_latitude_that_does_not_fit_is_refused(spark, landing):
+    silver = incident.silver(bronze.scan_bronze(spark, str(landing))).withColumn("latitude", F.when(F.col("source_file") == B, F.lit(500.0)).otherwise(F.col("latitude")))
+    from hexwatch.functions.hexgrid import with_h3
+    from hexwatch.operators import load
+
+    assert load.to_gold_schema(with_h3(silver)).count() == 3
+    tagged = gold_io.with_reject_reason(load.to_gold_schema(with_h3(silver), complete=False))
+    assert [r.reject_reason for r in tagged.where("reject_reason is not null").collect()] == ["missing latitude"]
 
 
 def test_row_positions_follow_the_file_over_many_splits(spark, tmp_path):
@@ -118,8 +184,13 @@ def test_gold_sink_replaces_only_its_files(spark, landing):
     assert gold_io.scan_gold(spark, path).where(F.col("source_file") == B).count() == 2
     with pytest.raises(ValueError):
         gold_io.write_gold(gold, path, mode="ask")
-    plan = gold_io.scan_gold(spark, path).where(F.col("source_file") == A)._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(source_file" in plan
+    gold_io.write_gold(gold.limit(0), path, files=[C])
+    assert gold_io.scan_gold(spark, path).where(F.col("source_file") == C).count() == 0
+    retyped = gold.where(F.col("source_file") == A).withColumn("dataset_type", F.lit(None).cast("string"))
+    gold_io.write_gold(retyped, path)
+    assert [r.dataset_type for r in gold_io.scan_gold(spark, path).where(F.col("source_file") == A).collect()] == [None, None]
+    folders = {p.name for p in (pathlib.Path(path.removeprefix("file:")) / "rows").glob("*/*/*")}
+    assert not any("source_file" in f for f in folders)
 
 
 def test_quarantine(spark, landing):
