@@ -92,7 +92,9 @@ def stage_funnel(cleaned: DataFrame) -> DataFrame:
     region = F.coalesce(in_box(F.col("latitude"), F.col("longitude")), F.lit(False))
     complete = F.col("occurred_at").isNotNull() & F.col("crime_type").isNotNull()
     stage = F.when(region & complete, 2).when(region, 1).otherwise(0)
-    events = cleaned.select(SOURCE_FILE, RAW_KEY, ROW_POS, stage.alias("stage")).groupBy(SOURCE_FILE, RAW_KEY).agg(
+    # Without a key, equal rows of a file are one event.
+    keys = [SOURCE_FILE, RAW_KEY] if RAW_KEY in cleaned.columns else [c for c in cleaned.columns if c != ROW_POS]
+    events = cleaned.select(*keys, ROW_POS, stage.alias("stage")).groupBy(*keys).agg(
         F.count(ROWS).alias("copies"), F.min_by("stage", ROW_POS).alias("stage")
     )
     totals = events.agg(
@@ -126,9 +128,9 @@ def max_lengths(df: DataFrame, widths: dict[str, int] = TEXT_WIDTHS) -> DataFram
     return rows.withColumn("is_truncated", F.col("max_length") > limit)
 
 
-def newest_rows(df: DataFrame, by: str, n: int = 5) -> DataFrame:
-    """A top-k plan, each task keeps its n best rows."""
-    return df.orderBy(F.desc(by)).limit(n)
+def newest_rows(df: DataFrame, by: str, n: int = 5, tie: str | None = None) -> DataFrame:
+    """A top-k plan, each task keeps its n best rows; `tie` orders equal times."""
+    return df.orderBy(F.desc(by), *([tie] if tie else [])).limit(n)
 
 
 def first_rows(df: DataFrame, n: int, order: list[str]) -> DataFrame:

@@ -82,12 +82,13 @@ def with_coordinates(df: DataFrame) -> DataFrame:
     })
 
 
-def to_silver_schema(df: DataFrame, keys=tuple(DATASETS)) -> DataFrame:
-    """Canonical rows with coordinates to the eight cleaned columns; key and row position stay when present."""
+def to_silver_schema(df: DataFrame, keys=tuple(DATASETS), formats: list[str] | None = None) -> DataFrame:
+    """Canonical rows with coordinates to the eight cleaned columns; key and row position stay when present.
+    `formats` adds date formats."""
     carried = [F.col(c) for c in (RAW_KEY, ROW_POS) if c in df.columns]
     return df.select(
         *carried,
-        times.parse_occurred_at(F.col("raw_date"), F.col("raw_hour")).alias("occurred_at"),
+        times.parse_occurred_at(F.col("raw_date"), F.col("raw_hour"), formats).alias("occurred_at"),
         "latitude",
         "longitude",
         text.clean_category(F.col("raw_category")).alias("crime_type"),

@@ -1,4 +1,5 @@
-"""Joins (J1-J4, J6). Join sides that are small by nature are left to Spark's size check, not forced."""
+"""Joins (J1-J4, J6). Sides with one short row per file or entry are counted, and broadcast up to a limit; the big side
+then stays where it is. Beyond the limit Spark joins by shuffle."""
 
 from __future__ import annotations
 
@@ -9,10 +10,19 @@ from hexwatch.functions.hexgrid import with_h3
 from hexwatch.functions.times import hour_start, to_utc
 
 
+#: Rows of at most a few hundred bytes.
+MAX_BROADCAST_ROWS = 100_000
+
+
+def small_side(df: DataFrame, most: int = MAX_BROADCAST_ROWS) -> DataFrame:
+    """The same rows, marked for broadcast if there are few enough."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def join_registry(df: DataFrame, registry: DataFrame, key: str = "dataset_type") -> DataFrame:
-    """Attach the dataset's registry entry. The registry is configuration of fixed size, so it is broadcast."""
+    """Attach the dataset's registry entry."""
     entries = registry.withColumnRenamed("dataset_key", key)
-    return df.join(F.broadcast(entries), key, "left").withColumn("is_known", F.col("name").isNotNull())
+    return df.join(small_side(entries), key, "left").withColumn("is_known", F.col("name").isNotNull())
 
 
 def unseen_files(files: DataFrame, ledger: DataFrame, retry_failed: bool = False, name: str = "file_name") -> DataFrame:
@@ -26,10 +36,10 @@ def loaded_counts(gold: DataFrame) -> DataFrame:
     return gold.groupBy("source_file").agg(F.count(F.lit(1)).alias("stored_rows"))
 
 
-def drop_loaded(df: DataFrame, gold: DataFrame) -> DataFrame:
-    """Rows of files the target does not hold yet. The target contributes one row per file; adaptive execution
-    broadcasts that or splits a hot file on the other side."""
-    return df.join(gold.select("source_file").distinct(), "source_file", "left_anti")
+def drop_loaded(df: DataFrame, loaded: DataFrame) -> DataFrame:
+    """Rows of files the target does not hold yet. `loaded` has a `source_file`, best from the folded ledger or the
+    table's entries, which have one row per file; the stored rows work too."""
+    return df.join(small_side(loaded.select("source_file").distinct()), "source_file", "left_anti")
 
 
 def backfill_dataset_type(crimes: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -37,7 +47,7 @@ def backfill_dataset_type(crimes: DataFrame, ledger: DataFrame) -> DataFrame:
     known = ledger.where("dataset_type is not null").groupBy(F.col("file_name").alias("source_file")).agg(
         F.min("dataset_type").alias("_ledger_type")
     )
-    filled = crimes.join(known, "source_file", "left")
+    filled = crimes.join(small_side(known), "source_file", "left")
     return filled.withColumn("dataset_type", F.coalesce("dataset_type", "_ledger_type")).select(*crimes.columns)
 
 

@@ -1,6 +1,6 @@
 """Ingestion ledger (L1-L5): an append-only event table and the fold that gives one current row per file.
 
-Events: start, complete, fail, gold_complete. Appending needs no row locks, and the fold is a single aggregation whose
+Events: start, complete, fail, gold_complete, forget. Appending needs no row locks, and the fold is a single aggregation whose
 rules per field follow from which events touch that field.
 """
 
@@ -45,7 +45,8 @@ def fold(events: DataFrame) -> DataFrame:
 
     start: creates the row or sets it in progress with a new time and count; complete: sets count, last time, clears
     the error; fail: sets the error only; gold_complete: complete without a dataset type. A dataset type is replaced
-    only by a known one. Events before the file's first start change nothing.
+    only by a known one; forget removes the row, so that the file is loaded again. Events before the file's first start
+    change nothing.
     """
     kind, seq = F.col("kind"), F.col("seq")
     done = kind.isin("complete", "gold_complete")
@@ -57,7 +58,7 @@ def fold(events: DataFrame) -> DataFrame:
         return F.max(F.when(when, seq))
 
     typed_event = kind.isin("start", "complete") & F.col("dataset_type").isNotNull()
-    state = F.when(kind == "start", "in_progress").when(done, "completed").otherwise("failed")
+    state = F.when(kind == "start", "in_progress").when(done, "completed").when(kind == "forget", "forgotten").otherwise("failed")
     folded = events.groupBy("file_name").agg(
         F.min(F.when(kind == "start", seq)).alias("_first"),
         latest(F.col("at"), kind == "start").alias("ingested_at"),
@@ -72,10 +73,10 @@ def fold(events: DataFrame) -> DataFrame:
         latest_seq(typed_event).alias("_typed"),
     )
     first = F.col("_first")
-    return folded.where(first.isNotNull()).select(
+    return folded.where(first.isNotNull() & (F.col("status") != "forgotten")).select(
         "file_name",
         "ingested_at",
-        F.coalesce("record_count", F.lit(0)).cast("int").alias("record_count"),
+        F.coalesce("record_count", F.lit(0)).alias("record_count"),
         F.when(F.col("_done") > first, F.col("last_timestamp")).alias("last_timestamp"),
         "status",
         F.when(F.col("_error") > first, F.col("error_message")).alias("error_message"),
@@ -97,6 +98,17 @@ def gold_events(stats: DataFrame, seq: Column, at: Column | None = None) -> Data
     return event(files, "gold_complete", seq, at, F.col("record_count"), F.col("last_timestamp"))
 
 
+def next_seq(events: DataFrame) -> int:
+    """Above every sequence number so far, also after a stream's checkpoint was lost."""
+    return 1 + (events.agg(F.max("seq")).first()[0] or 0)
+
+
+def forget(spark: SparkSession, names: list[str], path: str) -> None:
+    """Let files be loaded again, whatever their state."""
+    files = spark.createDataFrame([(n,) for n in names], "file_name string")
+    append_events(event(files, "forget", F.lit(next_seq(read_events(spark, path)))), path)
+
+
 def append_events(events: DataFrame, path: str) -> None:
     events.write.mode("append").parquet(path)
 
@@ -113,4 +125,4 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
 
 def last_ingested(ledger: DataFrame, n: int = 5) -> DataFrame:
     """T2."""
-    return newest_rows(ledger, "ingested_at", n)
+    return newest_rows(ledger, "ingested_at", n, tie="file_name")

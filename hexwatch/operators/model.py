@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+import re
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Bucketizer, VectorAssembler
@@ -20,7 +23,7 @@ INPUTS = [
 BOOSTED = ("gbt", "xgboost", "lightgbm")
 REGISTRY_SCHEMA = (
     "model_id string, version string, model_type string, trained_at timestamp, artifact_path string, "
-    "is_active boolean, metrics map<string,double>, training_samples int, feature_count int, "
+    "is_active boolean, metrics map<string,double>, training_samples bigint, feature_count int, "
     "training_duration_seconds decimal(10,2), hyperparameters string, write_seq bigint"
 )
 
@@ -30,8 +33,21 @@ def split_by_time(features: DataFrame, cutoff: Column) -> tuple[DataFrame, DataF
     return features.where(F.col("time_window") < cutoff), features.where(F.col("time_window") >= cutoff)
 
 
+def is_complete() -> Column:
+    """Whether all inputs of the model are known."""
+    test = F.lit(True)
+    for c in INPUTS:
+        test &= F.col(c).isNotNull()
+    return test
+
+
+def training_rows(features: DataFrame) -> DataFrame:
+    """The rows that a model learns from: those with a target and all inputs."""
+    return features.where(F.col("target_binary").isNotNull() & is_complete())
+
+
 def train(features: DataFrame, model_type: str = "logistic_regression", **params) -> PipelineModel:
-    """M3. The boosted-tree names all train Spark's gradient-boosted trees."""
+    """M3, on `training_rows`. The boosted-tree names all train Spark's gradient-boosted trees."""
     common = dict(featuresCol="features", labelCol="target_binary")
     if model_type == "logistic_regression":
         classifier = LogisticRegression(**common, **params)
@@ -39,39 +55,44 @@ def train(features: DataFrame, model_type: str = "logistic_regression", **params
         classifier = GBTClassifier(**common, **params)
     else:
         raise ValueError(f"unknown model type {model_type!r}")
-    assembler = VectorAssembler(inputCols=INPUTS, outputCol="features", handleInvalid="skip")
-    return Pipeline(stages=[assembler, classifier]).fit(features.where("target_binary is not null"))
+    assembler = VectorAssembler(inputCols=INPUTS, outputCol="features", handleInvalid="keep")
+    return Pipeline(stages=[assembler, classifier]).fit(training_rows(features))
 
 
 def score(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """M6: the probability of an event per (cell, hour)."""
-    scored = model.transform(features).withColumn("risk", vector_to_array("probability")[1])
+    """M6: the probability of an event per (cell, hour); every row stays, without a risk where an input is missing."""
+    scored = model.transform(features).withColumn("risk", F.when(is_complete(), vector_to_array("probability")[1]))
     return scored.drop("features", "rawPrediction", "probability", "prediction")
 
 
-def score_splits(scored: DataFrame, risk: str = "risk", buckets: int = 256) -> list[float]:
-    """At most `buckets` split points between score ranges of about equal row counts: the only numbers of the metric
-    computation that reach the driver."""
-    grid = [i / buckets for i in range(1, buckets)]
-    points = scored.agg(F.percentile_approx(F.col(risk).cast("double"), grid, 10_000)).first()[0]
+def score_counts(scored: DataFrame, label: str = "target_binary", risk: str = "risk") -> DataFrame:
+    """Positive and negative rows per distinct score: all that the metrics need of the scored rows, in one pass."""
+    positive = F.count_if(F.col(label) == 1)
+    return scored.where(F.col(risk).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(risk).cast("double").alias("score")).agg(
+        positive.alias("pos"), (F.count(F.lit(1)) - positive).alias("neg"))
+
+
+def score_splits(counts: DataFrame, per_range: int = 500_000) -> list[float]:
+    """Split points between ranges of about `per_range` distinct scores each: the only numbers of the metric computation
+    that reach the driver. The ranges grow in number with the scores, not in size."""
+    ranges = 1 + counts.count() // per_range
+    if ranges < 2:
+        return []
+    points = counts.agg(F.percentile_approx("score", [i / ranges for i in range(1, ranges)], 10_000)).first()[0]
     return sorted(set(points or []))
 
 
-def curve_areas(scored: DataFrame, splits: list[float], label: str = "target_binary", risk: str = "risk") -> DataFrame:
-    """Exact areas under the ROC and the precision-recall curve (trapezoids over distinct scores).
+def curve_areas(counts: DataFrame, splits: list[float]) -> DataFrame:
+    """Exact areas under the ROC and the precision-recall curve (trapezoids over distinct scores), from `score_counts`.
 
-    Rows are first counted per distinct score. The running totals are then taken inside score ranges, each a window
-    partition of its own, on top of the totals of all higher ranges, a table as long as the list of split points. No
-    task sees all scores, and the split points only balance the work: any of them give the same result.
+    The running totals are taken inside score ranges, each a window partition of its own, on top of the totals of all higher
+    ranges, a table as long as the list of split points. No task sees all scores, and the split points only balance the
+    work: any of them give the same result.
     """
-    positive = F.count_if(F.col(label) == 1)
-    per_score = scored.where(F.col(risk).isNotNull() & F.col(label).isNotNull()).groupBy(
-        F.col(risk).cast("double").alias("score")
-    ).agg(positive.alias("pos"), (F.count(F.lit(1)) - positive).alias("neg"))
-    edges = [float("-inf"), *[s for s in splits], float("inf")]
+    edges = [float("-inf"), *splits, float("inf")]
     ranged = (
-        Bucketizer(splits=edges, inputCol="score", outputCol="range").transform(per_score)
-        if len(edges) > 2 else per_score.withColumn("range", F.lit(0.0))
+        Bucketizer(splits=edges, inputCol="score", outputCol="range").transform(counts)
+        if len(edges) > 2 else counts.withColumn("range", F.lit(0.0))
     )
     above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
     bases = ranged.groupBy("range").agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n")).select(
@@ -82,7 +103,7 @@ def curve_areas(scored: DataFrame, splits: list[float], label: str = "target_bin
     downward = Window.partitionBy("range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
     tp, fp = F.col("tp"), F.col("fp")
     pos, neg = F.col("pos"), F.col("neg")
-    curve = ranged.join(F.broadcast(bases), "range").select(
+    curve = ranged.join(F.broadcast(bases), "range").select(  # one row per range
         "pos", "neg",
         (F.col("base_pos") + F.sum("pos").over(downward)).alias("tp"),
         (F.col("base_neg") + F.sum("neg").over(downward)).alias("fp"),
@@ -99,19 +120,18 @@ def curve_areas(scored: DataFrame, splits: list[float], label: str = "target_bin
     )
 
 
-def threshold_metrics(
-    scored: DataFrame, threshold: float = 0.5, label: str = "target_binary", risk: str = "risk"
-) -> DataFrame:
-    """Brier score, precision, recall and F1 in one pass."""
-    y, p = F.col(label), F.col(risk).cast("double")
+def threshold_metrics(counts: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """Brier score, precision, recall and F1, from `score_counts`."""
+    pos, neg, p = F.col("pos"), F.col("neg"), F.col("score")
     hit = p >= threshold
-    counts = scored.where(p.isNotNull() & y.isNotNull()).agg(
-        F.avg(F.pow(p - y, F.lit(2))).alias("brier_score"),
-        F.count_if(hit & (y == 1)).alias("tp"), F.count_if(hit & (y == 0)).alias("fp"),
-        F.count_if(~hit & (y == 1)).alias("fn"),
+    square = F.sum(pos * F.pow(p - 1, F.lit(2)) + neg * F.pow(p, F.lit(2)))
+    sums = counts.agg(
+        F.try_divide(square, F.sum(pos + neg)).alias("brier_score"),
+        F.coalesce(F.sum(F.when(hit, pos)), F.lit(0)).alias("tp"), F.coalesce(F.sum(F.when(hit, neg)), F.lit(0)).alias("fp"),
+        F.coalesce(F.sum(F.when(~hit, pos)), F.lit(0)).alias("fn"),
     )
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return counts.select(
+    return sums.select(
         "brier_score",
         F.try_divide(tp, tp + fp).alias("precision"),
         F.try_divide(tp, tp + fn).alias("recall"),
@@ -119,15 +139,44 @@ def threshold_metrics(
     )
 
 
-def evaluate(scored: DataFrame, threshold: float = 0.5, buckets: int = 256) -> DataFrame:
-    """M4: one row with all six metrics and the same as a map."""
-    areas = curve_areas(scored, score_splits(scored, buckets=buckets))
+def evaluate(scored: DataFrame, path: str, threshold: float = 0.5) -> DataFrame:
+    """M4: one row with all six metrics and the same as a map.
+
+    The counts per score are written to `path` (a shared folder) and read from there, so the scored rows, and the model and
+    features behind them, are computed once.
+    """
+    score_counts(scored).write.mode("overwrite").parquet(path)
+    counts = scored.sparkSession.read.schema("score double, pos bigint, neg bigint").parquet(path)
+    areas = curve_areas(counts, score_splits(counts))
     # Both sides are single rows from global aggregates.
-    both = areas.withColumn("_one", F.lit(1)).join(threshold_metrics(scored, threshold).withColumn("_one", F.lit(1)), "_one")
+    both = areas.withColumn("_one", F.lit(1)).join(threshold_metrics(counts, threshold).withColumn("_one", F.lit(1)), "_one")
     row = both.drop("_one")
     return row.withColumn("metrics", metrics_map(**{c: F.col(c) for c in row.columns}))
 
 
+def registry_entry(
+    model: PipelineModel, features: DataFrame, metrics: DataFrame, path: str, model_id: str, version: str, model_type: str,
+    trained_at: Column, seconds: float, write_seq: int, is_active: bool = True,
+) -> DataFrame:
+    """M5: save a fitted model under `path` and describe it as one registry row: metrics from `evaluate`, the number of rows it
+    learned from, its inputs, and its parameters as JSON."""
+    model.write().overwrite().save(path)
+    stage = model.stages[-1]
+    chosen = {p.name: v for p, v in stage.extractParamMap().items() if isinstance(v, (bool, int, float, str))}
+    kinds = dict(part.strip().split(" ", 1) for part in re.split(r", (?=\w+ )", REGISTRY_SCHEMA))
+    values = {
+        "model_id": F.lit(model_id), "version": F.lit(version), "model_type": F.lit(model_type), "trained_at": trained_at, "artifact_path": F.lit(path),
+        "is_active": F.lit(is_active), "metrics": F.col("metrics"), "training_samples": F.lit(training_rows(features).count()), "feature_count": F.lit(len(INPUTS)),
+        "training_duration_seconds": F.lit(seconds), "hyperparameters": F.lit(json.dumps(chosen, sort_keys=True)), "write_seq": F.lit(write_seq),
+    }
+    return metrics.select(*(values[c].cast(t).alias(c) for c, t in kinds.items()))
+
+
+def load_model(entry_path: str) -> PipelineModel:
+    """M5: the model that a registry row's `artifact_path` names."""
+    return PipelineModel.load(entry_path)
+
+
 def current_models(writes: DataFrame) -> DataFrame:
     """Upsert fold: the last written row of each model id."""
     newest = writes.groupBy("model_id").agg(
@@ -149,8 +198,8 @@ def register_model(models: DataFrame, entry: DataFrame) -> DataFrame:
 
 
 def latest_model(models: DataFrame) -> DataFrame:
-    """A top-1 plan."""
-    return models.where("is_active").orderBy(F.desc("trained_at")).limit(1)
+    """A top-1 plan; of equal times the greatest model id."""
+    return models.where("is_active").orderBy(F.desc("trained_at"), F.desc("model_id")).limit(1)
 
 
 def heatmap_counts(gold: DataFrame, box: Box, start: Column, end: Column) -> DataFrame:

@@ -35,8 +35,8 @@ def validate_structure(spark: SparkSession, columns: list[str], extended: bool =
     return rows + [(f"has {c}", "warning", c in found, float(c in found)) for c in OPTIONAL_HEADERS]
 
 
-def validate_raw(raw: DataFrame, extended: bool = False, by: str | None = SOURCE_FILE) -> DataFrame:
-    """V1 + V2 + V3 per file: structure, coordinate ranges (the wider box), missing shares of required columns.
+def _validated(raw: DataFrame, extended: bool, by: str | None) -> DataFrame:
+    """V1 + V2 + V3 per file with the file's row count: structure, coordinate ranges (the wider box), missing shares of required columns.
 
     Ranges and shares are judged only when the structure is sound. One pass over the rows.
     """
@@ -60,21 +60,26 @@ def validate_raw(raw: DataFrame, extended: bool = False, by: str | None = SOURCE
             aggregates.append(missing.alias(f"_missing_{logical}"))
             share = F.col(f"_missing_{logical}")
             checks.append(_check(f"{logical} mostly present", share <= MISSING_WARN_PCT, share, "warning"))
-    return raw.groupBy(*keys).agg(*aggregates).select(*keys, F.inline(F.array(*checks)))
+    return raw.groupBy(*keys).agg(*aggregates).select(*keys, "_rows", F.inline(F.array(*checks)))
+
+
+def validate_raw(raw: DataFrame, extended: bool = False, by: str | None = SOURCE_FILE) -> DataFrame:
+    """V1 + V2 + V3 per file: (check, level, passed, value) rows."""
+    return _validated(raw, extended, by).drop("_rows")
 
 
 def file_profile(raw: DataFrame, extended: bool = False) -> DataFrame:
     """A16 + V3: one report row per file."""
-    checks = validate_raw(raw, extended)
     columns = [c for c in raw.columns if c not in (SOURCE_FILE, ROW_POS)]
     mapping = ", ".join(f"{k}={v}" for k, v in sorted(resolve_headers(columns, extended).items()))
     failed = ~F.col("passed")
-    report = checks.groupBy(SOURCE_FILE).agg(
+    # The checks of a file come from one row, so the second aggregation is over a few rows per file.
+    report = _validated(raw, extended, SOURCE_FILE).groupBy(SOURCE_FILE).agg(
+        F.first("_rows").alias("row_count"),
         F.count_if(failed & (F.col("level") == "error")).alias("errors"),
         F.count_if(failed & (F.col("level") == "warning")).alias("warnings"),
     )
-    rows = raw.groupBy(SOURCE_FILE).agg(F.count(ROWS).alias("row_count"))
-    return report.join(rows, SOURCE_FILE).select(
+    return report.select(
         SOURCE_FILE, "row_count", F.lit(len(columns)).alias("column_count"), F.lit(mapping).alias("column_mapping"),
         "errors", "warnings", (F.col("errors") == 0).alias("is_valid"),
     )

@@ -4,15 +4,72 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexwatch.operators import aggregates, joins, ledger
 from hexwatch.plans import incident
-from hexwatch.sources.bronze import SOURCE_FILE, scan_bronze, union_layouts
+from hexwatch.sources.bronze import PATTERN, SOURCE_FILE, Landing, exact, scan_landing
 from hexwatch.sources.gold import scan_gold, write_gold
 
 ARRIVAL_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
+FILE_FACTS = "file_name string, record_count bigint, dataset_type string, error_message string"
+Scan = Callable[[SparkSession, list[str]], Landing]
+
+
+def load_files(spark: SparkSession, paths: list[str], gold_path: str, ledger_path: str, scan: Scan = scan_landing) -> None:
+    """Load files of one batch, whatever the ledger says of them, and record every step.
+
+    Usable files start with their raw row count and dataset type before the load and complete after it, also if none of
+    their rows survive; unusable ones start and fail with the reason. If the load as a whole fails, its files are tried one by
+    one, so that one that cannot be read does not hold back the others.
+    """
+    def record(facts: list[dict], *kinds: str) -> None:
+        seq = ledger.next_seq(ledger.read_events(spark, ledger_path))
+        rows = spark.createDataFrame([(f["file_name"], f.get("record_count"), f.get("dataset_type"), f.get("reason")) for f in facts], FILE_FACTS)
+        made = [ledger.event(rows, k, F.lit(seq + i), record_count=F.col("record_count") if k != "fail" else None, dataset_type=F.col("dataset_type"),
+                             error_message=F.col("error_message") if k == "fail" else None) for i, k in enumerate(kinds)]
+        events = made[0]
+        for e in made[1:]:
+            events = events.unionByName(e)
+        ledger.append_events(events, ledger_path)
+
+    try:
+        landing = scan(spark, [exact(p) for p in paths])
+        if landing.unusable:
+            record(landing.unusable, "start", "fail")
+        if not landing.files:
+            return
+        facts = _with_counts(landing)
+        record(facts, "start")
+        names = [f["file_name"] for f in facts]
+        write_gold(incident.gold_or_refused(incident.silver(landing.frames)), gold_path, mode="replace", files=names)
+        record(facts, "complete")
+        stored = scan_gold(spark, gold_path).where(F.col(SOURCE_FILE).isin(names))
+        stats = aggregates.file_load_stats(stored).drop("record_count").withColumnRenamed(SOURCE_FILE, "file_name")
+        raw_counts = spark.createDataFrame([(f["file_name"], f["record_count"]) for f in facts], "file_name string, record_count bigint")
+        done = raw_counts.join(stats, "file_name", "left")
+        seq = F.lit(ledger.next_seq(ledger.read_events(spark, ledger_path)))
+        ledger.append_events(ledger.event(done, "gold_complete", seq, record_count=F.col("record_count"), last_timestamp=F.col("last_timestamp")), ledger_path)
+    except (PySparkException, OSError) as e:
+        if len(paths) > 1:
+            for path in paths:
+                load_files(spark, [path], gold_path, ledger_path, scan)
+        else:
+            record([{"file_name": paths[0].rsplit("/", 1)[-1], "reason": str(e)}], "start", "fail")
+
+
+def _with_counts(landing: Landing) -> list[dict]:
+    """Files with their raw row counts; those with line breaks in cells are counted by reading them."""
+    open_names = [f["file_name"] for f in landing.files if f["record_count"] is None]
+    if not open_names:
+        return landing.files
+    counted: dict[str, int] = {}
+    for frame in landing.frames:
+        rows = frame.where(F.col(SOURCE_FILE).isin(open_names)).groupBy(SOURCE_FILE).agg(F.count("*").alias("n")).collect()
+        counted |= {r[SOURCE_FILE]: r["n"] for r in rows}
+    return [f | {"record_count": counted.get(f["file_name"], 0) if f["record_count"] is None else f["record_count"]} for f in landing.files]
 
 
 def load_arrivals(
@@ -21,15 +78,16 @@ def load_arrivals(
     gold_path: str,
     ledger_path: str,
     checkpoint: str,
-    pattern: str = "*.csv",
+    pattern: str = PATTERN,
     max_files: int = 1000,
-    read: Callable[[SparkSession, list[str]], DataFrame | list[DataFrame]] = scan_bronze,
+    scan: Scan = scan_landing,
+    retry_failed: bool = False,
 ):
     """Start the stream and return its query; it ends when the files present now are loaded.
 
-    The stream carries file names only (the content column is pruned). Each batch runs the batch pipeline over its
-    files, replaces their partitions in the gold table, then records them in the ledger. When a batch is repeated
-    after a failure, it either finds the ledger rows and skips the files or overwrites the same partitions.
+    The stream carries file names only (the content column is pruned). Each batch loads the files that the ledger does not
+    know, or with `retry_failed` has not seen completed. When a batch is repeated after a failure, its files either are in the
+    ledger or replace what they had loaded. A corrected file is loaded again by `ledger.forget` and `load_files`.
     """
     arrivals = (
         spark.readStream.format("binaryFile")
@@ -44,21 +102,11 @@ def load_arrivals(
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         seen = ledger.fold(ledger.read_events(session, ledger_path))
-        batch = joins.unseen_files(batch, seen)
-        files = [row.path for row in batch.select("path").collect()]
-        if not files:
-            return
-        raw = read(session, files)
-        write_gold(incident.gold(incident.silver(raw)), gold_path, mode="replace")
-        frames = raw if isinstance(raw, list) else [raw]
-        named = union_layouts([f.select(SOURCE_FILE) for f in frames]).distinct()
-        names = [row[SOURCE_FILE] for row in named.collect()]
-        stored = scan_gold(session, gold_path).where(F.col(SOURCE_FILE).isin(names))
-        stats = aggregates.file_load_stats(stored)
-        seq = F.lit(batch_id * 4)
-        by_name = stats.withColumnRenamed("source_file", "file_name").withColumn("dataset_type", F.lit(None).cast("string"))
-        events = ledger.bronze_events(by_name, seq).unionByName(ledger.gold_events(stats, seq + F.lit(2)))
-        ledger.append_events(events, ledger_path)
+        # Started but not completed: a load that was cut off is taken up again.
+        open_ones = seen.where("status <> 'in_progress'")
+        files = joins.unseen_files(batch, open_ones, retry_failed).select("path").collect()  # at most max_files
+        if files:
+            load_files(session, [r["path"] for r in files], gold_path, ledger_path, scan)
 
     return (
         arrivals.writeStream.foreachBatch(load)
@@ -66,4 +114,3 @@ def load_arrivals(
         .trigger(availableNow=True)
         .start()
     )
-

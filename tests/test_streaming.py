@@ -24,8 +24,30 @@ def test_only_new_files_are_loaded(spark, landing):  # noqa: F811
     # A lost stream checkpoint brings all files again: the ledger holds them back.
     assert run("c2") == {A: 2, B: 1, C: 1, late: 1}
     state = {r.file_name: (r.status, r.record_count) for r in ledger.fold(ledger.read_events(spark, f"{base}/ledger")).collect()}
-    assert state == {A: ("completed", 2), B: ("completed", 1), C: ("completed", 1), late: ("completed", 1)}
+    assert state == {A: ("completed", 3), B: ("completed", 1), C: ("completed", 1), late: ("completed", 1)}  # raw rows
     assert ledger.read_events(spark, f"{base}/ledger").count() == 12
+    # A corrected file is loaded again once its record is forgotten.
+    (landing / late).write_text(f"{HEADER}\nE9,2024-01-05,5,43.70,-79.40,Assault,x,y\nE10,2024-01-05,6,43.70,-79.40,Assault,x,y\n")
+    ledger.forget(spark, [late], f"{base}/ledger")
+    assert run("c3") == {A: 2, B: 1, C: 1, late: 2}
+
+
+def test_every_file_is_recorded(spark, landing):  # noqa: F811
+    base = shared_dir(spark, "recorded")
+    (landing / "foreign.csv").write_text("a,b\n1,2\n")
+    dropped = "theft-from-motor-vehicle_20240103_000000.csv"
+    (landing / dropped).write_text(f"{HEADER}\nE1,2024-01-01,5,0,0,Assault,x,y\nE2,bad,5,43.7,-79.4,Assault,x,y\n")
+    load_arrivals(spark, str(landing), f"{base}/gold", f"{base}/ledger", f"{base}/c").awaitTermination()
+    state = {r.file_name: r for r in ledger.fold(ledger.read_events(spark, f"{base}/ledger")).collect()}
+    assert (state["foreign.csv"].status, state["foreign.csv"].error_message) == ("failed", "no coordinate columns in ['a', 'b']")
+    assert (state[dropped].status, state[dropped].record_count, state[dropped].last_timestamp) == ("completed", 2, None)
+    assert state[A].dataset_type == "major-crime-indicators" and state[A].record_count == 3
+    # Failed files are left alone, unless asked for.
+    (landing / "foreign.csv").write_text(f"{HEADER}\nE1,2024-01-01,5,43.7,-79.4,Assault,x,y\n")
+    for k, retry in enumerate((False, True)):
+        load_arrivals(spark, str(landing), f"{base}/gold", f"{base}/ledger", f"{base}/again{k}", retry_failed=retry).awaitTermination()
+        now = {r.file_name: r.status for r in ledger.fold(ledger.read_events(spark, f"{base}/ledger")).collect()}
+        assert now["foreign.csv"] == ("completed" if retry else "failed")
 
 
 def test_live_counts_emit_closed_hours(spark):

@@ -8,6 +8,7 @@ from conftest import rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
+from hexwatch.session import shared_dir
 from hexwatch.operators import features, joins, ledger, model, quality
 from hexwatch.settings import SILVER_SCHEMA
 
@@ -119,10 +120,11 @@ def scored_frame(spark, n=3000):
     return spark.createDataFrame(data, "risk double, target_binary int")
 
 
-@pytest.mark.parametrize("buckets", [1, 4, 256])
-def test_curve_areas_are_exact_for_any_split(spark, buckets):
+@pytest.mark.parametrize("per_range", [10, 300, 10**6])
+def test_curve_areas_are_exact_for_any_split(spark, per_range):
     df = scored_frame(spark)
-    got = model.curve_areas(df, model.score_splits(df, buckets=buckets)).first()
+    counts = model.score_counts(df)
+    got = model.curve_areas(counts, model.score_splits(counts, per_range)).first()
     for metric, value in (("areaUnderROC", got.roc_auc), ("areaUnderPR", got.pr_auc)):
         judge = BinaryClassificationEvaluator(
             rawPredictionCol="risk", labelCol="target_binary", metricName=metric, numBins=0)
@@ -146,7 +148,7 @@ def test_training_and_scoring(spark):
     for kind, params in (("logistic_regression", {"maxIter": 5}), ("xgboost", {"maxIter": 2, "maxDepth": 2})):
         scored = model.score(model.train(before, kind, **params), after)
         assert scored.where("risk between 0 and 1").count() == after.count()
-        assert set(model.evaluate(scored).first().metrics) == {
+        assert set(model.evaluate(scored, shared_dir(spark, "scores")).first().metrics) == {
             "roc_auc", "pr_auc", "brier_score", "precision", "recall", "f1_score"} 
     with pytest.raises(ValueError):
         model.train(before, "forest")
