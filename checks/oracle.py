@@ -229,7 +229,7 @@ select 'file_' || user_id || '.csv' as file_name, event_id as seq, ts as event_a
   case event_id % 4 when 0 then '{MCI}' when 1 then '{SHOOTINGS}' end as dataset_type
 from events"""
 LEDGER = """
-select file_name, ingested_at, cast(record_count as integer) as record_count, last_timestamp, status, error_message,
+select file_name, ingested_at, record_count, last_timestamp, status, error_message,
        dataset_type
 from (
   select file_name,
@@ -361,7 +361,9 @@ def oracles() -> dict[str, str]:
     o["s1_scan_bronze"] = on_raw(
         f"""select pos, id as EVENT_UNIQUE_ID, {NULLED['d']} as OCC_DATE, {NULLED['h']} as OCC_HOUR,
         {NULLED['lat']} as LAT_WGS84, {NULLED['lon']} as LONG_WGS84, {NULLED['cat']} as MCI_CATEGORY,
-        replace({NULLED['hood']}, 'O', 'Ö') as NEIGHBOURHOOD_158, {NULLED['premise']} as PREMISES_TYPE from raw""")
+        case when pos % 11 = 0 then replace(replace({NULLED['hood']}, 'O', 'Ö'), ' ', chr(10))
+             when pos % 13 = 0 then replace(replace({NULLED['hood']}, 'O', 'Ö'), '(', '"')
+             else replace({NULLED['hood']}, 'O', 'Ö') end as NEIGHBOURHOOD_158, {NULLED['premise']} as PREMISES_TYPE from raw""")
     o["s3_latest_file"] = sql({"files": FILES_CTE}, """
         select dataset_type, path, file_name, bytes, modified_at from files
         qualify row_number() over (partition by dataset_type order by modified_at desc, path desc) = 1""")
@@ -495,8 +497,8 @@ def oracles() -> dict[str, str]:
     o["w8_ledger_latest_state"] = sql(LEDGER_CTES, "select file_name, status, ingested_at from ledger")
     # top-k
     o["t1_latest_model"] = sql(MODEL_CTES, """
-        select model_id, version, trained_at, roc_auc from active where is_active order by trained_at desc limit 1""")
-    o["t2_last_ledger_rows"] = sql(LEDGER_CTES, "select * from ledger order by ingested_at desc limit 5")
+        select model_id, version, trained_at, roc_auc from active where is_active order by trained_at desc, model_id desc limit 1""")
+    o["t2_last_ledger_rows"] = sql(LEDGER_CTES, "select * from ledger order by ingested_at desc, file_name limit 5")
     o["t3_first_rows"] = on_cleaned(f"select pos, {SILVER_COLS} from cleaned order by pos limit 5000")
     o["t4_ordered_distribution"] = on_gold("select neighbourhood, count(*) as crime_count from gold group by all")
     # set operations
@@ -544,15 +546,15 @@ def oracles() -> dict[str, str]:
         where latitude is not null and longitude is not null""")
     # ledger
     o["l1_start"] = sql(LEDGER_CTES, """
-        select file_name, max(event_at) as ingested_at, cast(arg_max(record_count, seq) as integer) as record_count,
+        select file_name, max(event_at) as ingested_at, arg_max(record_count, seq) as record_count,
           'in_progress' as status, arg_max(dataset_type, seq) filter (dataset_type is not null) as dataset_type
         from ledger_events where kind = 'start' group by file_name""")
     o["l2_l3_l4_fold"] = sql(LEDGER_CTES, "select * from ledger")
     o["l4_gold_completion"] = on_gold("""
-        select source_file as file_name, cast(count(*) as integer) as record_count, 'completed' as status,
+        select source_file as file_name, count(*) as record_count, 'completed' as status,
           max(occurred_at) as last_timestamp from gold group by source_file""")
     o["l5_bronze_step"] = on_cleaned("""
-        select source_file as file_name, cast(count(*) as integer) as record_count, 'completed' as status, dataset_type
+        select source_file as file_name, count(*) as record_count, 'completed' as status, dataset_type
         from cleaned group by all""")
     # quality
     o["v1_structure"] = on_raw(structure(NOT_EXTENDED))
@@ -603,6 +605,29 @@ def oracles() -> dict[str, str]:
         where time_window >= timestamp '2024-01-05' and time_window < timestamp '2024-01-20'
           and h3_index in (select h3_index from gold where latitude between 43.6 and 43.75
                              and longitude between -79.5 and -79.3) group by all""")
+    dense = features("dense")
+    split = f"count(*) filter (time_window < timestamp '2024-01-22') as train_rows, count(*) filter (time_window >= timestamp '2024-01-22') as test_rows"
+    o["m3_train_logistic"] = on_counts(f"select {split}, true as at_optimum from ({dense})", dense=DENSE_CELL)
+    o["m3_train_boosted"] = on_counts(f"select {split}, true as in_range, true as near_base_rate, cast(3 as integer) as trees from ({dense})", dense=DENSE_CELL)
+    o["m5_fitted_entry"] = on_counts(f"""
+        select 'm-1' as model_id, 'v1' as version, true as is_active, train_rows as training_samples, cast(12 as integer) as feature_count,
+          cast(6 as integer) as n_metrics, '20' as max_iter, true as same_after_load from (select {split} from ({dense}))""", dense=DENSE_CELL)
+    o["m6_score"] = on_counts(f"""
+        select h3_index, time_window, target_binary, hour(time_window) = 5 as unknown, true as agrees from ({dense})
+        where time_window >= timestamp '2024-01-22'""", dense=DENSE_CELL)
+    o["s1_mixed_landing"] = sql({**{k: CTE[k] for k in ("raw", "cleaned")}, "kept": f"select * from cleaned where {IN_BOX} and {COMPLETE}",
+            **hex_ctes("select latitude as lat, longitude as lon from kept")}, """
+        select cell as name, count(*) as n from kept join hexes on latitude = lat and longitude = lon group by all
+        union all select 'no coordinate columns in [''o_orderkey'', ''o_totalprice'']', 1""")
+    o["s2_split_scan"] = on_raw("select pos, true as in_order from raw")
+    o["s6_replace_changed_type"] = on_cleaned(f"""
+        select source_file, dataset_type, count(*) as n, case when crime_type = 'Robbery' then 'refused' else 'kept' end as part
+        from cleaned where {IN_BOX} and {COMPLETE} and source_file not like 'theft%' group by all""")
+    o["r1_ledger"] = on_cleaned(f"""
+        select '{MCI}' as dataset_type, 'completed' as status, null as error_message, count(*) as raw_rows,
+          count(*) filter ({IN_BOX} and {COMPLETE}) as gold_rows from cleaned
+        union all select 'theft-from-motor-vehicle', 'completed', null, count(*), 0 from cleaned
+        union all select '{SHOOTINGS}', 'failed', 'no coordinate columns in [''o_orderkey'', ''price'']', null, 0""")
     # streaming
     o["r1_arrivals"] = on_gold(f"select {GOLD_COLS} from gold")
     live = {**{k: CTE[k] for k in ("raw", "cleaned")},

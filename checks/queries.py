@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hexwatch.functions import hexgrid, metrics_json, naming, numbers, text, times
@@ -172,23 +172,65 @@ def catalog_packages(spark: SparkSession, sf: str) -> DataFrame:
 # 2.1 sources and sinks
 
 
+def _write_csv(rows: DataFrame, path: str, encoding: str = "UTF-8") -> None:
+    (
+        rows.write.option("header", "true").option("encoding", encoding).option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    )
+
+
 @query
 def s1_scan_bronze(spark, sf):
+    """Two encodings, folders whose names the readers would decode or expand, cells with line breaks and quotes."""
     out = shared_dir(spark, "bronze")
-    rows = raw(spark, sf).withColumn("NEIGHBOURHOOD_158", F.replace("NEIGHBOURHOOD_158", F.lit("O"), F.lit("Ö")))
-    rows = rows.withColumnRenamed(ROW_POS, "pos").drop("source_file")
-    for encoding, part in (("UTF-8", F.col("pos") % 2 == 0), ("ISO-8859-1", F.col("pos") % 2 == 1)):
-        (
-            rows.where(part).write.option("header", "true").option("encoding", encoding).option("escape", '"')
-            .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-            .csv(f"{out}/{encoding}")
-        )
+    name = F.replace("NEIGHBOURHOOD_158", F.lit("O"), F.lit("Ö"))
+    name = F.when(F.col(ROW_POS) % 11 == 0, F.replace(name, F.lit(" "), F.lit("\n"))).when(F.col(ROW_POS) % 13 == 0, F.replace(name, F.lit("("), F.lit('"'))).otherwise(name)
+    rows = raw(spark, sf).withColumn("NEIGHBOURHOOD_158", name).withColumnRenamed(ROW_POS, "pos").drop("source_file")
+    _write_csv(rows.where("pos % 2 = 0"), f"{out}/new files%20[1]")
+    _write_csv(rows.where("pos % 2 = 1"), f"{out}/old+{{a}}", "ISO-8859-1")
     frames = bronze.scan_bronze(spark, out)
     both = bronze.union_layouts(frames).withColumn("pos", F.col("pos").cast("bigint"))
     return both.select("pos", RAW_KEY, "OCC_DATE", "OCC_HOUR", "LAT_WGS84", "LONG_WGS84", "MCI_CATEGORY",
                        "NEIGHBOURHOOD_158", "PREMISES_TYPE")
 
 
+@query
+def s1_mixed_landing(spark, sf):
+    """Incident files beside files of another kind: the incidents are loaded, the others named. Every row has a key of its
+    own here, so that the number of files does not matter."""
+    out = shared_dir(spark, "mixed")
+    _write_csv(raw(spark, sf).withColumn(RAW_KEY, F.col(ROW_POS).cast("string")).drop("source_file", ROW_POS), f"{out}/incidents")
+    table(spark, sf, "orders").select("o_orderkey", "o_totalprice").write.option("header", "true").csv(f"{out}/orders")
+    table(spark, sf, "nation").select("n_name").write.text(f"{out}/notes")
+    cells = incident.pipeline(spark, out).groupBy(F.col("h3_index").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    aside = bronze.scan_landing(spark, out).set_aside(spark).select(F.col("reason").alias("name"), F.lit(1).cast("bigint").alias("n"))
+    return cells.union(aside.distinct())
+
+
+@query
+def s2_split_scan(spark, sf):
+    """A file read in many splits keeps its row order: the position numbers the rows in the order written."""
+    out = shared_dir(spark, "splits")
+    _write_csv(raw(spark, sf).select(F.col(ROW_POS).cast("string").alias("pos"), "OCC_DATE").repartitionByRange(4, F.col("pos").cast("bigint")).sortWithinPartitions(F.col("pos").cast("bigint")), out)
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, str(1 << 17))
+        (frame,) = bronze.scan_bronze(spark, out)
+        previous = F.lag(F.col("pos").cast("bigint")).over(Window.partitionBy("source_file").orderBy(ROW_POS))
+        return frame.select(F.col("pos").cast("bigint").alias("pos"), (F.coalesce(previous, F.lit(-1)) < F.col("pos").cast("bigint")).alias("in_order")).transform(lambda df: _stored(df, "split-rows"))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _stored(df: DataFrame, purpose: str) -> DataFrame:
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @query
 def s3_latest_file(spark, sf):
     return bronze.latest_file(arrived_files(spark, sf))
@@ -217,6 +259,23 @@ def s6_write_gold(spark, sf):
     return plain(gold_io.scan_gold(spark, path))
 
 
+@query
+def s6_replace_changed_type(spark, sf):
+    """Files are loaded without a dataset type, then typed, then some become empty; refused rows are kept apart."""
+    path = shared_dir(spark, "gold-replaced")
+    rows = _stored(incident.gold_or_refused(clean.drop_missing_critical(clean.filter_region(cleaned(spark, sf))).withColumn(
+        "crime_type", F.when(F.col("crime_type") == "Robbery", F.repeat(F.lit(" "), 3)).otherwise(F.col("crime_type")))), "tagged")
+    refused = F.when(F.col("crime_type") == "   ", F.lit("blank type"))
+    rows = rows.withColumn("reject_reason", F.coalesce("reject_reason", refused))
+    gold_io.write_gold(rows.withColumn("dataset_type", F.lit(None).cast("string")), path)
+    gold_io.write_gold(rows, path)
+    emptied = [r[0] for r in rows.where(F.col("source_file").startswith("theft")).select("source_file").distinct().collect()]
+    gold_io.write_gold(rows.limit(0), path, files=emptied)
+    kept = gold_io.scan_gold(spark, path).groupBy("source_file", "dataset_type").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("kept"))
+    aside = gold_io.scan_quarantine(spark, path).groupBy("source_file", "dataset_type").agg(F.count(F.lit(1)).alias("n")).withColumn("part", F.lit("refused"))
+    return kept.unionByName(aside)
+
+
 @query
 def s6_quarantine(spark, sf):
     rows = hexgrid.with_h3(cleaned(spark, sf)).withColumn(
@@ -832,33 +891,52 @@ def m2_targets(spark, sf):
     return rows.select("h3_index", "hour_no", "target_crime_count", "target_binary")
 
 
-def _fitted(spark, sf, model_type, **params):
-    path = shared_dir(spark, "features")
-    features.build_features(gold(spark, sf), holidays(spark, sf)).write.parquet(path)
-    rows = spark.read.parquet(path)
-    before, after = model.split_by_time(rows, F.lit("2024-01-22").cast("timestamp"))
-    return model.score(model.train(before, model_type, **params), after)
+CUTOFF = "2024-01-22"
+
+
+def _split(spark, sf):
+    """Stored features with targets, before and from the cutoff."""
+    rows = _stored(features.build_features(gold(spark, sf), holidays(spark, sf)), "features")
+    return model.split_by_time(rows, F.lit(CUTOFF).cast("timestamp"))
 
 
 @query
 def m3_train_logistic(spark, sf):
-    return rounded(model.evaluate(_fitted(spark, sf, "logistic_regression", maxIter=10)).drop("metrics"), "roc_auc", "pr_auc")
+    """At the optimum the errors sum to nothing along every input."""
+    before, after = _split(spark, sf)
+    fitted = model.train(before, "logistic_regression", maxIter=200, tol=1e-10)
+    known = model.score(fitted, before).where(F.col("risk").isNotNull())
+    error = F.col("risk") - F.col("target_binary")
+    x = {c: F.col(c).cast("double") for c in model.INPUTS}
+    tight = [F.abs(F.sum(error * v)) <= 1e-3 * F.sum(F.abs(v)) + 1e-6 for v in x.values()]
+    ok = tight[0]
+    for t in tight[1:]:
+        ok = ok & t
+    sums = known.agg(F.count(F.lit(1)).alias("train_rows"), ok.alias("at_optimum"))
+    return sums.withColumn("test_rows", F.lit(after.count()))
 
 
 @query
 def m3_train_boosted(spark, sf):
-    return rounded(model.evaluate(_fitted(spark, sf, "gbt", maxIter=3, maxDepth=3, seed=7)).drop("metrics"), "roc_auc", "pr_auc")
+    before, after = _split(spark, sf)
+    fitted = model.train(before, "gbt", maxIter=3, maxDepth=3, seed=7)
+    risk = F.col("risk")
+    sums = model.score(fitted, before).agg(
+        F.count("risk").alias("train_rows"), (F.count_if(~risk.between(0, 1)) == 0).alias("in_range"),
+        (F.abs(F.avg(risk) - F.avg(F.when(risk.isNotNull(), F.col("target_binary")))) < 0.15).alias("near_base_rate"))
+    trees = F.lit(fitted.stages[-1].getNumTrees)
+    return sums.withColumns({"trees": trees, "test_rows": F.lit(after.count())})
 
 
 @query
 def m4_curve_areas(spark, sf):
-    rows = scored_events(spark, sf)
-    return rounded(model.curve_areas(rows, model.score_splits(rows)), "roc_auc", "pr_auc")
+    rows = model.score_counts(scored_events(spark, sf))
+    return rounded(model.curve_areas(rows, model.score_splits(rows, per_range=50)), "roc_auc", "pr_auc")
 
 
 @query
 def m4_threshold_metrics(spark, sf):
-    out = model.threshold_metrics(scored_events(spark, sf))
+    out = model.threshold_metrics(model.score_counts(scored_events(spark, sf)))
     return rounded(out, *out.columns)
 
 
@@ -869,10 +947,33 @@ def m5_register_model(spark, sf):
     return models.select("model_id", "version", "is_active", "write_seq", F.col("metrics")["roc_auc"].alias("roc_auc"))
 
 
+@query
+def m5_fitted_entry(spark, sf):
+    """A registry row made from a fitted model, and the model read back from the row's path."""
+    before, after = _split(spark, sf)
+    fitted = model.train(before, "logistic_regression", maxIter=20)
+    path = shared_dir(spark, "model")
+    measured = model.evaluate(model.score(fitted, after), shared_dir(spark, "scores"))
+    entry = model.registry_entry(fitted, before, measured, path, "m-1", "v1", "logistic_regression", F.lit("2024-02-01").cast("timestamp"), 1.5, 7)
+    again = model.score(model.load_model(path), after).select("h3_index", "time_window", F.col("risk").alias("again"))
+    same = model.score(fitted, after).join(again, ["h3_index", "time_window"]).agg((F.count_if(~F.col("risk").eqNullSafe(F.col("again"))) == 0).alias("same_after_load"))
+    row = entry.select("model_id", "version", "is_active", "training_samples", "feature_count", F.size("metrics").alias("n_metrics"), F.get_json_object("hyperparameters", "$.maxIter").alias("max_iter"))
+    return row.withColumn("_one", F.lit(1)).join(same.withColumn("_one", F.lit(1)), "_one").drop("_one")
+
+
 @query
 def m6_score(spark, sf):
-    scored = _fitted(spark, sf, "logistic_regression", maxIter=10)
-    return plain(scored.select("h3_index", "time_window", "target_binary", F.round("risk", 6).alias("risk")))
+    """One row per input row; the risk is the sigmoid of the fitted coefficients, and absent where an input is."""
+    before, after = _split(spark, sf)
+    after = after.withColumn("crimes_last_7d", F.when(F.hour("time_window") != 5, F.col("crimes_last_7d")))
+    fitted = model.train(before, "logistic_regression", maxIter=10)
+    weights = fitted.stages[-1].coefficients
+    z = F.lit(float(fitted.stages[-1].intercept))
+    for c, w in zip(model.INPUTS, weights):
+        z = z + F.col(c).cast("double") * F.lit(float(w))
+    expected = 1 / (1 + F.exp(-z))
+    agrees = F.coalesce(F.abs(F.col("risk") - expected) < 1e-9, F.col("risk").isNull() & expected.isNull())
+    return plain(model.score(fitted, after).select("h3_index", "time_window", "target_binary", F.col("risk").isNull().alias("unknown"), agrees.alias("agrees")))
 
 
 def _day(text_: str):
@@ -902,16 +1003,46 @@ def r1_arrivals(spark, sf):
     """The events file arrives; a second run finds nothing new."""
     base = shared_dir(spark, "arrivals")
 
-    def read(session, paths):
-        return testview.raw_from(session.read.parquet(*paths), table(session, sf, "nation"))
+    def scan(session, paths):
+        frame = testview.raw_from(session.read.parquet(*paths), table(session, sf, "nation"))
+        return bronze.Landing([frame], [{"path": p, "file_name": p.rsplit("/", 1)[-1], "dataset_type": None, "record_count": 0} for p in paths], [])
 
     for _ in range(2):
         load_arrivals(
-            spark, sf, f"{base}/gold", f"{base}/ledger", f"{base}/checkpoint", pattern="events.parquet", read=read
+            spark, sf, f"{base}/gold", f"{base}/ledger", f"{base}/checkpoint", pattern="events.parquet", scan=scan
         ).awaitTermination()
     return plain(gold_io.scan_gold(spark, f"{base}/gold"))
 
 
+def _named_files(spark, folder: str, names: dict[str, DataFrame]) -> None:
+    """Each table as CSV files whose names begin with its key, as datasets are delivered."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    for name, rows in names.items():
+        _write_csv(rows, f"{folder}/{name}")
+        path = hadoop.Path(f"{folder}/{name}")
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        parts = [s.getPath() for s in fs.globStatus(hadoop.Path(path, "part-*.csv"))]
+        for k, part in enumerate(parts):
+            fs.rename(part, hadoop.Path(path, f"{name}_20240101_{k:06d}.csv"))
+
+
+@query
+def r1_ledger(spark, sf):
+    """Arriving files: a sound dataset, one whose rows are all dropped, and a foreign one; a second run finds nothing new."""
+    base = shared_dir(spark, "r1-ledger")
+    rows = raw(spark, sf).withColumn(RAW_KEY, F.col(ROW_POS).cast("string")).drop("source_file", ROW_POS)
+    _named_files(spark, f"{base}/in", {
+        MCI: rows, "theft-from-motor-vehicle": rows.withColumn("LAT_WGS84", F.lit("0")),
+        SHOOTINGS: table(spark, sf, "orders").select("o_orderkey", F.col("o_totalprice").alias("price")),
+    })
+    for _ in range(2):
+        load_arrivals(spark, f"{base}/in", f"{base}/gold", f"{base}/ledger", f"{base}/checkpoint").awaitTermination()
+    loaded = gold_io.scan_gold(spark, f"{base}/gold").groupBy("dataset_type").agg(F.count(F.lit(1)).alias("gold_rows"))
+    state = ledger.fold(ledger.read_events(spark, f"{base}/ledger")).groupBy("dataset_type", "status", "error_message").agg(F.sum("record_count").alias("raw_rows"))
+    raw_rows = F.when(F.col("status") == "completed", F.col("raw_rows"))
+    return state.join(loaded, "dataset_type", "left").select("dataset_type", "status", "error_message", raw_rows.alias("raw_rows"), F.coalesce("gold_rows", F.lit(0)).alias("gold_rows"))
+
+
 @query
 def r2_live_counts(spark, sf):
     base = shared_dir(spark, "live")
