@@ -46,9 +46,9 @@ IDF_STRENGTH = 0.1
 #: Shingles of up to so many texts are equally rare: in small groups the similarity is that of the plain sets.
 RARE = 8
 ROUNDS = 3
-BUCKET_BYTES = 16 << 20
-BLOCK = 4 << 20
-FLUSH = 3_000_000
+BUCKET_BYTES = 8 << 20
+BLOCK = 1 << 20
+FLUSH = 1_000_000
 #: Broadcast rows to drop only up to so many (about 40 bytes each).
 MAX_BROADCAST_ROWS = 200_000
 #: Broadcast the shared shingles of all candidate texts only up to this size.
