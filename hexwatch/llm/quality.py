@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hexwatch.llm.common import column, fresh, stored
+from hexwatch.llm.common import column, fresh, small, stored
 
 WORD_SPLIT = r"[\x20\x09-\x0D]+"
 WORD_CHAR = r"[^\x20\x09-\x0D]"
@@ -113,16 +113,13 @@ def thresholds(measured: DataFrame, lang: str = "lang", source: str = "source")
     return joined.select("lang_key", "source_key", level.alias("limits"))
 
 
-def judged(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
-    """Stored measurements with `base_failed` and `kept`; columns of these names in the input are replaced.
+def with_limits(measured: DataFrame, limits: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """Measured rows with `base_failed` and `kept` by stored thresholds; columns of these names are replaced.
 
     A text of a group in which nothing passed the base rule is judged by the base rule alone, which it fails.
     """
     names = [c for c in measured.columns if c.lower() not in ("base_failed", "kept", "limits", "lang_key", "source_key")]
-    limits = stored(thresholds(measured, lang, source), "quality-limits")
-    if limits.count() <= MAX_BROADCAST_ROWS:
-        limits = F.broadcast(limits)
-    rows = measured.join(limits, column(measured, lang).eqNullSafe(F.col("lang_key")) & column(measured, source).eqNullSafe(F.col("source_key")), "left")
+    rows = measured.join(small(limits, MAX_BROADCAST_ROWS), column(measured, lang).eqNullSafe(F.col("lang_key")) & column(measured, source).eqNullSafe(F.col("source_key")), "left")
     within = F.lit(True)
     for k, (sql, _) in RATIOS.items():
         within &= F.coalesce(F.expr(sql) <= F.col(f"limits.max_{k}"), F.lit(True))
@@ -130,14 +127,19 @@ def judged(measured: DataFrame, lang: str = "lang", source: str = "source") -> D
     return rows.select(*(column(measured, c) for c in names), failed.alias("base_failed"), (~failed & within).alias("kept"))
 
 
+def judged(measured: DataFrame, lang: str = "lang", source: str = "source") -> DataFrame:
+    """Stored measurements with `base_failed` and `kept`, by thresholds from the same rows."""
+    return with_limits(measured, stored(thresholds(measured, lang, source), "quality-limits"), lang, source)
+
+
 def filtered(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """The rows that pass, with the input's columns as they are.
 
-    The figures are stored beside the rows, so that the filter reads them instead of measuring the texts again.
+    Texts are measured twice, for the thresholds and for the filter: that costs less than a second copy of all texts.
     """
     row = fresh(docs, "row")
     packed = docs.select(F.struct(*(column(docs, c) for c in docs.columns)).alias(row), column(docs, text).alias("text"),
                          column(docs, lang).alias("lang"), column(docs, source).alias("source"))
-    measured = stored(metrics(packed).drop("text"), "quality-figures")
-    kept = judged(measured).where("kept")
+    limits = stored(thresholds(metrics(packed).drop(row, "text")), "quality-limits")
+    kept = with_limits(metrics(packed).drop("text"), limits).where("kept")
     return kept.select(*(F.col(row)[c].alias(c) for c in docs.columns))
