@@ -76,9 +76,11 @@ def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     step = step.selectExpr(
         *keep, *FIGURES[:4],
         f"sort_array(transform(filter({s}, (x, k) -> coalesce(x.h = get({s}, k - 1).h, false) or coalesce(x.h = get({s}, k + 1).h, false)), x -> x.i)) as {p}")
-    return step.selectExpr(
+    counted = step.selectExpr(
         *keep, *FIGURES[:4],
         f"coalesce(aggregate({p}, struct(-{WINDOW} as last, 0L as n), (a, i) -> struct(i as last, a.n + least({WINDOW}, i - a.last) as n), a -> a.n), 0L) as n_repeat_words")
+    # A one-row `inline` keeps predicates on the figures from being rewritten into the chain above, level by level.
+    return counted.select(*keep, F.inline(F.array(F.struct(*FIGURES))))
 
 
 def base_failed() -> Column:
