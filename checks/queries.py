@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -867,9 +868,15 @@ def v7_load_summary(spark, sf):
 
 @query
 def v8_verify_tables(spark, sf):
-    for name, source in (("crimes", "events"), ("ingestion_metadata", "orders"), ("model_metadata", "part")):
-        table(spark, sf, source).createOrReplaceTempView(name)
-    return quality.verify_tables(spark, ["crimes", "ingestion_metadata", "features", "model_metadata"])
+    names = {"crimes": "events", "ingestion_metadata": "orders", "features": None, "model_metadata": "part"}
+    own = {k: f"v8_{uuid.uuid4().hex}_{k}" for k in names}  # stand-ins under names of their own, gone afterwards
+    for name, source in names.items():
+        if source:
+            table(spark, sf, source).createOrReplaceTempView(own[name])
+    out = quality.verify_tables(spark, list(own.values()))
+    for name in own.values():
+        spark.catalog.dropTempView(name)
+    return out.withColumn("table_name", F.regexp_replace("table_name", "^v8_[0-9a-f]+_", ""))
 
 
 # 2.11 features and model

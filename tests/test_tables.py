@@ -8,8 +8,9 @@ from conftest import rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from hexwatch.session import shared_dir
+from hexwatch.functions import times
 from hexwatch.operators import features, joins, ledger, model, quality
+from hexwatch.session import shared_dir
 from hexwatch.settings import SILVER_SCHEMA
 
 T0 = dt.datetime(2024, 1, 1)
@@ -152,3 +153,32 @@ def test_training_and_scoring(spark):
             "roc_auc", "pr_auc", "brier_score", "precision", "recall", "f1_score"} 
     with pytest.raises(ValueError):
         model.train(before, "forest")
+
+
+def test_counted_small_sides_leave_the_big_side_in_place(spark):
+    """Also where Spark itself would not broadcast: J1, J3, J4 and F15 move their small side only."""
+    big = spark.range(1000).select(
+        F.concat(F.lit("f"), (F.col("id") % 3).cast("string")).alias("source_file"), F.lit(None).cast("string").alias("dataset_type"),
+        F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 3600).alias("time_window"))
+    known = spark.createDataFrame([("f1", "t")], "source_file string, dataset_type string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        entries = known.withColumnRenamed("source_file", "file_name")
+        days = spark.createDataFrame([(T0.date(),)], "holiday_date date")
+        for df, rows in ((joins.drop_loaded(big, known), 667), (joins.backfill_dataset_type(big, entries), 1000), (times.with_holiday_flag(big, days), 1000)):
+            plan = df._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+            assert df.count() == rows
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_rows_without_an_input_stay_and_have_no_risk(spark):
+    rng = random.Random(5)
+    gold = spark.createDataFrame(
+        [(f"cell{rng.choice([0, 0, 1])}", T0 + dt.timedelta(hours=rng.randrange(200))) for _ in range(300)], "h3_index string, occurred_at timestamp")
+    feats = features.build_features(gold).withColumn("crimes_last_7d", F.when(F.hour("time_window") != 3, F.col("crimes_last_7d")))
+    scored = model.score(model.train(feats, maxIter=3), feats)
+    assert scored.count() == feats.count()
+    assert scored.where("risk is null").count() == feats.where("crimes_last_7d is null").count() > 0
