@@ -42,7 +42,7 @@ def test_query_keeps_good_documents(spark, sf):
 
 def test_thresholds_follow_the_group(docs_of):
     # Symbols are usual in one source and odd in the other; a small group uses its language's limits.
-    text = lambda k, n: " ".join(f"w{k}x{i}" for i in range(100)) + " #" * n
+    text = lambda k, n: " ".join([*(f"w{k}x{i}" for i in range(100)), *(f"#{i}" for i in range(n))])
     rows = [(k, text(k, k % 40), "en", "code") for k in range(200)] + [(1000 + k, text(k, 0), "en", "news") for k in range(400)]
     rows += [(5000, text(1, 60), "en", "news"), (5001, text(2, 60), "en", "code"), (5002, text(3, 0), "en", "rare")]
     kept = {r["doc_id"]: r["kept"] for r in quality.judged(quality.metrics(docs_of(rows))).collect()}
