@@ -24,7 +24,7 @@ def test_pieces_against_the_library(spark, sf, odd, path_of):
 
     path = path_of("byte_bpe_50k.json")
     library = Tokenizer.from_file(path)
-    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").limit(60).union(odd.select("doc_id", "text"))
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").limit(60).union(odd.select(odd["doc_id"] + 800000, "text"))
     special = spark.createDataFrame([(900001, "a<|endoftext|>b"), (900002, "it's 123  x\n\n y ")], docs.schema)
     rows = packing.pieces(docs.union(special), path).collect()
     texts = {r["doc_id"]: r["text"] for r in docs.union(special).collect()}

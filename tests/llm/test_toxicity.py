@@ -29,7 +29,7 @@ def test_counterfactuals_free_group_names(spark):
         return {r["doc_id"]: r["score"] for r in toxicity.score(probe, toxicity.fit(data, strength)).collect()}
 
     plain, fair = scores(0.0), scores(20.0)
-    assert plain[1] > 0.5 > fair[1]  # a neutral mention
+    assert plain[1] >= toxicity.THRESHOLD > fair[1]  # a neutral mention
     assert fair[2] > 0.5 and fair[3] > 0.5
     assert abs(fair[1] - fair[4]) < abs(plain[1] - plain[4])
 
@@ -42,11 +42,11 @@ def test_swaps_stay_in_their_kind():
 
 @pytest.mark.parametrize("fold", [False, True])
 def test_query_accuracy(spark, fold):
-    sf = "/root/testdata/sf0.01"
+    sf = "/root/testdata/sf0.1"
     rows = QUERIES["op2_toxicity_counterfactual"](spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where(F.col("held_out") == fold).collect()
     hit = sum(r["predicted"] == 1 and r["toxic"] == 1 for r in rows)
-    assert hit >= 0.7 * sum(r["toxic"] for r in rows)
-    assert sum(r["predicted"] == 1 and r["toxic"] == 0 for r in rows) <= 0.02 * len(rows)
+    assert hit >= 0.9 * sum(r["toxic"] for r in rows)
+    assert sum(r["predicted"] == 1 and r["toxic"] == 0 for r in rows) <= 0.01 * len(rows)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in rows)
 
 
