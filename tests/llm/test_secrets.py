@@ -64,7 +64,8 @@ def check(docs, got):
     return n
 
 
-def test_query_against_brute_force(spark, sf, odd, docs_of):
+def test_query_against_brute_force(spark, odd, docs_of):
+    sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     assert check(docs, QUERIES["op7_secret_scan"](spark, sf)) > 0
     check(odd, secrets.digests(odd))
