@@ -2,9 +2,11 @@
 
 Base figures of every text are compared with thresholds that come from mergeable quantile sketches (KLL) of its own language
 and source. Sketches are built per (language, source) and merged into those of the language and of everything, so that all
-levels come from one pass; a group with too few documents uses the next wider level. A figure is out of line beyond an
-outer fence: the upper quartile plus a multiple of the spread between the median and the upper quartile, but never below a
-floor at which no text is odd. Thresholds are then joined back and the documents filtered.
+levels come from one pass; a group with too few documents uses the next wider level. A group's limit begins at its outer
+fence, the upper quartile plus a multiple of the spread between the median and the upper quartile plus a small noise, and
+follows the upper quantiles as long as none lies beyond the limit reached so far. Usual values of a few texts raise it so,
+a separate heap of odd texts does not. The noise and the counts that a single text may always have are far under any
+cutoff. Thresholds are then joined back and the documents filtered.
 
 Defined results: null text counts as empty (no word, so it fails the base rule); null language or source are groups of their
 own; repeated rows count and are judged each for itself; an empty table yields no rows. Other columns pass through `metrics`
@@ -29,24 +31,28 @@ SPREADS = 6.0
 SKETCH_K = 400
 #: Broadcast the threshold table only up to so many rows (about 100 bytes each).
 MAX_BROADCAST_ROWS = 20_000
+#: Upper quantiles that may raise a limit, and by how much: to the median plus so many times their distance from it.
+UPPER = tuple(q / 100 for q in range(76, 100))
+GROWTH = 2.0
 FIGURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-#: Ratio, its SQL, and the value up to which it never counts against a text.
+MEASURED = [*FIGURES, "n_lines"]
+#: Ratio, its SQL, and its noise. A few signs, two repeated lines, and a passage of 24 words that comes twice say nothing.
 RATIOS = {
-    "symbol_ratio": ("n_symbols / n_words", 0.10),
-    "dup_line_ratio": ("n_dup_lines / n_words", 0.05),
-    "repeat_ratio": ("n_repeat_words / n_words", 0.30),
-    "word_length": ("word_chars / n_words", 12.0),
+    "symbol_ratio": ("greatest(n_symbols - 5, 0) / n_words", 0.03),
+    "dup_line_ratio": ("greatest(n_dup_lines - 2, 0) / n_lines", 0.05),
+    "repeat_ratio": ("greatest(n_repeat_words - 48, 0) / n_words", 0.05),
+    "word_length": ("word_chars / n_words", 0.5),
 }
 
 
 def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """All columns and the five base figures, without a shuffle.
+    """All columns, the five base figures and the number of lines with a word, without a shuffle.
 
     A window of eight words is the hash of two hashes of four, these of two hashes of two. Texts without an equal pair of
     windows end there; in the others the windows are sorted by hash, and the words that windows with an equal neighbour
     cover are counted. Two different windows of one text share a 64-bit hash with negligible probability.
     """
-    names = [c for c in docs.columns if c.lower() not in FIGURES]
+    names = [c for c in docs.columns if c.lower() not in MEASURED]
     keep = [f"`{c.replace('`', '``')}`" for c in names]
     own = "__q"  # prefix of the steps' own columns
     while any(c.startswith(own) for c in names):
@@ -66,21 +72,23 @@ def metrics(docs: DataFrame, text: str = "text") -> DataFrame:
         f"cast(char_length(array_join({w}, '')) as bigint) as word_chars",
         f"cast(octet_length({t}) - octet_length(regexp_replace({t}, '{SYMBOL}', '')) as bigint) as n_symbols",
         f"cast(size({s}) - size(array_distinct({s})) as bigint) as n_dup_lines",
+        f"cast(size({s}) as bigint) as n_lines",
         f"transform({w}, x -> xxhash64(x)) as {h}",
     )
+    carried = [*FIGURES[:4], "n_lines"]
     for gap in (1, 2, 4):
-        step = step.selectExpr(*keep, *FIGURES[:4], doubled(gap))
+        step = step.selectExpr(*keep, *carried, doubled(gap))
     step = step.selectExpr(
-        *keep, *FIGURES[:4],
+        *keep, *carried,
         f"case when size({h}) > size(array_distinct({h})) then sort_array(transform({h}, (x, i) -> struct(x as h, i as i))) end as {s}")
     step = step.selectExpr(
-        *keep, *FIGURES[:4],
+        *keep, *carried,
         f"sort_array(transform(filter({s}, (x, k) -> coalesce(x.h = get({s}, k - 1).h, false) or coalesce(x.h = get({s}, k + 1).h, false)), x -> x.i)) as {p}")
     counted = step.selectExpr(
-        *keep, *FIGURES[:4],
+        *keep, *carried,
         f"coalesce(aggregate({p}, struct(-{WINDOW} as last, 0L as n), (a, i) -> struct(i as last, a.n + least({WINDOW}, i - a.last) as n), a -> a.n), 0L) as n_repeat_words")
     # A one-row `inline` keeps predicates on the figures from being rewritten into the chain above, level by level.
-    return counted.select(*keep, F.inline(F.array(F.struct(*FIGURES))))
+    return counted.select(*keep, F.inline(F.array(F.struct(*MEASURED))))
 
 
 def base_failed() -> Column:
@@ -103,7 +111,10 @@ def thresholds(measured: DataFrame, lang: str = "lang", source: str = "source")
     def limits(level: DataFrame, *keys: str) -> DataFrame:
         def fence(k: str) -> Column:
             mid, high = (F.kll_sketch_get_quantile_double(k, F.lit(q).cast("double")) for q in (0.5, 0.75))
-            return F.greatest(F.lit(RATIOS[k][1]), high + SPREADS * (high - mid)).alias(f"max_{k}")
+            upper = F.kll_sketch_get_quantile_double(k, F.array(*(F.lit(q).cast("double") for q in UPPER)))
+            noise = F.lit(RATIOS[k][1])
+            first = high + SPREADS * (high - mid) + noise
+            return F.aggregate(upper, first, lambda most, x: F.when(x <= most, F.greatest(most, mid + GROWTH * (x - mid) + noise)).otherwise(most)).alias(f"max_{k}")
 
         return level.select(*keys, "n", *(fence(k) for k in RATIOS))
 

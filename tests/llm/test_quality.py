@@ -49,6 +49,33 @@ def test_thresholds_follow_the_group(docs_of):
     assert not kept[5000] and kept[5001] and kept[5002]
 
 
+def test_limits_follow_the_quantiles_below_any_cutoff(spark, docs_of):
+    # No quartile informs here: symbols and repeats are rare in "web", in "lists" a tail of clean texts has some of either.
+    def text(k, signs=0, again=0, lines=0):
+        words = [f"w{k}x{i}" for i in range(400)]
+        return " ".join([*words, *words[:again], *(f"#{i}" for i in range(signs))]) + "\nsame line" * lines
+
+    rows = [(k, text(k), "en", "web") for k in range(300)] + [(300 + k, text(k, k % 5, 0, k % 3), "en", "web") for k in range(20)]
+    rows += [(1000 + k, text(k, max(0, k - 250), max(0, k - 250)), "en", "lists") for k in range(300)]
+    rows += [(2000 + k, text(k, 700), "en", "web") for k in range(20)]  # a heap of junk, 6 percent of its group
+    odd = {"signs": dict(signs=35), "repeats": dict(again=45), "lines": dict(lines=6)}
+    rows += [(3000 + 10 * i + j, text(1, **kind), "en", source) for i, kind in enumerate(odd.values()) for j, source in enumerate(("web", "lists"))]
+    measured = quality.metrics(docs_of(rows))
+    kept = {r["doc_id"]: r["kept"] for r in quality.judged(measured).collect()}
+    assert [k for k in (*range(320), *range(1000, 1300)) if not kept[k]] == [] and not any(kept[k] for k in range(2000, 2020))
+    assert [kept[k] for k in (3000, 3010, 3020)] == [False] * 3  # under 0.10, 0.30 and 0.05 of the words
+    assert kept[3001] and kept[3011]
+    limits = {r["source_key"]: r["limits"] for r in quality.thresholds(measured).collect()}
+    assert limits["web"]["max_symbol_ratio"] < limits["lists"]["max_symbol_ratio"] and limits["web"]["max_repeat_ratio"] < limits["lists"]["max_repeat_ratio"]
+
+
+def test_given_clean_documents_stay(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    share = {r["quality"]: r["s"] for r in QUERIES["op4_quality_rules"](spark, sf).join(labels, "doc_id").where("not base_failed").selectExpr("quality", "cast(kept as double) as k").groupBy("quality").agg({"k": "avg"}).withColumnRenamed("avg(k)", "s").collect()}
+    assert share[1] >= 0.998 and share[0] <= 0.03
+
+
 def test_filter_keeps_columns_and_odd_rows(odd, empty):
     clashing = odd.withColumnRenamed("n_chars", "n_words").withColumnRenamed("source", "kept").withColumnRenamed("kept", "source").withColumn("row", odd["doc_id"])
     out = quality.filtered(clashing)
