@@ -3,7 +3,8 @@
 Three base patterns report assignments, access keys and long hex strings. Beyond them, runs of base64 or hex letters are
 candidates: they are decoded, and reported only if what they hold has the structure of a secret: nested DER lengths that
 fill the data exactly and hold a key's integers or an algorithm identifier, the length-prefixed fields of an OpenSSH key, or a
-signed token whose header is JSON with an algorithm. Candidates are found on the bytes of whole batches; only texts with a
+signed token whose header is JSON with an algorithm. Keys may be wrapped, with escaped line ends, as in JSON and source strings,
+or behind quote marks: their lines are joined up to the length that the structure itself gives. Candidates are found on the bytes of whole batches; only texts with a
 candidate or a key word are looked at one by one.
 
 Spans are (kind, start, end) in code points, end exclusive. Defined results: null and empty texts have no spans; of equal
@@ -33,14 +34,22 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 JWT = re.compile(r"(?<![A-Za-z0-9_-])([A-Za-z0-9_-]{8,})\.([A-Za-z0-9_-]{2,})\.([A-Za-z0-9_-]{8,})(?![A-Za-z0-9_-])")
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----([A-Za-z0-9+/=\s:,-]*?)-----END \1-----")
+PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]*PRIVATE KEY)-----((?:(?!-----)[A-Za-z0-9+/=\s:,\\\"'>#*|-])*)-----END \1-----")
 BASE64_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{40,}={0,2}")
+#: What may stand between two lines of one key: line ends, also escaped, marks of quotes and comments, joined source strings.
+LINE_BREAK = re.compile(r"(?:\\+[nr]|\\(?=\r?\n)|[\s\"'>#*|,]|(?<=[\"'\s])\+(?=\s))+")
+ESCAPE = re.compile(r"\\+[nrt]")
+JOINED_STRINGS = re.compile(r"[\"']\s*[+,]?\s*[\"']")
+BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}(?![0-9A-Fa-f])")
 #: Object identifiers of key algorithms, as DER bytes: RSA, EC, DSA, X25519, X448, Ed25519, Ed448, RSA-PSS.
 KEY_OIDS = tuple(bytes.fromhex(x) for x in ("2a864886f70d010101", "2a8648ce3d0201", "2a8648ce380401", "2b656e", "2b656f", "2b6570", "2b6571", "2a864886f70d01010a"))
 SSH_KEY = b"openssh-key-v1\x00"
 SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
+SSH_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2}
 MAX_DEPTH = 8
+#: Letters of the shortest token that JWT matches.
+LEAST_TOKEN = 20
 
 
 def _class(letters: str) -> np.ndarray:
@@ -141,13 +150,76 @@ def is_token_header(part: str) -> bool:
     return isinstance(head, dict) and isinstance(head.get("alg"), str)
 
 
+def der_size(data: bytes) -> int | None:
+    """Bytes of the DER sequence that begins here, or None if none does."""
+    if len(data) < 6 or data[0] != 0x30:
+        return None
+    n = data[1] & 0x7F
+    if data[1] < 0x80:
+        return 2 + n
+    return 2 + n + int.from_bytes(data[2 : 2 + n]) if 1 <= n <= 4 and data[2] else None
+
+
+def ssh_size(data: bytes) -> int | None:
+    """Bytes of the OpenSSH key that begins here, or None if none does or its fields end beyond the data."""
+    def after(at: int, fields: int) -> int | None:
+        for _ in range(fields):
+            if at + 4 > len(data):
+                return None
+            at += 4 + int.from_bytes(data[at : at + 4])
+        return at
+
+    if data.startswith(SSH_KEY):
+        keys = after(len(SSH_KEY), 3)  # cipher, key derivation and its options
+        return None if keys is None else after(keys + 4, int.from_bytes(data[keys : keys + 4]) + 1)
+    kind = data[4 : 4 + int.from_bytes(data[:4])]
+    return after(0, SSH_FIELDS.get(kind, 3)) if kind in SSH_TYPES else None
+
+
+def wrapped_end(text: str, start: int, end: int) -> tuple[str, int] | None:
+    """Kind and end of a key that begins with the base64 line text[start:end] and goes on in the lines after it, or None."""
+    head = decoded(text[start : start + 40])
+    if not head:
+        return None
+    size = der_size(head)
+    ssh = size is None and (head.startswith(SSH_KEY) or any(head[4:].startswith(t) for t in SSH_TYPES))
+    if size is None and not ssh:
+        return None
+    need = None if size is None else -(-size * 8 // 6)
+    parts, ends, length = [text[start:end]], [end], end - start
+    while need is None or length < need:
+        gap = LINE_BREAK.match(text, end)
+        if not gap or not re.search(r"[\r\n\\]", gap[0]) or not (line := BASE64_LINE.match(text, gap.end())):
+            break
+        end = line.end()
+        parts.append(line[0])
+        ends.append(end)
+        length += len(line[0])
+    body = "".join(parts)
+    if ssh:
+        size = ssh_size(decoded(body[: len(body) // 4 * 4]) or b"")
+        # The last letters may be a part of a group of four.
+        size = size or ssh_size((decoded(body) or b""))
+        if size is None:
+            return None
+        need = -(-size * 8 // 6)
+    at = 0
+    for part, stop in zip(parts, ends):
+        at += len(part)
+        if at == need and (raw := decoded(body[:at])):
+            kind = "ssh" if ssh and is_ssh_key(raw) else "der" if not ssh and is_der_key(raw) else None
+            return (kind, stop + len(re.match("={0,2}", text[stop : stop + 2])[0])) if kind else None
+    return None
+
+
 def confirmed(text: str) -> set[tuple[str, int, int]]:
     """Spans whose decoded structure is that of a key or token."""
     found = set()
     taken = []
     for m in PEM.finditer(text):
-        lines = [x for x in m[2].split("\n") if ":" not in x]  # headers of encrypted keys
-        raw = decoded(re.sub(r"[\s]", "", "".join(lines)))
+        body = JOINED_STRINGS.sub("\n", ESCAPE.sub("\n", m[2]))
+        lines = [x for x in body.split("\n") if ":" not in x]  # headers of encrypted keys
+        raw = decoded(re.sub(r"[\s\\\"'>#*|]", "", "".join(lines)))
         if raw and (is_der_key(raw) or is_ssh_key(raw) or "ENCRYPTED" in m[1] + m[2] and len(raw) >= 48):
             found.add(("pem", m.start(), m.end()))
             taken.append((m.start(), m.end()))
@@ -157,6 +229,13 @@ def confirmed(text: str) -> set[tuple[str, int, int]]:
     for m in BASE64_RUN.finditer(text):
         if any(a <= m.start() < b for a, b in taken):
             continue
+        start = m.start()
+        if text[start - 1 : start] == "\\" and m[0][0] in "nrt":
+            start += 1  # the letter of an escape
+        if whole := wrapped_end(text, start, start + len(text[start : m.end()].rstrip("="))):
+            found.add((whole[0], start, whole[1]))
+            taken.append((start, whole[1]))
+            continue
         raw = decoded(m[0])
         if raw and is_der_key(raw):
             found.add(("der", m.start(), m.end()))
@@ -184,6 +263,10 @@ def suspects(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     for table, least in ((RUN_CLASS, 40), (HEX_CLASS, 24)):
         start, end = spans_in(table[data], bounds)
         hit[np.searchsorted(bounds, start[end - start >= least], side="right") - 1] = True
+    start, end = spans_in(RUN_CLASS[data], bounds)  # a short token has two dots in a run
+    dots = np.concatenate(([0], np.cumsum(data == ord("."))))
+    token = (end - start >= LEAST_TOKEN) & (dots[end] - dots[start] >= 2)
+    hit[np.searchsorted(bounds, start[token], side="right") - 1] = True
     whole = LOWER[data].tobytes()
     for word in (*(w.encode() for w in WORDS), b"akia", b"private key-----"):
         at = whole.find(word)

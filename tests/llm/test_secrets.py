@@ -3,6 +3,7 @@ import hashlib
 import json
 import re
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -33,6 +34,33 @@ def test_structures_are_confirmed(text, kind):
     assert (kind, 9, 9 + len(text)) in spans
 
 
+LINES = re.findall(".{1,64}", b64(RSA))
+CONTAINER = secrets.SSH_KEY + FIELD(b"none") + FIELD(b"none") + FIELD(b"") + (1).to_bytes(4) + FIELD(SSH) + FIELD(bytes(range(136)))
+SHORT = ".".join((url64(b'{"alg":"HS256"}'), "e30", "abcdefghij"))
+
+
+@pytest.mark.parametrize("text, kind", [
+    (PEM.replace("\n", "\\n"), "pem"), (PEM.replace("\n", "\\\\n"), "pem"), (PEM.replace("\n", "\n> "), "pem"), (PEM.replace("\n", '\\n" +\n  "'), "pem"), (PEM.replace("\n", "\\r\\n"), "pem"),
+    ("\n".join(LINES), "der"), ("\\n".join(LINES), "der"), ("\r\n> ".join(LINES), "der"), ('\\n" +\n"'.join(LINES), "der"),
+    ("\n".join(re.findall(".{1,70}", b64(CONTAINER))), "ssh"), ("\\n".join(re.findall(".{1,64}", b64(PUBLIC))), "der"),
+])
+def test_wrapped_and_escaped_keys_are_confirmed(text, kind):
+    for before, after in (("é before ", " after"), ("é before\n", "\nNext line of words"), ('{"key": "\\n', '\\n", "x": 1}')):
+        spans = secrets.confirmed(before + text + after)
+        assert spans == {(kind, len(before), len(before) + len(text))}
+        assert secrets.scan(pa.array([before + text + after]))[0]
+
+
+def test_short_token_is_found_alone():
+    assert 33 <= len(SHORT) < 40
+    assert secrets.scan(pa.array([f"a {SHORT} b", "a.b.c and words.with.dots"])) == [[("jwt", 2, 2 + len(SHORT))], []]
+
+
+def test_wrapped_lookalikes_are_not():
+    for lines in (LINES[:-1], LINES[1:], [*LINES[:-1], "AAAA"]):
+        assert not secrets.confirmed("words\n" + "\n".join(lines) + "\nmore words")
+
+
 def test_lookalikes_are_not():
     for raw in (bytes(range(100)), RSA[:-1], RSA + b"x", der(0x30, der(0x0C, b"just a text of some length, not a key")), b"plain text " * 9):
         assert not secrets.confirmed(f"x {b64(raw)} y {raw.hex()} z")
