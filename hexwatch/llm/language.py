@@ -118,18 +118,20 @@ class SlicedFilters:
 
 
 def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE_DOCS) -> SlicedFilters:
-    """Filters from labelled rows: about `sample` documents per language, chosen by the hash of the text.
+    """Filters from labelled rows: about `sample` distinct texts per language, chosen by the hash of the text.
 
-    The sample is the documented bound of the fit. An n-gram enters a language's filter if it makes up at least MIN_SHARE
+    Copies of a text count once, so neither the sample's size nor its mix depends on them. The sample is the documented bound of the fit. An n-gram enters a language's filter if it makes up at least MIN_SHARE
     of the language's n-grams and MIN_RATIO of its largest share in any language. What is sent to the driver is the
     n-gram counts of the sample, whose number is bounded by it.
     """
     rows = labelled.select(column(labelled, text).alias("text"), column(labelled, lang).alias("lang")).where("lang is not null and text is not null")
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    texts = rows.groupBy("lang", F.xxhash64("text").alias("h")).agg(F.count("*").alias("n"))
+    found = texts.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).collect()
+    sizes, distinct = ({r["lang"]: r[k] for r in found} for k in ("n", "distinct"))
     if not sizes:
         return SlicedFilters([], [], None)
-    rates = F.create_map(*(F.lit(x) for k, n in sizes.items() for x in (k, int(min(1.0, sample / n) * 1_000_000))))
-    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < rates[F.col("lang")])
+    rates = F.create_map(*(F.lit(x) for k, n in distinct.items() for x in (k, int(min(1.0, sample / n) * 1_000_000))))
+    chosen = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < rates[F.col("lang")]).dropDuplicates(["lang", "text"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -70,3 +70,10 @@ def test_held_out_fold(docs_of):
 def test_names_that_exist_are_refused(odd):
     with pytest.raises(ValueError, match="exist already"):
         language.identify(odd.withColumnRenamed("source", "score"), language.SlicedFilters([], [], None))
+
+
+def test_copies_change_neither_sample_nor_filters(spark, docs_of):
+    plain = docs_of([(k, f"the ordinary words of text {'abcdefghij'[k % 10] * 5} and its neighbour", "en", None) for k in range(200)] + [(1000, "der hund und die katze", "de", None)]).select("text", "lang")
+    copied = spark.range(40_000).selectExpr("repeat('qux zyx ', 60) as text", "'en' as lang")
+    once, often = (language.learn(plain.unionByName(x)) for x in (copied.limit(1), copied))
+    assert once.languages == often.languages and (once.words == often.words).all()
