@@ -37,8 +37,7 @@ from p left join f on p.payload_digest = f.payload_digest and p.payload_bytes >=
 def op2_toxicity_counterfactual(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     chosen = toxicity.sampled(table(spark, sf_dir, "labels").where(~held_out()).select("doc_id", "toxic"))
-    labelled = docs.join(F.broadcast(chosen), "doc_id")  # bounded by the sample's two limits
-    found = toxicity.score(docs, toxicity.fit(labelled))
+    found = toxicity.score(docs, toxicity.fit(toxicity.labelled_texts(docs, chosen)))
     return found.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 

@@ -152,6 +152,18 @@ def sampled(labels: DataFrame, most_positive: int = MAX_POSITIVE, most_negative:
     return part(1, most_positive).unionByName(part(0, most_negative))
 
 
+def labelled_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """One row (text, toxic, weight) for each distinct text of a sampled document; texts of one id share its weight.
+
+    Copies of a row add nothing. An id with several texts has a row for each, and all of them weigh what the id stands for.
+    """
+    joined = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # chosen is bounded by the sample's two limits
+    rows = stored(joined.dropDuplicates(["doc_id", "text"]), "labelled-texts")
+    several = rows.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
+    shared = rows.join(F.broadcast(several), "doc_id", "left")  # at most one row per sampled id
+    return shared.select("text", "toxic", (F.col("weight") / F.coalesce("n", F.lit(1))).alias("weight"))
+
+
 def fit(labelled: DataFrame, counterfactual: float = COUNTERFACTUAL) -> Model:
     """A model from rows of (text, toxic, weight), whose number the caller bounds; see `sampled`.
 

@@ -67,3 +67,10 @@ def test_sample_is_bounded(spark):
     rows = toxicity.sampled(labels, 30, 50).collect()
     assert sum(r["toxic"] for r in rows) == 30 and len(rows) == 80
     assert abs(sum(r["weight"] for r in rows if r["toxic"]) - 100) < 1e-6
+
+
+def test_copies_of_a_sampled_id_are_one_row(spark):
+    docs = spark.createDataFrame([(1, "a")] * 50 + [(2, "b"), (2, "c"), (2, "b"), (3, "x"), (4, None), (4, None)], "doc_id long, text string")
+    chosen = spark.createDataFrame([(1, 1, 2.0), (2, 0, 3.0), (4, 0, 1.0)], "doc_id long, toxic int, weight double")
+    rows = sorted(((r["text"] or "", r["toxic"], r["weight"]) for r in toxicity.labelled_texts(docs, chosen).collect()))
+    assert rows == [("", 0, 1.0), ("a", 1, 2.0), ("b", 0, 1.5), ("c", 0, 1.5)]
