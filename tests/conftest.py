@@ -24,7 +24,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf():
     return "/root/testdata/sf0.001"
-
-
-def rows(df):
-    return [tuple(r) for r in df.collect()]

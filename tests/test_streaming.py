@@ -1,7 +1,7 @@
 import datetime as dt
 
-from conftest import rows
-from test_sources import A, B, C, HEADER, landing  # noqa: F401
+from tests.helpers import rows
+from tests.test_sources import A, B, C, HEADER, landing  # noqa: F401
 
 from hexwatch.operators import aggregates, ledger
 from hexwatch.session import shared_dir

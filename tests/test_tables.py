@@ -4,7 +4,7 @@ import datetime as dt
 import random
 
 import pytest
-from conftest import rows
+from tests.helpers import rows
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
