@@ -8,6 +8,9 @@ best, by the weighted dot product of its demand with the residual, or by the wei
 At scale the pieces are dealt into blocks of a bounded number of pieces, each packed by one task; a block leaves at most
 a few bins half full, so the loss is a small fraction of a percent. The tokens themselves are not shuffled.
 
+Very long runs of white space are taken out of a text before the splitting pattern sees it, which recurses over them; they
+are cut as the pattern would cut them, so the ids stay those of the whole text.
+
 Defined results: null text counts as empty and yields one piece holding the end id; repeated rows are packed each for itself;
 an empty table yields no rows; other columns of the input are ignored.
 """
@@ -33,6 +36,10 @@ BLOCK_PIECES = 20_000
 #: The splitting pattern of the byte-level vocabulary.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
+#: What the pattern's white space is. Runs of this many are cut before the pattern is applied.
+WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+LONG_RUN = 4096
+
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 PACKED = f"{PIECES}, sequence_id long, offset long"
 
@@ -57,14 +64,34 @@ class ByteBpe:
         self.encoding = tiktoken.Encoding("vocabulary", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.split = re.compile("|".join(map(re.escape, sorted(self.special, key=len, reverse=True)))) if self.special else None
 
+        self.run = re.compile(f"[{WHITE}]{{{LONG_RUN},}}")
+
     def encode(self, text: str) -> np.ndarray:
         if self.split is None or not any(s in text for s in self.special):
-            return self.encoding.encode_to_numpy(text, disallowed_special=())
+            return self.plain(text)
         parts, at = [], 0
         for m in self.split.finditer(text):
-            parts += [self.encoding.encode_to_numpy(text[at : m.start()], disallowed_special=()), np.array([self.special[m[0]]], np.uint32)]
+            parts += [self.plain(text[at : m.start()]), np.array([self.special[m[0]]], np.uint32)]
             at = m.end()
-        return np.concatenate([*parts, self.encoding.encode_to_numpy(text[at:], disallowed_special=())])
+        return np.concatenate([*parts, self.plain(text[at:])])
+
+    def plain(self, text: str) -> np.ndarray:
+        """Ids of a text without special tokens.
+
+        The pattern makes one token stretch of a run of white space up to the text's end, and of all but the last of a run
+        before another character; the last one begins the next stretch, or is one of its own.
+        """
+        parts, at = [], 0
+        for m in self.run.finditer(text):
+            end = m.end() - (m.end() < len(text))
+            parts += [self.encoding.encode_to_numpy(text[at : m.start()], disallowed_special=()), self.stretch(text[m.start() : end])]
+            at = end
+        rest = self.encoding.encode_to_numpy(text[at:], disallowed_special=())
+        return np.concatenate([*parts, rest]) if parts else rest
+
+    def stretch(self, text: str) -> np.ndarray:
+        """Ids of a text that the pattern does not cut."""
+        return np.array(self.encoding._encode_single_piece(text), np.uint32)
 
 
 def cut(n: int, capacity: int) -> list[tuple[int, int]]:

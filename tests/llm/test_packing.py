@@ -37,6 +37,41 @@ def test_pieces_against_the_library(spark, sf, odd, path_of):
     assert {r["doc_id"] for r in rows} == set(texts)
 
 
+RUNS = [" ", "\n", "\t", " \n", "\u3000 ", "\x85\xa0", "\x1c"]
+
+
+@pytest.mark.parametrize("run", RUNS)
+@pytest.mark.parametrize("before, after", [("", ""), ("a", "b"), ("one ", "\n"), ("x.", "<|endoftext|> y"), ("", "!"), ("a\n", "'s"), ("é", "\t日")])
+def test_long_runs_of_white_space_as_the_library(path_of, run, before, after):
+    from tokenizers import Tokenizer
+
+    path = path_of("byte_bpe_50k.json")
+    ours, library = packing.ByteBpe(path), Tokenizer.from_file(path)
+    for n in (packing.LONG_RUN - 1, packing.LONG_RUN, 3 * packing.LONG_RUN + 1):
+        text = f"{before}{run * n}{after} middle {run * n}{after}"
+        assert ours.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_runs_that_the_pattern_could_not_cut(spark, docs_of, path_of):
+    texts = [" " * 1_200_000 + "end", "\n" * 1_100_000, "ab" + " \n\t" * 400_000 + "x"]
+    from tokenizers import Tokenizer
+
+    path = path_of("byte_bpe_50k.json")
+    library = Tokenizer.from_file(path)
+    rows = packing.pack_documents(docs_of(list(enumerate(texts))), path).collect()
+    placed(rows)
+    for i, text in enumerate(texts):
+        ids = np.array([*library.encode(text, add_special_tokens=False).ids, 2], "<u4")
+        own = sorted((r["start"], r["length"], r["ids_crc32"]) for r in rows if r["doc_id"] == i)
+        assert sum(n for _, n, _ in own) == len(ids)
+        assert all(zlib.crc32(ids[a : a + n].tobytes()) == c for a, n, c in own)
+
+
+def test_ten_million_spaces(path_of):
+    ids = packing.ByteBpe(path_of("byte_bpe_50k.json")).encode(" " * 10_000_000)
+    assert len(ids) == 10_000_000 and len(set(ids[:9].tolist())) == 1
+
+
 def test_packing_is_tight_and_whole(spark, sf, path_of):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     rows = packing.pack_documents(docs, path_of("byte_bpe_50k.json")).collect()
