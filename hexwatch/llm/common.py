@@ -56,18 +56,18 @@ def held_out(doc_id: str = "doc_id") -> Column:
 def with_columns(df: DataFrame, text: str, fields: dict[str, T.DataType], make) -> DataFrame:
     """Every row of `df` with columns that `make(texts)` derives from the Arrow array of its texts (nulls as empty).
 
-    `make` returns one array for each of `fields`. The new names must be free in `df`.
+    `make` returns one array for each of `fields`. Columns with a new name, in any case, are replaced.
     """
-    names = list(df.columns)
-    if clash := {f.lower() for f in fields} & {n.lower() for n in names}:
-        raise ValueError(f"columns exist already: {sorted(clash)}")
-    schema = T.StructType([*df.schema.fields, *(T.StructField(k, v) for k, v in fields.items())])
-    at = names.index(text)
+    new = {f.lower() for f in fields}
+    kept = [i for i, f in enumerate(df.schema.fields) if f.name.lower() not in new]
+    names = [df.schema.fields[i].name for i in kept]
+    schema = T.StructType([*(df.schema.fields[i] for i in kept), *(T.StructField(k, v) for k, v in fields.items())])
+    at = df.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = make(text_array(batch.column(at)))
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(as_array(x) for x in made)], names=[*names, *fields])
+            yield pa.RecordBatch.from_arrays([*(batch.columns[i] for i in kept), *(as_array(x) for x in made)], names=[*names, *fields])
 
     return df.mapInArrow(run, schema)
 

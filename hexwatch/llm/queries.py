@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexwatch.llm import fingerprints, language, neardup, packing, quality, secrets, sentencepiece, toxicity, urls, warc
+from hexwatch.llm import fingerprints, language, neardup, packing, quality, secrets, sentencepiece, tokencounts, toxicity, urls, warc
 from hexwatch.llm.common import held_out, stored, table
 from hexwatch.session import shared_dir
 
@@ -79,6 +79,10 @@ def op10_weighted_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.class_of_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokencounts.counted(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model")).drop("text")
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_toxicity_counterfactual": op2_toxicity_counterfactual,
@@ -90,5 +94,6 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_url_filter": op9_url_filter,
     "op10_weighted_minhash": op10_weighted_minhash,
+    "op11_token_counts": op11_token_counts,
 }
 ORACLES: dict[str, str] = {"op1_warc": OP1_SQL}
