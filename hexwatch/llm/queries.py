@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexwatch.llm import fingerprints, language, neardup, packing, quality, secrets, sentencepiece, tokencounts, toxicity, urls, warc
+from hexwatch.llm import conversations, fingerprints, language, neardup, packing, quality, secrets, sentencepiece, tokencounts, toxicity, urls, warc
 from hexwatch.llm.common import held_out, stored, table
 from hexwatch.session import shared_dir
 
@@ -83,6 +83,10 @@ def op11_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokencounts.counted(table(spark, sf_dir, "documents").select("doc_id", "text"), tokenizer_path("piece_bpe_32k.model")).drop("text")
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repaired(conversations.damaged(table(spark, sf_dir, "conversations")))
+
+
 QUERIES = {
     "op1_warc": op1_warc,
     "op2_toxicity_counterfactual": op2_toxicity_counterfactual,
@@ -95,5 +99,6 @@ QUERIES = {
     "op9_url_filter": op9_url_filter,
     "op10_weighted_minhash": op10_weighted_minhash,
     "op11_token_counts": op11_token_counts,
+    "op13_conversation_repair": op13_conversation_repair,
 }
 ORACLES: dict[str, str] = {"op1_warc": OP1_SQL}
