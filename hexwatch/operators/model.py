@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import json
 import re
+from dataclasses import asdict
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hexwatch.functions.metrics_json import metrics_map
+from hexwatch.operators import boosting
+from hexwatch.operators.boosting import BoostedModel
 from hexwatch.operators.clean import filter_region
 from hexwatch.settings import Box
 
@@ -20,7 +23,8 @@ INPUTS = [
     "hour_of_day", "day_of_week", "is_weekend", "is_night", "is_holiday", "month", "season",
     "crimes_last_1h", "crimes_last_24h", "crimes_last_7d", "same_hour_last_week", "rolling_avg_30d",
 ]
-BOOSTED = ("gbt", "xgboost", "lightgbm")
+#: Second-order boosting by name: how its trees grow.
+GROWTH = {"xgboost": "level", "lightgbm": "leaf"}
 REGISTRY_SCHEMA = (
     "model_id string, version string, model_type string, trained_at timestamp, artifact_path string, "
     "is_active boolean, metrics map<string,double>, training_samples bigint, feature_count int, "
@@ -46,12 +50,15 @@ def training_rows(features: DataFrame) -> DataFrame:
     return features.where(F.col("target_binary").isNotNull() & is_complete())
 
 
-def train(features: DataFrame, model_type: str = "logistic_regression", **params) -> PipelineModel:
-    """M3, on `training_rows`. The boosted-tree names all train Spark's gradient-boosted trees."""
+def train(features: DataFrame, model_type: str = "logistic_regression", **params) -> PipelineModel | BoostedModel:
+    """M3. `logistic_regression` and `gbt` are Spark's and learn from `training_rows`; `xgboost` and `lightgbm` boost with second
+    derivatives over binned inputs, level by level or leaf by leaf (see `boosting.Params`), and learn from missing inputs too."""
+    if model_type in GROWTH:
+        return boosting.fit(features, INPUTS, "target_binary", boosting.Params(GROWTH[model_type], **params))
     common = dict(featuresCol="features", labelCol="target_binary")
     if model_type == "logistic_regression":
         classifier = LogisticRegression(**common, **params)
-    elif model_type in BOOSTED:
+    elif model_type == "gbt":
         classifier = GBTClassifier(**common, **params)
     else:
         raise ValueError(f"unknown model type {model_type!r}")
@@ -59,8 +66,11 @@ def train(features: DataFrame, model_type: str = "logistic_regression", **params
     return Pipeline(stages=[assembler, classifier]).fit(training_rows(features))
 
 
-def score(model: PipelineModel, features: DataFrame) -> DataFrame:
-    """M6: the probability of an event per (cell, hour); every row stays, without a risk where an input is missing."""
+def score(model: PipelineModel | BoostedModel, features: DataFrame) -> DataFrame:
+    """M6: the probability of an event per (cell, hour); every row stays. Boosted trees score rows with missing inputs, the other
+    models give them no risk."""
+    if isinstance(model, BoostedModel):
+        return features.withColumn("risk", model.risk())
     scored = model.transform(features).withColumn("risk", F.when(is_complete(), vector_to_array("probability")[1]))
     return scored.drop("features", "rawPrediction", "probability", "prediction")
 
@@ -155,25 +165,31 @@ def evaluate(scored: DataFrame, path: str, threshold: float = 0.5) -> DataFrame:
 
 
 def registry_entry(
-    model: PipelineModel, features: DataFrame, metrics: DataFrame, path: str, model_id: str, version: str, model_type: str,
+    model: PipelineModel | BoostedModel, features: DataFrame, metrics: DataFrame, path: str, model_id: str, version: str, model_type: str,
     trained_at: Column, seconds: float, write_seq: int, is_active: bool = True,
 ) -> DataFrame:
     """M5: save a fitted model under `path` and describe it as one registry row: metrics from `evaluate`, the number of rows it
     learned from, its inputs, and its parameters as JSON."""
-    model.write().overwrite().save(path)
-    stage = model.stages[-1]
-    chosen = {p.name: v for p, v in stage.extractParamMap().items() if isinstance(v, (bool, int, float, str))}
+    if isinstance(model, BoostedModel):
+        model.save(features.sparkSession, path)
+        chosen, learned = asdict(model.params), features.where(F.col("target_binary").isNotNull())
+    else:
+        model.write().overwrite().save(path)
+        chosen = {p.name: v for p, v in model.stages[-1].extractParamMap().items() if isinstance(v, (bool, int, float, str))}
+        learned = training_rows(features)
     kinds = dict(part.strip().split(" ", 1) for part in re.split(r", (?=\w+ )", REGISTRY_SCHEMA))
     values = {
         "model_id": F.lit(model_id), "version": F.lit(version), "model_type": F.lit(model_type), "trained_at": trained_at, "artifact_path": F.lit(path),
-        "is_active": F.lit(is_active), "metrics": F.col("metrics"), "training_samples": F.lit(training_rows(features).count()), "feature_count": F.lit(len(INPUTS)),
+        "is_active": F.lit(is_active), "metrics": F.col("metrics"), "training_samples": F.lit(learned.count()), "feature_count": F.lit(len(INPUTS)),
         "training_duration_seconds": F.lit(seconds), "hyperparameters": F.lit(json.dumps(chosen, sort_keys=True)), "write_seq": F.lit(write_seq),
     }
     return metrics.select(*(values[c].cast(t).alias(c) for c, t in kinds.items()))
 
 
-def load_model(entry_path: str) -> PipelineModel:
-    """M5: the model that a registry row's `artifact_path` names."""
+def load_model(entry_path: str, model_type: str = "logistic_regression") -> PipelineModel | BoostedModel:
+    """M5: the model that a registry row's `artifact_path` and `model_type` name."""
+    if model_type in GROWTH:
+        return BoostedModel.load(SparkSession.active(), entry_path)
     return PipelineModel.load(entry_path)
 
 
