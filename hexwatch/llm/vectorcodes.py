@@ -33,7 +33,7 @@ SCALE = 1024
 PARTS, ENTRIES, ROUNDS = 4, 256, 4
 #: Components must be smaller than this, so that integers stay under 2^28 and sums of squares under 2^63.
 LARGEST = float(1 << 18)
-BLOCK_ROWS, LEAF_ROWS = 8192, 16
+BLOCK_ROWS, LEAF_ROWS = 8192, 128
 RESULT = "vec_id long, code string, error long, label_error long, codebooks_sha256 string"
 
 
@@ -122,6 +122,14 @@ def single_entries(tree: Tree, entries: EntryTree, node: np.ndarray, entry: np.n
     return (np.arange(len(node)) == rival) | (least < 0) | (least == 0) & (index < index[rival])
 
 
+def compared(x: np.ndarray, e: np.ndarray) -> np.ndarray:
+    """Squared distances of points and entries, less the point's own square. Products of integers are whole numbers in doubles as
+    well, which have the faster product, as long as no sum passes 2^53."""
+    most = max(int(np.abs(x).max()), int(np.abs(e).max()))
+    product = (x.astype(np.float64) @ e.T.astype(np.float64)).astype(np.int64) if most * most * x.shape[1] < 1 << 53 else x @ e.T
+    return square(e) - 2 * product
+
+
 def assign(tree: Tree, entries: EntryTree) -> tuple[np.ndarray, np.ndarray, np.ndarray, dict[str, int]]:
     """The nearest entry of every point in tree order, sums and counts of the entries, and how much was done which way."""
     k, d = entries.points.shape
@@ -170,8 +178,7 @@ def assign(tree: Tree, entries: EntryTree) -> tuple[np.ndarray, np.ndarray, np.n
             elif i >= tree.first_leaf:
                 index = np.sort(entries.order[e1[at : at + m]])
                 x, e = tree.points[a:b], entries.by_index[index]
-                far = ((x[:, None, :] - e[None, :, :]) ** 2).sum(2)
-                found = index[far.argmin(1)]  # the first of equals has the lower index
+                found = index[compared(x, e).argmin(1)]  # the first of equals has the lower index
                 codes[a:b] = found
                 np.add.at(sums, found, x)
                 counts += np.bincount(found, minlength=k)
