@@ -219,6 +219,45 @@ from (select *, make_timestamp(hour_no * 3600000000) as time_window, {LOOK} from
       window w as (partition by h3_index order by hour_no))"""
 
 
+INPUT_EDGES = {
+    "hour_of_day": (6, 12, 18), "day_of_week": (2, 4), "is_weekend": (1,), "is_night": (1,), "is_holiday": (1,), "month": (2, 3), "season": (2, 3),
+    "crimes_last_1h": (1, 2), "crimes_last_24h": (1, 3), "case when hour(time_window) <> 5 then crimes_last_7d end": (2, 8),
+    "same_hour_last_week": (1,), "rolling_avg_30d": (0.01, 0.05),
+}
+
+
+def level_histogram(feature_rows: str) -> str:
+    cells = []
+    for i, (x, edges) in enumerate(INPUT_EDGES.items()):
+        above = " + ".join(f"cast(cast({x} as double) >= {e} as integer)" for e in edges)
+        cells.append(f"{{'feature': {i}, 'bin': coalesce(1 + {above}, 0)}}")
+    return f"""
+select node, cell.feature as feature, cell.bin as bin, cast(sum(524288 - 1048576 * y) as bigint) as g, cast(sum(262144) as bigint) as h, count(*) as n
+from (select cast(case when hour_of_day < 12 then 1 else 2 end as bigint) as node, target_binary as y, unnest([{", ".join(cells)}]) as cell
+      from ({feature_rows})) group by all"""
+
+
+def best_splits(cells: str) -> str:
+    """Every split of every node with missing values on either side, and the best of them."""
+    def quality(g: str, h: str) -> str:
+        return f"(({g}) / 1048576.0) * (({g}) / 1048576.0) / (({h}) / 1048576.0 + 1.0)"
+
+    return f"""
+select node, feature, bin, missing_left, round(gain, 6) as gain, left_g, left_h, right_g, right_h from (
+  select *, ({quality("left_g", "left_h")} + {quality("right_g", "right_h")} - {quality("left_g + right_g", "left_h + right_h")}) / 2 as gain
+  from (
+    select c.node, c.feature, c.bin, missing_left,
+      cast(sum(o.g) filter (goes_left) as bigint) as left_g, cast(sum(o.h) filter (goes_left) as bigint) as left_h,
+      cast(sum(o.g) filter (not goes_left) as bigint) as right_g, cast(sum(o.h) filter (not goes_left) as bigint) as right_h
+    from (select distinct node, feature, bin, missing_left from ({cells}), (select unnest([true, false]) as missing_left) where bin > 0) c
+    join (select * from ({cells})) o on o.node = c.node and o.feature = c.feature,
+    lateral (select case when o.bin = 0 then missing_left else o.bin <= c.bin end as goes_left)
+    group by all
+  ) where left_h >= 1048576 and right_h >= 1048576
+) where gain > 1e-9
+qualify row_number() over (partition by node order by gain desc, feature, bin, missing_left desc) = 1"""
+
+
 # Ledger events, model writes and files, derived from the events table.
 LEDGER_EVENTS = f"""
 select 'file_' || user_id || '.csv' as file_name, event_id as seq, ts as event_at,
@@ -609,6 +648,11 @@ def oracles() -> dict[str, str]:
     split = f"count(*) filter (time_window < timestamp '2024-01-22') as train_rows, count(*) filter (time_window >= timestamp '2024-01-22') as test_rows"
     o["m3_train_logistic"] = on_counts(f"select {split}, true as at_optimum from ({dense})", dense=DENSE_CELL)
     o["m3_train_boosted"] = on_counts(f"select {split}, true as in_range, true as near_base_rate, cast(3 as integer) as trees from ({dense})", dense=DENSE_CELL)
+    boosted = "true as in_range, true as better_than_the_mean, true as near_base_rate, cast(2 as integer) as trees, true as leaves_bounded"
+    for kind in ("xgboost", "lightgbm"):
+        o[f"m3_train_{kind}"] = on_counts(f"select {split}, {boosted} from ({dense})", dense=DENSE_CELL)
+    o["m3_level_histogram"] = on_counts(f"select * from ({level_histogram(dense)})", dense=DENSE_CELL)
+    o["m3_best_splits"] = on_counts(best_splits(level_histogram(dense)), dense=DENSE_CELL)
     o["m5_fitted_entry"] = on_counts(f"""
         select 'm-1' as model_id, 'v1' as version, true as is_active, train_rows as training_samples, cast(12 as integer) as feature_count,
           cast(6 as integer) as n_metrics, '20' as max_iter, true as same_after_load from (select {split} from ({dense}))""", dense=DENSE_CELL)

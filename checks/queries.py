@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hexwatch.functions import hexgrid, metrics_json, naming, numbers, text, times
-from hexwatch.operators import aggregates, clean, columns, features, joins, ledger, load, model, quality
+from hexwatch.operators import aggregates, boosting, clean, columns, features, joins, ledger, load, model, quality
 from hexwatch.plans import incident, testview
 from hexwatch.plans.testview import raw_incidents, table
 from hexwatch.session import shared_dir
@@ -935,6 +935,52 @@ def m3_train_boosted(spark, sf):
     return sums.withColumns({"trees": trees, "test_rows": F.lit(after.count())})
 
 
+#: Bin edges of the inputs in the order of `model.INPUTS`, the same in the oracle.
+EDGES = [[6, 12, 18], [2, 4], [1], [1], [1], [2, 3], [2, 3], [1, 2], [1, 3], [2, 8], [1], [0.01, 0.05]]
+
+
+def _level(spark, sf):
+    """The second level of a tree whose root parts the day at noon; an input is missing at one hour of the day."""
+    rows = _stored(features.build_features(gold(spark, sf), holidays(spark, sf)), "features")
+    rows = rows.withColumn("crimes_last_7d", F.when(F.hour("time_window") != 5, F.col("crimes_last_7d")))
+    held = boosting.binned(rows, model.INPUTS, EDGES, "target_binary")
+    return boosting.histogram(held, F.expr("case when b0 <= 2 then 1 else 2 end"), F.lit(0.0), len(EDGES))
+
+
+@query
+def m3_level_histogram(spark, sf):
+    return _level(spark, sf)
+
+
+@query
+def m3_best_splits(spark, sf):
+    return rounded(boosting.best_splits(_level(spark, sf), boosting.Params()), "gain")
+
+
+def _boosted(spark, sf, kind, **params):
+    before, after = _split(spark, sf)
+    fitted = model.train(before, kind, **params)
+    y, risk = F.col("target_binary"), F.col("risk")
+    loss = F.avg(-y * F.log(risk) - (1 - y) * F.log(1 - risk))
+    share = F.avg(y)
+    sums = model.score(fitted, before).agg(
+        F.count("risk").alias("train_rows"), (F.count_if(~risk.between(0, 1)) == 0).alias("in_range"),
+        (loss < -share * F.log(share) - (1 - share) * F.log(1 - share)).alias("better_than_the_mean"),
+        (F.abs(F.avg(risk) - share) < 0.15).alias("near_base_rate"))
+    leaves = max(len(t.values) for t in fitted.trees)
+    return sums.withColumns({"trees": F.lit(len(fitted.trees)), "leaves_bounded": F.lit(leaves <= 5), "test_rows": F.lit(after.count())})
+
+
+@query
+def m3_train_xgboost(spark, sf):
+    return _boosted(spark, sf, "xgboost", trees=2, max_depth=2)
+
+
+@query
+def m3_train_lightgbm(spark, sf):
+    return _boosted(spark, sf, "lightgbm", trees=2, leaves=5, max_depth=4)
+
+
 @query
 def m4_curve_areas(spark, sf):
     rows = model.score_counts(scored_events(spark, sf))
