@@ -683,4 +683,9 @@ def oracles() -> dict[str, str]:
         from kept join hexes on latitude = lat and longitude = lon group by all
         having date_trunc('hour', occurred_at) + interval 1 hour
           <= (select max(occurred_at) from kept) - interval 2 hour""")
+    o["r2_live_first_counts"] = on_gold("""
+        select h3_index, date_trunc('hour', occurred_at) as time_window, count(*) as crime_count,
+          count(distinct crime_type) as distinct_crime_types from gold group by all
+        having date_trunc('hour', occurred_at) + interval 1 hour
+          <= (select max(occurred_at) from cleaned) - interval 2 hour""")
     return o

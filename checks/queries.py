@@ -13,13 +13,13 @@ from hexwatch.operators import aggregates, boosting, clean, columns, features, j
 from hexwatch.plans import incident, testview
 from hexwatch.plans.testview import raw_incidents, table
 from hexwatch.session import shared_dir
-from hexwatch.settings import RAW_KEY, SILVER_COLUMNS, Box
+from hexwatch.settings import RAW_KEY, SILVER_COLUMNS, SILVER_CRITICAL, Box
 from hexwatch.sources import bronze, registry
 from hexwatch.sources import gold as gold_io
 from hexwatch.sources import silver as silver_io
 from hexwatch.sources.bronze import ROW_POS
 from hexwatch.streaming.arrivals import load_arrivals
-from hexwatch.streaming.live_counts import live_counts
+from hexwatch.streaming.live_counts import live_counts, live_first_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1109,3 +1109,21 @@ def r2_live_counts(spark, sf):
         .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     )
     return plain(spark.read.schema(out.schema).parquet(f"{base}/out"))
+
+
+@query
+def r2_live_first_counts(spark, sf):
+    """Without copies: the closed hours of A1."""
+    base = shared_dir(spark, "live-first")
+    events = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    rows = hexgrid.with_h3(incident.cleaned(testview.raw_from(events, table(spark, sf, "nation"))))
+    held = clean.in_box(F.col("latitude"), F.col("longitude"))
+    for c in SILVER_CRITICAL:
+        held = held & F.col(c).isNotNull()
+    rows = rows.withColumns({"h3_index": F.when(held, F.col("h3_index")), "occurred_at": times.to_utc(F.col("occurred_at"), None)})
+    out = live_first_counts(rows, [RAW_KEY, bronze.SOURCE_FILE], ROW_POS)
+    (
+        out.writeStream.format("parquet").outputMode("append").option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    )
+    return plain(spark.read.schema(out.schema).parquet(f"{base}/out"))

@@ -1,21 +1,91 @@
-"""R2: running cell-hour counts over a stream of incidents."""
+"""R2: running cell-hour counts over a stream of incidents, with and without copies."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import datetime as dt
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor
+
+HOUR_MS = 3_600_000
+CHANGES = "h3_index string, crime_type string, at timestamp, change int"
+
+
+def hourly(changes: DataFrame, time: str, amount: str, distinct: bool) -> DataFrame:
+    """Sums of `amount` per (cell, hour), each emitted once the watermark has passed the hour.
+
+    Distinct types are exact: hours are summed per type first, and the types that are left are counted when an hour closes.
+    So the state of an open hour is a number per type that occurred in it.
+    """
+    if not distinct:
+        per_hour = changes.groupBy(F.window(time, "1 hour"), "h3_index").agg(F.sum(amount).alias("crime_count"))
+        return per_hour.where("crime_count > 0").select("h3_index", F.col("window.start").alias("time_window"), "crime_count")
+    per_type = changes.groupBy(F.window(time, "1 hour"), "h3_index", "crime_type").agg(F.sum(amount).alias("n"))
+    closed = per_type.groupBy(F.window(F.window_time("window"), "1 hour"), "h3_index").agg(
+        F.sum("n").alias("crime_count"), F.count_if((F.col("n") > 0) & F.col("crime_type").isNotNull()).alias("distinct_crime_types"))
+    return closed.where("crime_count > 0").select("h3_index", F.col("window.start").alias("time_window"), "crime_count", "distinct_crime_types")
 
 
 def live_counts(incidents: DataFrame, lateness: str = "2 hours", distinct: bool = True) -> DataFrame:
-    """Counts per (cell, hour), each emitted once the watermark has passed the hour. State per open hour and cell is
-    one counter and one small sketch; the distinct count of types is approximate because streams have no exact one."""
-    counts = [F.count(F.lit(1)).alias("crime_count")]
-    if distinct:
-        counts.append(F.approx_count_distinct("crime_type").alias("distinct_crime_types"))
-    return (
-        incidents.withWatermark("occurred_at", lateness)
-        .groupBy(F.window("occurred_at", "1 hour"), "h3_index")
-        .agg(*counts)
-        .select("h3_index", F.col("window.start").alias("time_window"), *[c for c in (
-            ["crime_count", "distinct_crime_types"] if distinct else ["crime_count"])])
-    )
+    """Counts per (cell, hour) of everything that arrives."""
+    return hourly(incidents.withWatermark("occurred_at", lateness).withColumn("one", F.lit(1)), "occurred_at", "one", distinct)
+
+
+class FirstCopies(StatefulProcessor):
+    """Of the rows of one key that have arrived, the one with the least position counts.
+
+    When a row with a lesser position comes, what the former one had added is taken back, as long as the hours of both are
+    open; a closed hour keeps its count, and then so does its row. Rows that the table would not hold (no cell) come
+    first like others and count for nothing. A key is forgotten when the watermark has passed its last event by `keep_ms`.
+    """
+
+    def __init__(self, keep_ms: int):
+        self.keep_ms = keep_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.first = handle.getValueState("first", "pos long, cell string, kind string, hour_ms long, expires long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        watermark = timerValues.getCurrentWatermarkInMs()
+        before = tuple(self.first.get()) if self.first.exists() else None
+        now, latest = before, watermark
+        for r in rows:
+            latest = max(latest, r.at_ms or 0)
+            if now is None or r.pos < now[0]:
+                now = (r.pos, r.h3_index if r.at_ms is not None else None, r.crime_type, (r.at_ms or 0) // HOUR_MS * HOUR_MS)
+        if before is not None and now is not before and before[1] is not None and before[3] + HOUR_MS <= watermark:
+            now = before  # its hour is closed
+        expires = max(latest + self.keep_ms, before[4] if before else 0)
+        self.first.update((*now[:4], expires))
+        if before is None or expires != before[4]:
+            if before is not None:
+                self.handle.deleteTimer(before[4])
+            self.handle.registerTimer(expires)
+        if now is not before:
+            for row, change in ((before, -1), (now, 1)):
+                if row is not None and row[1] is not None:
+                    # The hour's last moment: as long as the hour is open the watermark has not passed it.
+                    at = dt.datetime.fromtimestamp((row[3] + HOUR_MS - 1) / 1000, dt.timezone.utc)
+                    yield Row(h3_index=row[1], crime_type=row[2], at=at, change=change)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.first.clear()
+        yield from ()
+
+    def close(self) -> None:
+        pass
+
+
+def live_first_counts(rows: DataFrame, keys: list[str], position: str, lateness: str = "2 hours", keep_hours: int = 720, distinct: bool = True) -> DataFrame:
+    """Counts per (cell, hour) of the first copy of every key: those of A1 over the deduplicated table, hour by hour as they close.
+
+    `rows` have the keys (null is a key), a position, h3_index (null if the table would not hold the row), crime_type and occurred_at.
+    Hours equal A1 if all copies of a row arrive before an hour of one of them closes, and within `keep_hours` of each other.
+    """
+    timed = rows.withWatermark("occurred_at", lateness).select(
+        *keys, F.col(position).cast("long").alias("pos"), "h3_index", "crime_type", F.unix_millis("occurred_at").alias("at_ms"), "occurred_at")
+    changes = timed.groupBy(*keys).transformWithState(FirstCopies(keep_hours * HOUR_MS), CHANGES, "append", "eventtime", eventTimeColumnName="at")
+    return hourly(changes, "at", "change", distinct)

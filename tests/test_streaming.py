@@ -7,7 +7,7 @@ from hexwatch.operators import aggregates, ledger
 from hexwatch.session import shared_dir
 from hexwatch.sources.gold import scan_gold
 from hexwatch.streaming.arrivals import load_arrivals
-from hexwatch.streaming.live_counts import live_counts
+from hexwatch.streaming.live_counts import live_counts, live_first_counts
 
 
 def test_only_new_files_are_loaded(spark, landing):  # noqa: F811
@@ -64,3 +64,42 @@ def test_live_counts_emit_closed_hours(spark):
             availableNow=True).start().awaitTermination()
     got = sorted(rows(spark.read.parquet(f"{base}/out").select("h3_index", "time_window", "crime_count", "distinct_crime_types")))
     assert got == [("a", t, 2, 2), ("b", t + dt.timedelta(hours=1), 1, 1), ("b", t + dt.timedelta(hours=4), 1, 1)]
+
+
+def _run(out, base):
+    out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/c").trigger(availableNow=True).start().awaitTermination()
+
+
+def test_live_counts_without_copies(spark):
+    """Copies in one batch and across batches, in any order, of rows that count and rows that do not; then the same as A1."""
+    base, t, hour = shared_dir(spark, "first"), dt.datetime(2024, 1, 1), dt.timedelta(hours=1)
+    schema = "source_file string, id string, pos long, h3_index string, crime_type string, occurred_at timestamp"
+    batches = [
+        [("f", "k1", 5, "a", "x", t), ("f", "k2", 6, "a", "y", t), ("f", "k3", 1, None, "z", None), ("f", "k3", 7, "a", "z", t),
+         ("f", "k9", 9, "b", "x", t + 3 * hour), ("f", "k9", 8, "b", "y", t + 3 * hour), ("g", "k1", 5, "a", "x", t), ("f", None, 3, "a", "n", t), ("f", None, 4, "a", "n", t)],
+        [("f", "k1", 2, "a", "x", t + 2 * hour), ("f", "k2", 8, "b", "y", t + 2 * hour), ("g", "k1", 4, None, "x", None), ("f", "k8", 10, "b", "q", t + 9 * hour)],
+        [("f", "k8", 1, "c", "q", t + 9 * hour), ("f", "k9", 2, "c", "x", t + 30 * hour), ("f", "k7", 12, "b", "q", t + 31 * hour)],
+        [("f", "k7", 13, "b", "q", t + 32 * hour), ("f", "end", 14, "b", "q", t + 60 * hour)],
+    ]
+    for batch in batches:
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        _run(live_first_counts(spark.readStream.schema(schema).parquet(f"{base}/in"), ["source_file", "id"], "pos", "4 hours"), base)
+    got = sorted(rows(spark.read.parquet(f"{base}/out").select("h3_index", "time_window", "crime_count", "distinct_crime_types")))
+    everything = spark.read.parquet(f"{base}/in")
+    # The hour of k9 was closed when its earlier copy came in the third batch: it keeps its count.
+    kept = everything.where("not (id = 'k9' and pos = 2)")
+    from hexwatch.operators.clean import keep_first
+
+    first = keep_first(kept, ["source_file", "id"], ["pos"]).where("h3_index is not null and id is distinct from 'end'")
+    assert got == sorted(rows(aggregates.counts_by_cell_hour(first)))
+    assert ("c", t + 9 * hour, 1, 1) in got and ("a", t + 2 * hour, 1, 1) in got
+
+
+def test_forgotten_keys(spark):
+    base, t, hour = shared_dir(spark, "forget"), dt.datetime(2024, 1, 1), dt.timedelta(hours=1)
+    schema = "id string, pos long, h3_index string, crime_type string, occurred_at timestamp"
+    for batch in ([("k", 1, "a", "x", t)], [("z", 2, "b", "x", t + 40 * hour)], [("k", 3, "a", "x", t + 41 * hour)], [("z2", 4, "b", "x", t + 90 * hour)]):
+        spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        _run(live_first_counts(spark.readStream.schema(schema).parquet(f"{base}/in"), ["id"], "pos", "1 hour", keep_hours=10, distinct=False), base)
+    got = sorted(rows(spark.read.parquet(f"{base}/out").select("h3_index", "time_window", "crime_count")))
+    assert got == [("a", t, 1), ("a", t + 41 * hour, 1), ("b", t + 40 * hour, 1)]
