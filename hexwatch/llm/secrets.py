@@ -1,14 +1,23 @@
 """Secret scans with structural confirmation (operator 7).
 
 Three base patterns report assignments, access keys and long hex strings. Beyond them, runs of base64 or hex letters are
-candidates: they are decoded, and reported only if what they hold has the structure of a secret: nested DER lengths that
-fill the data exactly and hold a key's integers or an algorithm identifier, the length-prefixed fields of an OpenSSH key, or a
-signed token whose header is JSON with an algorithm. Keys may be wrapped, with escaped line ends, as in JSON and source strings,
-or behind quote marks: their lines are joined up to the length that the structure itself gives. Candidates are found on the bytes of whole batches; only texts with a
-candidate or a key word are looked at one by one.
-
-Spans are (kind, start, end) in code points, end exclusive. Defined results: null and empty texts have no spans; of equal
-spans of one kind one is reported; repeated rows give equal results.
+candidates: they are decoded, and reported only if what they hold parses to its end as a secret:
+
+- DER: an RSA or DSA private key with its version and all its integers, an EC private key, a PKCS #8 key with version, key
+  algorithm and octets, or an encrypted PKCS #8 key with a password-based algorithm and octets. Public keys and certificates are
+  not secrets and are not reported;
+- the OpenSSH private key container, all its length-prefixed fields to the end;
+- a signed token whose first part is JSON with an algorithm and whose second part is JSON as well;
+- between PEM marks, one of these, or the ciphertext of a key that is encrypted as its own headers say.
+
+Keys may be wrapped, with escaped line ends, as in JSON and source strings, or behind quote marks: their lines are joined up
+to the length that the structure itself gives. Candidates are found on the bytes of whole batches; only texts with a candidate
+or a key word are looked at one by one. A DER key longer than MAX_KEY_BYTES is no key, so that a text full of lines that begin
+like keys is read a bounded number of times.
+
+Spans are (kind, start, end) in code points, end exclusive. Defined results: null and empty texts have no spans; very long texts
+are scanned whole; of equal spans of one kind one is reported, others in the order of start, kind and end; repeated rows give
+equal results; an empty table yields no rows; columns with the name of a result, in any case, are replaced.
 """
 
 from __future__ import annotations
@@ -44,10 +53,12 @@ BASE64_LINE = re.compile(r"[A-Za-z0-9+/_-]+")
 HEX_RUN = re.compile(r"(?<![0-9A-Fa-f])[0-9A-Fa-f]{48,}(?![0-9A-Fa-f])")
 #: Object identifiers of key algorithms, as DER bytes: RSA, EC, DSA, X25519, X448, Ed25519, Ed448, RSA-PSS.
 KEY_OIDS = tuple(bytes.fromhex(x) for x in ("2a864886f70d010101", "2a8648ce3d0201", "2a8648ce380401", "2b656e", "2b656f", "2b6570", "2b6571", "2a864886f70d01010a"))
+#: The same of password-based encryption: PBES2, and the beginnings of those of PKCS #5 and PKCS #12.
+PBES2, PBES_OLD = bytes.fromhex("2a864886f70d01050d"), (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 SSH_KEY = b"openssh-key-v1\x00"
-SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
-SSH_FIELDS = {b"ssh-rsa": 3, b"ssh-dss": 5, b"ssh-ed25519": 2}
-MAX_DEPTH = 8
+MAX_KEY_BYTES = 1 << 16
+#: Headers of an encrypted PEM key, and the block sizes of the ciphers they name.
+ENCRYPTED_HEADERS = re.compile(r"Proc-Type:\s*4,\s*ENCRYPTED\s+DEK-Info:\s*([A-Z0-9-]+),\s*([0-9A-Fa-f]{16,32})\s")
 #: Letters of the shortest token that JWT matches.
 LEAST_TOKEN = 20
 
@@ -88,43 +99,68 @@ def der_items(data: bytes) -> list[tuple[int, bytes]] | None:
     return items
 
 
+INTEGER, OCTETS, OID, SEQUENCE = 0x02, 0x04, 0x06, 0x30
+
+
+def is_algorithm(content: bytes, known) -> bool:
+    """An algorithm identifier: an object identifier that is `known`, and at most one item of parameters."""
+    items = der_items(content)
+    return bool(items) and len(items) <= 2 and items[0][0] == OID and known(items[0][1])
+
+
 def is_der_key(data: bytes) -> bool:
-    """A key in DER: one sequence over all the data, and inside a key algorithm's identifier or the integers of an RSA or EC key."""
-    outer = der_items(data)
-    if not outer or len(outer) != 1 or outer[0][0] != 0x30:
+    """A private key in DER that fills the data."""
+    outer = der_items(data) if len(data) <= MAX_KEY_BYTES else None
+    if not outer or len(outer) != 1 or outer[0][0] != SEQUENCE:
         return False
-    inner = der_items(outer[0][1])
-    if not inner:
+    items = der_items(outer[0][1])
+    if not items:
         return False
-    tags = [t for t, _ in inner]
-    if len(inner) >= 2 and set(tags) == {0x02} and (len(inner) == 2 or len(inner) >= 5) and max(len(v) for _, v in inner) >= 32:
-        return True  # RSA or DSA integers
-    if tags[:2] == [0x02, 0x04] and inner[0][1] == b"\x01" and len(inner[1][1]) >= 16:
-        return True  # EC private key
-
-    def holds_oid(items: list[tuple[int, bytes]], depth: int) -> bool:
-        for tag, value in items:
-            if tag == 0x06 and value in KEY_OIDS:
-                return True
-            if tag & 0x20 and depth < MAX_DEPTH and (sub := der_items(value)) and holds_oid(sub, depth + 1):
-                return True
-        return False
-
-    return holds_oid(inner, 1)
+    tags, first = [t for t, _ in items], items[0][1]
+    if tags == [INTEGER] * 9:  # RSA: version 0, modulus, exponents, primes, their exponents and coefficient
+        return first == b"\x00" and len(items[1][1]) >= 32
+    if tags == [INTEGER] * 9 + [SEQUENCE]:  # with further primes
+        return first == b"\x01" and len(items[1][1]) >= 32
+    if tags == [INTEGER] * 6:  # DSA: version 0, three parameters, public and private number
+        return first == b"\x00" and len(items[1][1]) >= 32
+    if tags[:2] == [INTEGER, OCTETS] and first == b"\x01":  # EC, with curve and public point as options
+        return len(items[1][1]) >= 16 and tags[2:] in ([], [0xA0], [0xA1], [0xA0, 0xA1])
+    if tags[:3] == [INTEGER, SEQUENCE, OCTETS] and first in (b"\x00", b"\x01"):  # PKCS #8, with attributes and public key as options
+        return len(items[2][1]) >= 16 and tags[3:] in ([], [0xA0], [0xA1], [0x81], [0xA0, 0xA1], [0xA0, 0x81]) and is_algorithm(items[1][1], lambda x: x in KEY_OIDS)
+    if tags == [SEQUENCE, OCTETS]:  # encrypted PKCS #8
+        sound = is_algorithm(first, lambda x: x == PBES2 or x.startswith(PBES_OLD))
+        return sound and len(items[1][1]) >= 16 and len(items[1][1]) % 8 == 0
+    return False
 
 
 def is_ssh_key(data: bytes) -> bool:
-    """OpenSSH data: its private key container, or length-prefixed fields that begin with a key type and fill the data."""
-    if data.startswith(SSH_KEY):
-        return True
-    at, fields = 0, []
-    while at + 4 <= len(data):
+    """The OpenSSH private key container: cipher, key derivation and its options, a number of public keys, and the private part."""
+    if not data.startswith(SSH_KEY):
+        return False
+    at = len(SSH_KEY)
+
+    def field() -> bytes | None:
+        nonlocal at
         n = int.from_bytes(data[at : at + 4])
         if at + 4 + n > len(data):
-            return False
-        fields.append(data[at + 4 : at + 4 + n])
+            return None
         at += 4 + n
-    return at == len(data) and len(fields) >= 2 and fields[0] in SSH_TYPES
+        return data[at - n : at]
+
+    cipher, derivation, options = field(), field(), field()
+    if cipher is None or derivation is None or options is None or not re.fullmatch(rb"[a-z0-9@.-]+", cipher) or derivation not in (b"none", b"bcrypt"):
+        return False
+    count = int.from_bytes(data[at : at + 4])
+    at += 4
+    if not 1 <= count <= len(data) // 4 or any(not field() for _ in range(count)):
+        return False
+    private = field()
+    if not private or at > len(data) or len(private) % 8:
+        return False
+    rest = data[at:]  # authenticated ciphers add a tag
+    if cipher == b"none":
+        return not rest and private[:4] == private[4:8]
+    return len(rest) in (0, 16)
 
 
 def decoded(run: str) -> bytes | None:
@@ -138,42 +174,47 @@ def decoded(run: str) -> bytes | None:
         return None
 
 
-def is_token_header(part: str) -> bool:
-    """The first part of a signed token: base64 of a JSON object that names an algorithm."""
+def json_object(part: str) -> dict | None:
     raw = decoded(part)
     if not raw or raw[:1] != b"{":
-        return False
+        return None
     try:
-        head = json.loads(raw)
+        found = json.loads(raw)
     except (ValueError, RecursionError):
-        return False
-    return isinstance(head, dict) and isinstance(head.get("alg"), str)
+        return None
+    return found if isinstance(found, dict) else None
+
+
+def is_token(header: str, claims: str) -> bool:
+    """The first parts of a signed token: base64 of a JSON object that names an algorithm, and of another JSON object."""
+    head = json_object(header)
+    return head is not None and isinstance(head.get("alg"), str) and json_object(claims) is not None
 
 
 def der_size(data: bytes) -> int | None:
-    """Bytes of the DER sequence that begins here, or None if none does."""
-    if len(data) < 6 or data[0] != 0x30:
+    """Bytes of the DER private key that may begin here: a sequence that begins with a version or with another sequence."""
+    if len(data) < 12 or data[0] != SEQUENCE:
+        return None
+    n = data[1] & 0x7F if data[1] & 0x80 else 0
+    if n > 4 or data[1] == 0x80:
         return None
-    n = data[1] & 0x7F
-    if data[1] < 0x80:
-        return 2 + n
-    return 2 + n + int.from_bytes(data[2 : 2 + n]) if 1 <= n <= 4 and data[2] else None
+    size = 2 + n + (int.from_bytes(data[2 : 2 + n]) if n else data[1])
+    inner = data[2 + n :]
+    return size if size <= MAX_KEY_BYTES and (inner[:2] == b"\x02\x01" and inner[2] < 2 or inner[0] == SEQUENCE) else None
 
 
 def ssh_size(data: bytes) -> int | None:
-    """Bytes of the OpenSSH key that begins here, or None if none does or its fields end beyond the data."""
-    def after(at: int, fields: int) -> int | None:
-        for _ in range(fields):
-            if at + 4 > len(data):
-                return None
-            at += 4 + int.from_bytes(data[at : at + 4])
-        return at
-
-    if data.startswith(SSH_KEY):
-        keys = after(len(SSH_KEY), 3)  # cipher, key derivation and its options
-        return None if keys is None else after(keys + 4, int.from_bytes(data[keys : keys + 4]) + 1)
-    kind = data[4 : 4 + int.from_bytes(data[:4])]
-    return after(0, SSH_FIELDS.get(kind, 3)) if kind in SSH_TYPES else None
+    """Bytes of the OpenSSH container that begins here without a tag after it, or None if its fields end beyond the data."""
+    at = len(SSH_KEY)
+    for _ in range(3):
+        at += 4 + int.from_bytes(data[at : at + 4])
+    count = int.from_bytes(data[at : at + 4])
+    at += 4
+    for _ in range(count + 1):
+        if at + 4 > len(data):
+            return None
+        at += 4 + int.from_bytes(data[at : at + 4])
+    return at
 
 
 def wrapped_end(text: str, start: int, end: int) -> tuple[str, int] | None:
@@ -182,12 +223,12 @@ def wrapped_end(text: str, start: int, end: int) -> tuple[str, int] | None:
     if not head:
         return None
     size = der_size(head)
-    ssh = size is None and (head.startswith(SSH_KEY) or any(head[4:].startswith(t) for t in SSH_TYPES))
+    ssh = size is None and head.startswith(SSH_KEY)
     if size is None and not ssh:
         return None
     need = None if size is None else -(-size * 8 // 6)
     parts, ends, length = [text[start:end]], [end], end - start
-    while need is None or length < need:
+    while length < (need or MAX_KEY_BYTES * 4 // 3):
         gap = LINE_BREAK.match(text, end)
         if not gap or not re.search(r"[\r\n\\]", gap[0]) or not (line := BASE64_LINE.match(text, gap.end())):
             break
@@ -202,47 +243,61 @@ def wrapped_end(text: str, start: int, end: int) -> tuple[str, int] | None:
         size = size or ssh_size((decoded(body) or b""))
         if size is None:
             return None
-        need = -(-size * 8 // 6)
+        need = (-(-size * 8 // 6), -(-(size + 16) * 8 // 6))
+    need = need if ssh else (need,)
     at = 0
     for part, stop in zip(parts, ends):
         at += len(part)
-        if at == need and (raw := decoded(body[:at])):
+        if at in need and (raw := decoded(body[:at])):
             kind = "ssh" if ssh and is_ssh_key(raw) else "der" if not ssh and is_der_key(raw) else None
             return (kind, stop + len(re.match("={0,2}", text[stop : stop + 2])[0])) if kind else None
     return None
 
 
+def is_pem_key(label: str, body: str) -> bool:
+    """What stands between the marks of a private key: a key's structure, or ciphertext with the headers that say so."""
+    plain = JOINED_STRINGS.sub("\n", ESCAPE.sub("\n", body))
+    lines = [x for x in plain.split("\n") if ":" not in x]  # headers of encrypted keys
+    raw = decoded(re.sub(r"[\s\\\"'>#*|]", "", "".join(lines)))
+    if not raw:
+        return False
+    if is_der_key(raw) or is_ssh_key(raw):
+        return True
+    sealed = ENCRYPTED_HEADERS.search(re.sub(r"[>#*|\"']", " ", plain))
+    return bool(sealed) and not label.startswith("ENCRYPTED") and len(raw) >= 48 and len(raw) % (len(sealed[2]) // 2) == 0
+
+
 def confirmed(text: str) -> set[tuple[str, int, int]]:
     """Spans whose decoded structure is that of a key or token."""
     found = set()
-    taken = []
+    armoured = []
     for m in PEM.finditer(text):
-        body = JOINED_STRINGS.sub("\n", ESCAPE.sub("\n", m[2]))
-        lines = [x for x in body.split("\n") if ":" not in x]  # headers of encrypted keys
-        raw = decoded(re.sub(r"[\s\\\"'>#*|]", "", "".join(lines)))
-        if raw and (is_der_key(raw) or is_ssh_key(raw) or "ENCRYPTED" in m[1] + m[2] and len(raw) >= 48):
+        if is_pem_key(m[1], m[2]):
             found.add(("pem", m.start(), m.end()))
-            taken.append((m.start(), m.end()))
+            armoured.append((m.start(), m.end()))
     for m in JWT.finditer(text):
-        if is_token_header(m[1]):
+        if is_token(m[1], m[2]):
             found.add(("jwt", m.start(), m.end()))
+    at, taken = 0, 0  # the first armoured key that may reach the run, and the end of the last key found
     for m in BASE64_RUN.finditer(text):
-        if any(a <= m.start() < b for a, b in taken):
+        while at < len(armoured) and armoured[at][1] <= m.start():
+            at += 1
+        if m.start() < taken or at < len(armoured) and armoured[at][0] <= m.start():
             continue
         start = m.start()
         if text[start - 1 : start] == "\\" and m[0][0] in "nrt":
             start += 1  # the letter of an escape
         if whole := wrapped_end(text, start, start + len(text[start : m.end()].rstrip("="))):
             found.add((whole[0], start, whole[1]))
-            taken.append((start, whole[1]))
+            taken = whole[1]
             continue
-        raw = decoded(m[0])
+        raw = decoded(m[0]) if len(m[0]) <= 2 * MAX_KEY_BYTES else None
         if raw and is_der_key(raw):
             found.add(("der", m.start(), m.end()))
         elif raw and is_ssh_key(raw):
             found.add(("ssh", m.start(), m.end()))
     for m in HEX_RUN.finditer(text):
-        if len(m[0]) % 2 == 0 and is_der_key(bytes.fromhex(m[0])):
+        if len(m[0]) % 2 == 0 and len(m[0]) <= 2 * MAX_KEY_BYTES and is_der_key(bytes.fromhex(m[0])):
             found.add(("der", m.start(), m.end()))
     return found
 

@@ -28,21 +28,36 @@ TOKEN = ".".join(url64(x) for x in (json.dumps({"alg": "HS256", "typ": "JWT"}).e
 PEM = "-----BEGIN RSA PRIVATE KEY-----\n" + "\n".join(re.findall(".{1,64}", b64(RSA))) + "\n-----END RSA PRIVATE KEY-----"
 
 
-@pytest.mark.parametrize("text, kind", [(TOKEN, "jwt"), (PEM, "pem"), (b64(RSA), "der"), (b64(PUBLIC), "der"), (PUBLIC.hex(), "der"), (b64(SSH), "ssh"), (url64(PUBLIC), "der")])
+OCTETS = bytes(range(64, 112))
+PKCS8 = der(0x30, der(2, b"\x00") + der(0x30, der(6, secrets.KEY_OIDS[0]) + der(5, b"")) + der(4, RSA))
+ED25519 = der(0x30, der(2, b"\x01") + der(0x30, der(6, bytes.fromhex("2b6570"))) + der(4, der(4, OCTETS[:32])) + der(0x81, b"\x00" + OCTETS[:32]))
+EC = der(0x30, der(2, b"\x01") + der(4, OCTETS[:32]) + der(0xA0, der(6, bytes.fromhex("2a8648ce3d030107"))) + der(0xA1, der(3, b"\x00" + OCTETS)))
+DSA = der(0x30, der(2, b"\x00") + NUMBER * 5)
+SEALED = der(0x30, der(0x30, der(6, secrets.PBES2) + der(0x30, der(0x30, b"") * 2)) + der(4, OCTETS))
+CERTIFICATE = der(0x30, der(0x30, der(0xA0, der(2, b"\x02")) + NUMBER + der(0x30, der(6, secrets.KEY_OIDS[0])) + PUBLIC) + der(0x30, der(6, secrets.KEY_OIDS[0])) + der(3, b"\x00" + OCTETS))
+armour = lambda label, raw, head="": f"-----BEGIN {label}-----\n{head}" + "\n".join(re.findall(".{1,64}", b64(raw))) + f"\n-----END {label}-----"
+HEADERS = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,00112233445566778899AABBCCDDEEFF\n\n"
+
+
+@pytest.mark.parametrize("text, kind", [
+    (TOKEN, "jwt"), (PEM, "pem"), (b64(RSA), "der"), (RSA.hex(), "der"), (url64(PKCS8), "der"), (b64(ED25519), "der"), (b64(EC), "der"), (b64(DSA), "der"), (b64(SEALED), "der"),
+    (armour("PRIVATE KEY", PKCS8), "pem"), (armour("EC PRIVATE KEY", EC), "pem"), (armour("ENCRYPTED PRIVATE KEY", SEALED), "pem"), (armour("RSA PRIVATE KEY", OCTETS, HEADERS), "pem"),
+])
 def test_structures_are_confirmed(text, kind):
     spans = secrets.confirmed(f"é before {text} after")
     assert (kind, 9, 9 + len(text)) in spans
 
 
 LINES = re.findall(".{1,64}", b64(RSA))
-CONTAINER = secrets.SSH_KEY + FIELD(b"none") + FIELD(b"none") + FIELD(b"") + (1).to_bytes(4) + FIELD(SSH) + FIELD(bytes(range(136)))
+CONTAINER = secrets.SSH_KEY + FIELD(b"none") + FIELD(b"none") + FIELD(b"") + (1).to_bytes(4) + FIELD(SSH) + FIELD(b"abcdabcd" + bytes(range(128)))
+LOCKED = secrets.SSH_KEY + FIELD(b"aes256-gcm@openssh.com") + FIELD(b"bcrypt") + FIELD(bytes(24)) + (1).to_bytes(4) + FIELD(SSH) + FIELD(bytes(range(128))) + bytes(16)
 SHORT = ".".join((url64(b'{"alg":"HS256"}'), "e30", "abcdefghij"))
 
 
 @pytest.mark.parametrize("text, kind", [
     (PEM.replace("\n", "\\n"), "pem"), (PEM.replace("\n", "\\\\n"), "pem"), (PEM.replace("\n", "\n> "), "pem"), (PEM.replace("\n", '\\n" +\n  "'), "pem"), (PEM.replace("\n", "\\r\\n"), "pem"),
     ("\n".join(LINES), "der"), ("\\n".join(LINES), "der"), ("\r\n> ".join(LINES), "der"), ('\\n" +\n"'.join(LINES), "der"),
-    ("\n".join(re.findall(".{1,70}", b64(CONTAINER))), "ssh"), ("\\n".join(re.findall(".{1,64}", b64(PUBLIC))), "der"),
+    ("\n".join(re.findall(".{1,70}", b64(CONTAINER))), "ssh"), ("\\n".join(re.findall(".{1,64}", b64(PKCS8))), "der"), ("\n".join(re.findall(".{1,70}", b64(LOCKED))), "ssh"),
 ])
 def test_wrapped_and_escaped_keys_are_confirmed(text, kind):
     for before, after in (("é before ", " after"), ("é before\n", "\nNext line of words"), ('{"key": "\\n', '\\n", "x": 1}')):
@@ -61,10 +76,36 @@ def test_wrapped_lookalikes_are_not():
         assert not secrets.confirmed("words\n" + "\n".join(lines) + "\nmore words")
 
 
+@pytest.mark.parametrize("raw", [
+    PUBLIC, CERTIFICATE, der(0x30, NUMBER * 2), SSH, FIELD(b"ssh-rsa") + FIELD(b"\x01\x00\x01") + FIELD(bytes(range(200))),
+    RSA.replace(b"\x02\x01\x00", b"\x02\x01\x07", 1), der(0x30, der(2, b"\x00") + NUMBER * 7), der(0x30, der(2, b"\x02") + der(4, OCTETS)), SEALED.replace(secrets.PBES2, secrets.KEY_OIDS[0]),
+    CONTAINER[:-1], CONTAINER + b"x", CONTAINER.replace(b"abcdabcd", b"abcdabce"), secrets.SSH_KEY + bytes(range(90)), LOCKED[:-9], OCTETS * 3,
+], ids=range(15))
+def test_what_is_public_or_broken_is_not_a_secret(raw):
+    wrapped = "\n".join(re.findall(".{1,64}", b64(raw)))
+    for text in (b64(raw), raw.hex(), wrapped, f"ssh-rsa {b64(raw)} user@host", armour("PUBLIC KEY", raw), armour("CERTIFICATE", raw), armour("ENCRYPTED PRIVATE KEY", raw), armour("OPENSSH PRIVATE KEY", raw)):
+        assert not [s for s in secrets.confirmed(text) if s[0] != "hex"]
+
+
+def test_time_is_linear():
+    import time
+
+    lines = re.findall(".{1,64}", b64(PKCS8))
+    for unit in (lines[0] + "\n", "\n".join(lines) + "\nword\n", armour("PRIVATE KEY", PKCS8) + "\n", "-----BEGIN PRIVATE KEY-----\n" + lines[1] + "\n"):
+        took = []
+        for n in (1 << 17, 1 << 20):
+            text = unit * (n // len(unit))
+            began = time.perf_counter()
+            secrets.confirmed(text)
+            took.append(time.perf_counter() - began)
+        assert took[1] < 40 * max(took[0], 0.05)
+
+
 def test_lookalikes_are_not():
     for raw in (bytes(range(100)), RSA[:-1], RSA + b"x", der(0x30, der(0x0C, b"just a text of some length, not a key")), b"plain text " * 9):
         assert not secrets.confirmed(f"x {b64(raw)} y {raw.hex()} z")
-    assert not secrets.confirmed(url64(b'{"typ":"JWT"}') + ".abcdefgh.abcdefghij")
+    assert not secrets.confirmed(url64(b'{"typ":"JWT"}') + ".e30.abcdefghij")
+    assert not secrets.confirmed(url64(b'{"alg":"HS256"}') + ".abcdefgh.abcdefghij")
     assert not secrets.confirmed("-----BEGIN RSA PRIVATE KEY-----\nnot a key at all\n-----END RSA PRIVATE KEY-----")
 
 
