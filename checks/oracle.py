@@ -219,6 +219,14 @@ from (select *, make_timestamp(hour_no * 3600000000) as time_window, {LOOK} from
       window w as (partition by h3_index order by hour_no))"""
 
 
+def parent(res: int) -> str:
+    """The digits up to a resolution stay, the finer ones become 7, and the resolution is put in: all in binary text."""
+    bits = "lpad(bin(cast('0x' || h3_index as bigint)), 64, '0')"
+    kept = 64 - 3 * (15 - res)
+    text = f"substr({bits}, 1, 8) || '{res:04b}' || substr({bits}, 13, {kept - 12}) || '{'1' * (64 - kept)}'"
+    return f"lower(ltrim(hex(list_reduce(list_transform(string_split(substr({text}, 2), ''), lambda d: cast(d as bigint)), lambda a, b: 2 * a + b)), '0'))"
+
+
 INPUT_EDGES = {
     "hour_of_day": (6, 12, 18), "day_of_week": (2, 4), "is_weekend": (1,), "is_night": (1,), "is_holiday": (1,), "month": (2, 3), "season": (2, 3),
     "crimes_last_1h": (1, 2), "crimes_last_24h": (1, 3), "case when hour(time_window) <> 5 then crimes_last_7d end": (2, 8),
@@ -633,6 +641,12 @@ def oracles() -> dict[str, str]:
                         count(*) filter (risk < 0.5 and target_binary = 1) as fn from scored)
         group by tp, fp, fn""")
     o["m5_register_model"] = sql(MODEL_CTES, "select model_id, version, is_active, write_seq, roc_auc from active")
+    o["p16_box_by_cell"] = o["p16_bounding_box"]
+    o["h1_parent_cells"] = on_gold(f"select h3_index, count(*) as n, {', '.join(f'{parent(r)} as parent_{r}' for r in (8, 7, 4))} from gold group by all")
+    o["m7_heatmap_rollup"] = on_gold(f"""
+        select {parent(7)} as h3_index, count(*) as crime_count from gold where latitude between 43.6 and 43.75
+          and longitude between -79.5 and -79.3 and occurred_at >= timestamp '2024-01-05'
+          and occurred_at < timestamp '2024-01-20' group by all""")
     o["m7_heatmap_counts"] = on_gold("""
         select h3_index, count(*) as crime_count from gold where latitude between 43.6 and 43.75
           and longitude between -79.5 and -79.3 and occurred_at >= timestamp '2024-01-05'

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hexwatch.functions import hexgrid, metrics_json, naming, numbers, text, times
+from hexwatch.functions import hexcover, hexgrid, metrics_json, naming, numbers, text, times
 from hexwatch.operators import aggregates, boosting, clean, columns, features, joins, ledger, load, model, quality
 from hexwatch.plans import incident, testview
 from hexwatch.plans.testview import raw_incidents, table
@@ -422,6 +422,24 @@ def p16_bounding_box(spark, sf):
     return gold_rows(clean.filter_region(gold(spark, sf), box=Box(43.6, 43.7, -79.5, -79.3)))
 
 
+def _stored_gold(spark, sf):
+    path = shared_dir(spark, "gold")
+    gold_io.write_gold(gold(spark, sf), path)
+    return gold_io.scan_gold(spark, path)
+
+
+@query
+def p16_box_by_cell(spark, sf):
+    """The box of a stored table, by ranges of cells and then by coordinates."""
+    return gold_rows(_stored_gold(spark, sf).where(hexcover.in_box_by_cell(Box(43.6, 43.7, -79.5, -79.3))))
+
+
+@query
+def h1_parent_cells(spark, sf):
+    cells = gold(spark, sf).groupBy("h3_index").agg(F.count(F.lit(1)).alias("n"))
+    return cells.select("h3_index", "n", *(hexcover.parent_cell(F.col("h3_index"), r).alias(f"parent_{r}") for r in (8, 7, 4)))
+
+
 # 2.3 joins
 
 
@@ -1041,6 +1059,11 @@ def m7_heatmap_counts(spark, sf):
     return model.heatmap_counts(gold(spark, sf), MAP_BOX, _day("2024-01-05"), _day("2024-01-20"))
 
 
+@query
+def m7_heatmap_rollup(spark, sf):
+    return model.heatmap_counts(_stored_gold(spark, sf), MAP_BOX, _day("2024-01-05"), _day("2024-01-20"), by_cell=True, res=7)
+
+
 @query
 def m7_heatmap_risk(spark, sf):
     scored = _risk_table(spark, sf)

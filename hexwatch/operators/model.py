@@ -13,11 +13,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from hexwatch.functions.hexcover import in_box_by_cell, parent_cell
 from hexwatch.functions.metrics_json import metrics_map
 from hexwatch.operators import boosting
 from hexwatch.operators.boosting import BoostedModel
 from hexwatch.operators.clean import filter_region
-from hexwatch.settings import Box
+from hexwatch.settings import H3_RESOLUTION, Box
 
 INPUTS = [
     "hour_of_day", "day_of_week", "is_weekend", "is_night", "is_holiday", "month", "season",
@@ -218,14 +219,23 @@ def latest_model(models: DataFrame) -> DataFrame:
     return models.where("is_active").orderBy(F.desc("trained_at"), F.desc("model_id")).limit(1)
 
 
-def heatmap_counts(gold: DataFrame, box: Box, start: Column, end: Column) -> DataFrame:
-    """M7 over events: incidents per cell in a box and period (end exclusive)."""
-    inside = filter_region(gold, box=box).where((F.col("occurred_at") >= start) & (F.col("occurred_at") < end))
-    return inside.groupBy("h3_index").agg(F.count(F.lit(1)).alias("crime_count"))
+def _in_box(gold: DataFrame, box: Box, by_cell: bool) -> DataFrame:
+    return gold.where(in_box_by_cell(box)) if by_cell else filter_region(gold, box=box)
 
 
-def heatmap_risk(scored: DataFrame, gold: DataFrame, box: Box, start: Column, end: Column) -> DataFrame:
+def heatmap_counts(gold: DataFrame, box: Box, start: Column, end: Column, by_cell: bool = False, res: int = H3_RESOLUTION) -> DataFrame:
+    """M7 over events: incidents per cell in a box and period (end exclusive).
+
+    `by_cell` asks for the box by ranges of cell ids as well, which lets the scan of the stored table skip most of it; the rows
+    are the same. A coarser `res` rolls cells up.
+    """
+    inside = _in_box(gold, box, by_cell).where((F.col("occurred_at") >= start) & (F.col("occurred_at") < end))
+    cell = F.col("h3_index") if res == H3_RESOLUTION else parent_cell(F.col("h3_index"), res)
+    return inside.groupBy(cell.alias("h3_index")).agg(F.count(F.lit(1)).alias("crime_count"))
+
+
+def heatmap_risk(scored: DataFrame, gold: DataFrame, box: Box, start: Column, end: Column, by_cell: bool = False) -> DataFrame:
     """M7 over risk: mean risk per cell that has incidents in the box."""
-    cells = filter_region(gold, box=box).select("h3_index").distinct()
+    cells = _in_box(gold, box, by_cell).select("h3_index").distinct()
     inside = scored.where((F.col("time_window") >= start) & (F.col("time_window") < end))
     return inside.join(cells, "h3_index", "left_semi").groupBy("h3_index").agg(F.avg("risk").alias("mean_risk"))
