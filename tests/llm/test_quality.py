@@ -1,6 +1,8 @@
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from hexwatch.llm import quality
 from hexwatch.llm.queries import QUERIES
 
@@ -66,7 +68,29 @@ def test_limits_follow_the_quantiles_below_any_cutoff(spark, docs_of):
     assert [kept[k] for k in (3000, 3010, 3020)] == [False] * 3  # under 0.10, 0.30 and 0.05 of the words
     assert kept[3001] and kept[3011]
     limits = {r["source_key"]: r["limits"] for r in quality.thresholds(measured).collect()}
-    assert limits["web"]["max_symbol_ratio"] < limits["lists"]["max_symbol_ratio"] and limits["web"]["max_repeat_ratio"] < limits["lists"]["max_repeat_ratio"]
+    assert limits["web"]["symbols"] < limits["lists"]["symbols"] and limits["web"]["repeats"] < limits["lists"]["repeats"]
+
+
+def test_the_same_text_in_two_groups_of_the_given_tables(spark):
+    """Ordinary word lengths differ between the given groups, so a text is kept in one and rejected in another."""
+    measured = quality.metrics(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).drop("text").cache()
+    limits = quality.thresholds(measured).cache()
+    figures = spark.range(40).selectExpr("id as doc_id", "400L as n_words", "400L * 4 + id * 60 as word_chars", "0L as n_symbols", "0L as n_dup_lines", "0L as n_repeat_words", "10L as n_lines")
+    groups = measured.where("lang is not null and source is not null").select("lang", "source").distinct()
+    rows = quality.with_limits(figures.join(F.broadcast(groups)), limits).groupBy("doc_id").agg(F.count_if("kept").alias("k"), F.count("*").alias("n")).collect()
+    assert any(0.2 * r["n"] < r["k"] < 0.8 * r["n"] for r in rows)
+    # Small and large groups alike: no two groups have all limits in common.
+    assert len({r["limits"]["word_length"] for r in limits.collect()}) == limits.count()
+
+
+def test_limits_move_smoothly_with_the_size_of_a_group(docs_of):
+    text = lambda k, n: " ".join([*(f"w{k}x{i}" for i in range(100)), *(f"#{i}" for i in range(n))])
+    wide = [(k, text(k, 0), "en", "news") for k in range(400)]
+    found = []
+    for n in (20, 49, 50, 51, 80):
+        rows = wide + [(1000 + k, text(k, 10 + k % 20), "en", "code") for k in range(n)]
+        found.append(next(r["rates"]["symbols"] for r in quality.thresholds(quality.metrics(docs_of(rows))).collect() if r["source_key"] == "code"))
+    assert found == sorted(found) and found[0] < found[-1] and max(b - a for a, b in zip(found[1:], found[2:4])) < 0.02
 
 
 def test_given_clean_documents_stay(spark):
