@@ -1,21 +1,27 @@
 """Counterfactual-regularised toxicity classifier (operator 2).
 
-A logistic model over hashed words and word beginnings is fitted on a bounded sample of labelled texts. In the sample's
-sentences that name an identity group, the term is swapped for other terms of the same kind, and the squared change of the
-score is added to the loss. Terms that only name a group then carry no weight of their own, so neutral mentions are not
-scored as toxic. Only features that are common enough in the sample and tell the labels apart are kept, so a long text does
-not gather the noise of thousands of rare words.
-
-Defined results: null and empty texts get the score of the intercept; without labelled rows, or with labels of one kind only,
-every score is that share of toxic labels (0 without any); of several labels of one document the largest counts; ties in the
-sample are broken by document id; equal texts get equal scores.
+A logistic model over hashed words and word beginnings is fitted on a bounded sample of labelled texts. Of every sentence of the
+sample there are counterfactuals: where a sentence names an identity group, the term is swapped for each other term of the same
+kind; where it names none, each term of a kind is put in the place of an ordinary word, one without a feature of the model.
+The squared change of the score is added to the loss. Terms that only name a group then carry no weight of their own, nor by
+beginnings that they share with other words, so neutral mentions are not scored as toxic. Counterfactuals that differ in the same
+features are one pair with a weight; those that differ in none change nothing, and are only counted. Only features that are
+common enough in the sample and tell the labels apart are kept, so a long text does not gather the noise of thousands of rare words.
+
+Defined results: null and empty texts get the score of the intercept; very long texts are scored whole; without labelled rows, or
+with labels of one kind only, every score is that share of toxic labels (0 without any); of several labels of one document the
+largest counts; ties in the sample are broken by document id; a score equal to the threshold is predicted toxic; equal texts and
+repeated rows get equal scores; an empty table yields no rows; columns with the name of a result, in any case, are replaced.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +35,6 @@ from hexwatch.llm.common import SpanHash, blocks, mix, spans_in, stored, text_ar
 BITS = 22
 MAX_POSITIVE, MAX_NEGATIVE = 2500, 6000
 MIN_TEXTS = 4
-MAX_FEATURES = 20_000
 MIN_GAIN = 4.0
 COUNTERFACTUAL = 4.0
 RIDGE = 0.0002
@@ -97,17 +102,45 @@ def value(n: np.ndarray) -> np.ndarray:
     return np.log1p(n).astype(np.float64)
 
 
-def swapped_sentences(text: str, most: int = 50) -> list[tuple[str, str]]:
-    """Sentences that name a group, each with the same sentence about another group of that kind."""
-    out: list[tuple[str, str]] = []
-    for m in SENTENCE.finditer(text):
-        sentence = m[0]
-        for t in TERM.finditer(sentence):
-            for other in SWAPS[t[1].lower()]:
-                out.append((sentence, sentence[: t.start()] + other + sentence[t.end() :]))
-            if len(out) >= most:
-                return out
-    return out
+WORD = re.compile(r"[^\W_]+")
+#: Kinds of terms by number, for the choice of one per sentence.
+KIND_LIST = list(IDENTITY_TERMS.values())
+
+
+class Counterfactuals:
+    """Pairs of a text's sentences with other terms, by the model's features that only the one or only the other holds."""
+
+    def __init__(self, features_of) -> None:
+        self.features_of = lru_cache(1 << 16)(lambda word: frozenset(features_of(word)))
+        self.terms = {t: self.features_of(t) for terms in KIND_LIST for t in terms}
+
+    def of(self, text: str) -> tuple[Counter, int]:
+        """The pairs (plus, minus) that differ, with the number of times each was made, and the number of all that were made."""
+        pairs: Counter = Counter()
+        made = 0
+        for m in SENTENCE.finditer(text.lower()):
+            sentence = m[0]
+            named = list(TERM.finditer(sentence))
+            words = [(w.start(), w[0]) for w in WORD.finditer(sentence)]
+            if named:
+                places = [(t.start(), t[1], SWAPS[t[1]]) for t in named]
+            else:
+                plain = [(at, w) for at, w in words if len(w) > 3 and not self.features_of(w)]
+                if not plain:
+                    continue
+                choice = zlib.crc32(sentence.encode())
+                places = [(*plain[choice % len(plain)], KIND_LIST[choice // 7 % len(KIND_LIST)])]
+            for at, term, others in places:
+                made += len(others)
+                mine = self.features_of(term)
+                if not mine and not any(self.terms[o] for o in others):
+                    continue
+                rest = frozenset().union(*(self.features_of(w) for start, w in words if start != at))
+                for other in others:
+                    plus, minus = mine - self.terms[other] - rest, self.terms[other] - mine - rest
+                    if plus or minus:
+                        pairs[tuple(sorted(plus)), tuple(sorted(minus))] += 1
+        return pairs, made
 
 
 @dataclass
@@ -115,6 +148,9 @@ class Model:
     slots: np.ndarray
     weights: np.ndarray
     intercept: float
+    #: Counterfactuals that the sample gave, and those among them that differ in a feature of the model.
+    made: int = 0
+    differing: int = 0
 
     def __post_init__(self) -> None:
         self.keep = np.zeros(1 << BITS, bool)
@@ -123,10 +159,10 @@ class Model:
         self.table[self.slots] = self.weights
 
     def __getstate__(self):
-        return self.slots, self.weights, self.intercept
+        return self.slots, self.weights, self.intercept, self.made, self.differing
 
     def __setstate__(self, state):
-        self.slots, self.weights, self.intercept = state
+        self.slots, self.weights, self.intercept, self.made, self.differing = state
         self.__post_init__()
 
     def scores(self, texts: pa.Array) -> np.ndarray:
@@ -167,8 +203,8 @@ def labelled_texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
 def fit(labelled: DataFrame, counterfactual: float = COUNTERFACTUAL) -> Model:
     """A model from rows of (text, toxic, weight), whose number the caller bounds; see `sampled`.
 
-    The features that tell the labels apart are selected by an aggregation over all slots; at most MAX_FEATURES of them
-    reach the driver. The texts are then counted over these alone, and the fit runs in one task on the sample's counts.
+    The features that tell the labels apart are selected by an aggregation over all slots, as many as have the gain; the sample's
+    bound bounds them. The texts are then counted over these alone, and the fit runs in one task on the sample's counts.
     """
     rows = stored(labelled.select("text", F.col("toxic").cast("int").alias("toxic"), F.col("weight").cast("double").alias("weight")), "labelled")
     sums = rows.agg(F.sum("weight").alias("all"), F.sum(F.col("weight") * F.col("toxic")).alias("toxic")).first()
@@ -194,13 +230,13 @@ def fit(labelled: DataFrame, counterfactual: float = COUNTERFACTUAL) -> Model:
     expected = F.col("w_all") * base
     gain = (F.col("w_toxic") - expected) / F.sqrt(F.greatest(expected * (1 - base), F.lit(0.5)))
     best = by_slot.where(F.col("seen") >= MIN_TEXTS).select("slot", gain.alias("gain")).where(F.col("gain") > MIN_GAIN)
-    chosen = np.sort(best.orderBy(F.desc("gain"), "slot").limit(MAX_FEATURES).toArrow().column("slot").to_numpy()).astype(np.int64)
+    chosen = np.sort(best.select("slot").toArrow().column("slot").to_numpy()).astype(np.int64)
     if not len(chosen):
         return Model(chosen, np.zeros(0), float(np.log(base / (1 - base))))
-    pair = pa.struct([("plus", pa.list_(pa.int32())), ("minus", pa.list_(pa.int32()))])
-    kinds = (pa.int32(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pair))
-    names = ["toxic", "weight", "features", "counts", "pairs"]
-    schema = "toxic int, weight double, features array<int>, counts array<int>, pairs array<struct<plus: array<int>, minus: array<int>>>"
+    pair = pa.struct([("plus", pa.list_(pa.int32())), ("minus", pa.list_(pa.int32())), ("n", pa.int64())])
+    kinds = (pa.int32(), pa.float64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pair), pa.int64())
+    names = ["toxic", "weight", "features", "counts", "pairs", "made"]
+    schema = "toxic int, weight double, features array<int>, counts array<int>, pairs array<struct<plus: array<int>, minus: array<int>, n: bigint>>, made bigint"
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keep = np.zeros(1 << BITS, bool)
@@ -211,16 +247,15 @@ def fit(labelled: DataFrame, counterfactual: float = COUNTERFACTUAL) -> Model:
             _, slot, n = counts_of(raw, np.array([0, len(raw)]), keep)
             return np.searchsorted(chosen, slot), n
 
+        swapped = Counterfactuals(lambda word: features_of(word)[0].tolist())
         for batch in batches:
             out: list[tuple] = []
             for text, toxic, weight in zip(text_array(batch.column(0)), batch.column(1), batch.column(2)):
                 text = text.as_py()
                 f, n = features_of(text)
-                pairs = []
-                for a, b in swapped_sentences(text):
-                    fa, fb = (set(features_of(x)[0].tolist()) for x in (a, b))
-                    pairs.append({"plus": sorted(fa - fb), "minus": sorted(fb - fa)})
-                out.append((toxic.as_py(), weight.as_py(), f.astype(np.int32), n.astype(np.int32), pairs))
+                pairs, made = swapped.of(text)
+                listed = [{"plus": plus, "minus": minus, "n": k} for (plus, minus), k in pairs.items()]
+                out.append((toxic.as_py(), weight.as_py(), f.astype(np.int32), n.astype(np.int32), listed, made))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)] if out else [pa.array([], t) for t in kinds], names=names)
 
     def train(group: pa.Table) -> pa.Table:
@@ -228,19 +263,25 @@ def fit(labelled: DataFrame, counterfactual: float = COUNTERFACTUAL) -> Model:
         lists = group.column("features").to_pylist()
         doc = np.repeat(np.arange(len(y)), [len(x) for x in lists])
         feature, n = (np.array([v for x in column for v in x], np.int64) for column in (lists, group.column("counts").to_pylist()))
-        pairs = [(p["plus"], p["minus"]) for row in group.column("pairs").to_pylist() for p in row]
-        w, b = trained(y, weight, doc, feature, n, pairs, len(chosen), counterfactual)
-        return pa.table({"feature": pa.array([*range(len(w)), -1], pa.int32()), "w": pa.array([*w.tolist(), b], pa.float64())})
+        pairs: Counter = Counter()
+        for row in group.column("pairs").to_pylist():
+            for p in row:
+                pairs[tuple(p["plus"]), tuple(p["minus"])] += p["n"]
+        w, b = trained(y, weight, doc, feature, n, sorted(pairs.items()), len(chosen), counterfactual)
+        made = sum(group.column("made").to_pylist())
+        return pa.table({"feature": pa.array([*range(len(w)), -1, -2, -3], pa.int32()), "w": pa.array([*w.tolist(), b, float(made), float(sum(pairs.values()))], pa.float64())})
 
     fitted = rows.mapInArrow(reduce, schema).withColumn("fit", F.lit(0)).groupBy("fit").applyInArrow(train, "feature int, w double").toArrow()
     weights = dict(zip(fitted.column("feature").to_pylist(), fitted.column("w").to_pylist()))
-    return Model(chosen, np.array([weights[k] for k in range(len(chosen))]), weights[-1])
+    return Model(chosen, np.array([weights[k] for k in range(len(chosen))]), weights[-1], int(weights[-2]), int(weights[-3]))
 
 
 def trained(y, weight, doc, feature, n, pairs, size, counterfactual):
-    """Weights and intercept: weighted logistic loss, ridge, and the counterfactual penalty on the pairs' score changes."""
+    """Weights and intercept: weighted logistic loss, ridge, and the counterfactual penalty, the mean of the pairs' squared score
+    changes. Pairs are ((features of the one side, of the other), number)."""
     rows, cols, signs = [], [], []
-    for k, (plus, minus) in enumerate(pairs):
+    times = np.array([k for _, k in pairs], np.float64)
+    for k, ((plus, minus), _) in enumerate(pairs):
         rows += [k] * (len(plus) + len(minus))
         cols += [*plus, *minus]
         signs += [np.log(2.0)] * len(plus) + [-np.log(2.0)] * len(minus)
@@ -255,7 +296,7 @@ def trained(y, weight, doc, feature, n, pairs, size, counterfactual):
         grad = np.bincount(feature, error[doc] * v, size) + RIDGE * w
         if len(rows):
             change = np.bincount(rows, w[cols] * signs, len(pairs))
-            grad += counterfactual * 2.0 / len(pairs) * np.bincount(cols, change[rows] * signs, size)
+            grad += counterfactual * 2.0 / times.sum() * np.bincount(cols, (times * change)[rows] * signs, size)
         g = np.append(grad, error.sum())
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         move = 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-10)

@@ -34,10 +34,46 @@ def test_counterfactuals_free_group_names(spark):
     assert abs(fair[1] - fair[4]) < abs(plain[1] - plain[4])
 
 
+def plain_pairs(text, kept):
+    """Every counterfactual from whole sentences, one by one."""
+    out = []
+    for m in toxicity.SENTENCE.finditer(text.lower()):
+        for t in toxicity.TERM.finditer(m[0]):
+            for other in toxicity.SWAPS[t[1]]:
+                a, b = (set(x.split()) & kept for x in (m[0], m[0][: t.start()] + other + m[0][t.end() :]))
+                out.append((tuple(sorted(a - b)), tuple(sorted(b - a))))
+    return out
+
+
 def test_swaps_stay_in_their_kind():
-    pairs = toxicity.swapped_sentences("One muslim came. Nothing here. A WOMAN left!")
-    assert {b.strip() for _, b in pairs} >= {"One christian came", "A man left"}
-    assert all("Nothing" not in a for a, _ in pairs)
+    text = "One muslim came. A WOMAN left! a muslim and a hindu . " + "the hindu came. " * 70
+    kept = {"muslim", "hindu", "man", "came"}
+    pairs, made = toxicity.Counterfactuals(lambda w: kept & {w}).of(text)
+    expected = [p for p in plain_pairs(text, kept) if p != ((), ())]
+    assert sum(pairs.values()) == len(expected) and set(pairs) == set(expected)  # all sentences count, without a cap
+    assert made == 7 * 73 + 3
+    assert (("muslim",), ("hindu",)) in pairs and ((), ("man",)) in pairs and not any("man" in a and "muslim" in b for a, b in pairs)
+
+
+def test_terms_are_put_into_sentences_without_any():
+    text = "the scumbag walked through that village. " * 3 + "some other people went there. " + " ".join(f"word{i} walked there." for i in range(200))
+    pairs, made = toxicity.Counterfactuals(lambda w: {w[:4]} & {"scum", "musl", "gay", "blac"}).of(text)
+    assert made > 600 and pairs and all(not plus for plus, _ in pairs)  # an ordinary word went, a term came
+    assert not any("scum" in minus for _, minus in pairs)
+
+
+def test_neutral_mentions_with_and_without_the_penalty(spark):
+    """False positive rates over a table of neutral mentions, most of terms and frames that the labelled rows do not hold."""
+    data = labelled(spark)
+    frames = ["a {} opened the market early", "the {} family lives near the river", "my {} neighbour brought bread and fruit", "she met a {} teacher in the village"]
+    terms = toxicity.IDENTITY_TERMS["en", "religion"] + ["muslims"]
+    probe = spark.createDataFrame([(k, f.format(t)) for k, (f, t) in enumerate((f, t) for f in frames for t in terms)], "doc_id long, text string")
+    rate = {}
+    for strength in (0.0, toxicity.COUNTERFACTUAL):
+        model = toxicity.fit(data, strength)
+        assert model.differing > 100 and model.made > model.differing
+        rate[strength] = toxicity.score(probe, model).agg(F.avg("predicted")).first()[0]
+    assert rate[0.0] > 0.1 and rate[toxicity.COUNTERFACTUAL] <= 0.03
 
 
 @pytest.mark.parametrize("fold", [False, True])
