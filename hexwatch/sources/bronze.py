@@ -93,8 +93,8 @@ def latest_file(files: DataFrame, per_dataset: bool = True) -> DataFrame:
 
 
 def file_manifest(spark: SparkSession, paths: str | Iterable[str], pattern: str = PATTERN) -> DataFrame:
-    """Per file: lines that are not blank, whether all are valid UTF-8, whether quotes are unpaired in any of them, and
-    the hash of the first line.
+    """Per file: lines that are not blank, whether all are valid UTF-8, whether quotes are unpaired in any of them or in the
+    whole file, the hash of the first line, its number of cells, and the most cells of a line with paired quotes.
 
     All aggregation buffers are fixed-width, so this is a hash aggregate combined on the map side.
     """
@@ -105,11 +105,17 @@ def file_manifest(spark: SparkSession, paths: str | Iterable[str], pattern: str
         .select("value", file_path().alias("path"), row_position().alias("pos"))
     )
     quotes = F.octet_length("value") - F.octet_length(F.replace("value", F.lit('"')))
+    unquoted = F.when(quotes > 0, F.regexp_replace("value", '"[^"]*"', "")).otherwise(F.col("value"))
+    cells = F.when(quotes % 2 == 0, 1 + F.octet_length(unquoted) - F.octet_length(F.replace(unquoted, F.lit(","))))
+    first = F.when(F.col("pos.start") == 0, F.col("pos.row"))
     return lines.groupBy("path").agg(
         F.count_if(F.btrim("value") != "").alias("lines"),
         F.bool_and(F.is_valid_utf8(F.col("value"))).alias("is_utf8"),
         F.bool_or(quotes % 2 == 1).alias("unpaired_quotes"),
-        F.min_by(F.xxhash64("value"), F.when(F.col("pos.start") == 0, F.col("pos.row"))).alias("layout"),
+        (F.sum(quotes.cast("bigint")) % 2 == 1).alias("unterminated_quote"),
+        F.min_by(F.xxhash64("value"), first).alias("layout"),
+        F.min_by(cells, first).alias("header_cells"),
+        F.max(cells).alias("most_cells"),
     )
 
 
@@ -156,6 +162,31 @@ def read_layout(spark: SparkSession, paths: list[str], encoding: str, multi_line
     return raw.select(*cells, file_name(file_path()).alias(SOURCE_FILE), row_position().alias(ROW_POS))
 
 
+TOO_MANY_CELLS = "rows with more cells than the header"
+OVERFLOW = "_overflow"
+
+
+def why_damaged(facts) -> str | None:
+    """Why rows of a file would be lost in reading, from its row of the manifest, or None. Such files are set aside whole."""
+    if facts is None or facts["layout"] is None or not facts["lines"]:
+        return "empty file"
+    if facts["unterminated_quote"]:
+        return "unterminated quote"
+    # With line breaks in cells, lines are not rows; `overlong_files` looks at these.
+    if not facts["unpaired_quotes"] and facts["most_cells"] > facts["header_cells"]:
+        return TOO_MANY_CELLS
+    return None
+
+
+def overlong_files(spark: SparkSession, paths: list[str], encoding: str, header: list[str]) -> set[str]:
+    """Of files with line breaks in cells and the same header, those with a row that has more cells than the header."""
+    if not header:
+        return set()
+    frame = read_layout(spark, [exact(p) for p in sorted(paths)], encoding, True, [*header, OVERFLOW])
+    names = {r[0] for r in frame.where(F.col(frame.columns[len(header)]).isNotNull()).select(SOURCE_FILE).distinct().collect()}
+    return {p for p in paths if p.rsplit("/", 1)[-1] in names}
+
+
 def why_unusable(columns: list[str]) -> str | None:
     """Why the cleaning could not work on a layout, or None."""
     try:
@@ -173,7 +204,8 @@ def scan_landing(
 ) -> Landing:
     """All files that match, one frame per (header layout, encoding, line breaks in cells), and those set aside.
 
-    Encodings are decided per file, UTF-8 when all of it is valid, else Latin-1 (which accepts any bytes); whether
+    Files of which rows would be lost without a word (a quote without its end, rows with more cells than the header) are set aside
+    with the reason. Encodings are decided per file, UTF-8 when all of it is valid, else Latin-1 (which accepts any bytes); whether
     cells hold line breaks is decided by unpaired quotes, and only such files are read whole by one task. Give `encoding`
     or `multi_line` when they are known. Rows are told apart by file name, so equal names in two folders are an error.
     """
@@ -187,8 +219,9 @@ def scan_landing(
     files, unusable = [], []
     for path, row in sorted(listed.items()):
         facts = {"path": path, "file_name": row["file_name"], "dataset_type": row["dataset_type"]}
-        if (m := known.get(path)) is None or m["layout"] is None or not m["lines"]:
-            unusable.append(facts | {"reason": "empty file", "record_count": 0})
+        m = known.get(path)
+        if reason := why_damaged(m):
+            unusable.append(facts | {"reason": reason, "record_count": m["lines"] - 1 if m and m["lines"] else 0})
             continue
         chosen = encoding or ("UTF-8" if m["is_utf8"] else "ISO-8859-1")
         broken = m["unpaired_quotes"] if multi_line is None else multi_line
@@ -197,6 +230,13 @@ def scan_landing(
     frames = []
     for (enc, broken, _), found in sorted(groups.items(), key=lambda g: min(g[1])):
         header = header_of(spark, min(found), enc)
+        if broken:
+            long = overlong_files(spark, found, enc, header)
+            unusable += [f | {"reason": TOO_MANY_CELLS} for f in files if f["path"] in long]
+            files = [f for f in files if f["path"] not in long]
+            found = [p for p in found if p not in long]
+            if not found:
+                continue
         frame = read_layout(spark, [exact(p) for p in sorted(found)], enc, broken, header)
         reason = why_unusable([c for c in frame.columns if c not in (SOURCE_FILE, ROW_POS)]) if check else None
         if reason is None:

@@ -62,6 +62,11 @@ def write_gold(df: DataFrame, path: str, mode: str = "replace", files: list[str]
     if files:
         loaded = loaded.union(spark.createDataFrame([(f,) for f in files], "source_file string"))
     entries = loaded.distinct().select("source_file", F.lit(load_id).alias("load_id"), F.lit(mode == "replace").alias("replaces"))
+    _publish(entries, path)
+
+
+def _publish(entries: DataFrame, path: str) -> None:
+    """From here on the load shows."""
     entries.coalesce(1).write.mode("append").parquet(f"{path}/entries")
 
 
@@ -74,18 +79,43 @@ def _entries(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], ENTRY_SCHEMA)
 
 
-def _current(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of the loads that count: a file's last replacing load and what was appended after it."""
+def _live(spark: SparkSession, path: str) -> DataFrame:
+    """(source_file, load_id) of the loads that count: a file's last replacing load and what was appended after it."""
     entries = _entries(spark, path)
     since = entries.groupBy("source_file").agg(F.coalesce(F.max(F.when(F.col("replaces"), F.col("load_id"))), F.lit(0)).alias("since"))
     if since.count() <= MAX_BROADCAST_ENTRIES:
         since = F.broadcast(since)
-    live = entries.join(since, "source_file").where(F.col("load_id") >= F.col("since")).select("source_file", "load_id").distinct()
+    return entries.join(since, "source_file").where(F.col("load_id") >= F.col("since")).select("source_file", "load_id").distinct()
+
+
+def _current(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of the loads that count."""
+    live = _live(spark, path)
     if live.count() <= MAX_BROADCAST_ENTRIES:
         live = F.broadcast(live)
     return spark.read.schema(STORED_SCHEMA).parquet(f"{path}/rows").join(live, ["source_file", "load_id"], "left_semi")
 
 
+def vacuum(spark: SparkSession, path: str, keep_hours: float = 168.0) -> list[int]:
+    """Remove the loads whose rows no longer show, and return their ids: replaced ones, and those that were cut off before
+    their entries were written. Loads younger than `keep_hours` stay, for queries that still read them and for loads under
+    way. The folder names and one row per load reach the driver, never rows or files."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    rows = hadoop.Path(f"{path}/rows")
+    fs = rows.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(rows):
+        return []
+    live = {r["load_id"] for r in _live(spark, path).select("load_id").distinct().collect()}
+    newest = time.time_ns() - int(keep_hours * 3600 * 1e9)
+    gone = []
+    for status in fs.listStatus(rows):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith("load_id=") and (load_id := int(name.removeprefix("load_id="))) not in live and load_id < newest:
+            fs.delete(status.getPath(), True)
+            gone.append(load_id)
+    return sorted(gone)
+
+
 def scan_gold(spark: SparkSession, path: str) -> DataFrame:
     return _current(spark, path).where(~F.col("refused")).select(*GOLD_COLUMNS, "geom")
 

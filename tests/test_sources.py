@@ -223,3 +223,25 @@ def test_download_source(spark):
     base = "https://ckan0.cf.opendata.inter.prod-toronto.ca/dataset/k/resource/"
     assert [r[0] for r in df.select(url).collect()] == [
         "http://direct", base + "id/download/f.csv", "http://found", base + "found/download/f.csv", None]
+
+
+def test_damaged_files_are_set_aside(spark, tmp_path):
+    good = "E1,2024-01-01,5,43.70,-79.40,Assault,x,y"
+    texts = {
+        "major-crime-indicators_1.csv": f"{HEADER}\n{good}\n",
+        "open_quote_2.csv": f'{HEADER}\n{good}\nE2,2024-01-01,5,43.7,-79.4,"Assault,x,y\nE3,2024-01-01,5,43.7,-79.4,Assault,x,y\n',
+        "too_long_3.csv": f"{HEADER}\n{good}\n{good},more\n",
+        "quoted_comma_4.csv": f'{HEADER}\n{good}\nE2,2024-01-01,5,43.7,-79.4,"Assault, and ""more""",x,y\nE3,2024-01-01\n',
+        "break_5.csv": f'{HEADER}\nE2,2024-01-01,5,43.7,-79.4,Assault,"x\nx",y\n{good}\n',
+        "break_too_long_6.csv": f'{HEADER}\nE2,2024-01-01,5,43.7,-79.4,Assault,"x\nx",y\n{good},more\n',
+        "empty_7.csv": "",
+    }
+    for name, text in texts.items():
+        (tmp_path / name).write_text(text)
+    landing = bronze.scan_landing(spark, str(tmp_path))
+    reasons = {f["file_name"]: f["reason"] for f in landing.unusable}
+    assert reasons.pop("empty_7.csv", "empty file") == "empty file"
+    assert reasons == {"open_quote_2.csv": "unterminated quote", "too_long_3.csv": bronze.TOO_MANY_CELLS, "break_too_long_6.csv": bronze.TOO_MANY_CELLS}
+    counts = {r[0]: r[1] for f in landing.frames for r in f.groupBy("source_file").count().collect()}
+    assert counts == {"major-crime-indicators_1.csv": 1, "quoted_comma_4.csv": 3, "break_5.csv": 2}
+    assert {f["file_name"]: f["record_count"] for f in landing.files} == {"major-crime-indicators_1.csv": 1, "quoted_comma_4.csv": 3, "break_5.csv": None}

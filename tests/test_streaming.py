@@ -1,12 +1,14 @@
 import datetime as dt
 
+import pytest
+
 from tests.helpers import rows
 from tests.test_sources import A, B, C, HEADER, landing  # noqa: F401
 
 from hexwatch.operators import aggregates, ledger
 from hexwatch.session import shared_dir
 from hexwatch.sources.gold import scan_gold
-from hexwatch.streaming.arrivals import load_arrivals
+from hexwatch.streaming.arrivals import load_arrivals, load_files
 from hexwatch.streaming.live_counts import live_counts, live_first_counts
 
 
@@ -103,3 +105,45 @@ def test_forgotten_keys(spark):
         _run(live_first_counts(spark.readStream.schema(schema).parquet(f"{base}/in"), ["id"], "pos", "1 hour", keep_hours=10, distinct=False), base)
     got = sorted(rows(spark.read.parquet(f"{base}/out").select("h3_index", "time_window", "crime_count")))
     assert got == [("a", t, 1), ("a", t + 41 * hour, 1), ("b", t + 40 * hour, 1)]
+
+
+@pytest.mark.parametrize("cut", ["before entries", "before ledger"])
+def test_a_batch_that_is_cut_off(spark, landing, monkeypatch, cut):  # noqa: F811
+    """The driver dies half-way through a batch: between rows and entries, or between entries and ledger. The rerun gives the
+    same table and the same state as an undisturbed run, and the rows left behind are vacuumed."""
+    from hexwatch.sources import gold as gold_io
+
+    def run(base):
+        load_arrivals(spark, str(landing), f"{base}/gold", f"{base}/ledger", f"{base}/c").awaitTermination()
+
+    def outcome(base):
+        state = ledger.fold(ledger.read_events(spark, f"{base}/ledger")).drop("ingested_at")
+        return sorted(rows(scan_gold(spark, f"{base}/gold").drop("geom")), key=repr), sorted(rows(state), key=repr)
+
+    whole, base = shared_dir(spark, "whole"), shared_dir(spark, "cut")
+    run(whole)
+
+    real_publish, real_append, calls = gold_io._publish, ledger.append_events, []
+
+    def publish(entries, path):
+        if cut == "before entries":
+            raise RuntimeError("died")
+        real_publish(entries, path)
+
+    def append(events, path):
+        calls.append(1)
+        if len(calls) == 2:  # the completion, after the start
+            raise RuntimeError("died")
+        real_append(events, path)
+
+    with monkeypatch.context() as m:
+        m.setattr(gold_io, "_publish", publish)
+        m.setattr(ledger, "append_events", append)
+        with pytest.raises(RuntimeError):
+            load_files(spark, sorted(str(p) for p in landing.glob("*.csv")), f"{base}/gold", f"{base}/ledger")
+    assert outcome(base) != outcome(whole)
+    run(base)
+    assert outcome(base) == outcome(whole)
+    assert len(gold_io.vacuum(spark, f"{base}/gold", keep_hours=0)) == 1
+    assert outcome(base) == outcome(whole) and gold_io.vacuum(spark, f"{base}/gold", keep_hours=0) == []
+    assert gold_io.vacuum(spark, f"{base}/nothing") == []
