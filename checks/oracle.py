@@ -627,6 +627,7 @@ def oracles() -> dict[str, str]:
         union all select 'features', false, null union all select 'model_metadata', true, count(*) from part"""
     # features and model
     o["m1_features_dense"] = on_counts(features("dense"), dense=DENSE_CELL)
+    o["m1_features_refreshed"] = o["m1_features_dense"]
     o["m1_features_sparse"] = on_counts(features("counts"))
     o["m2_targets"] = on_counts("""
         select h3_index, hour_no, cast(crime_count as integer) as target_crime_count,

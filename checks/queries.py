@@ -910,6 +910,17 @@ def m1_features_sparse(spark, sf):
     return plain(features.build_features(gold(spark, sf), holidays(spark, sf), span=None))
 
 
+@query
+def m1_features_refreshed(spark, sf):
+    """Features of all but one file, then that file arrives and another one is replaced by all of its rows."""
+    rows = _stored(gold(spark, sf).select("h3_index", "occurred_at", "source_file"), "gold-rows")
+    late, partial = testview.FILES[0], testview.FILES[1]
+    some = (F.col("source_file") != late) & ((F.col("source_file") != partial) | (F.hour("occurred_at") < 12))
+    before, now = _stored(features.hourly_counts(rows.where(some)), "counts"), _stored(features.hourly_counts(rows), "counts")
+    previous = _stored(features.build_features(rows.where(some), holidays(spark, sf)), "features")
+    return plain(features.refreshed_features(previous, features.changed_hours(before, now), now, holidays(spark, sf)))
+
+
 @query
 def m2_targets(spark, sf):
     rows = features.with_targets(features.densify(counts(spark, sf)))

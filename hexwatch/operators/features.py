@@ -109,6 +109,52 @@ def with_targets(df: DataFrame) -> DataFrame:
     })
 
 
+def changed_hours(before: DataFrame, now: DataFrame) -> DataFrame:
+    """(h3_index, hour_no) whose count differs between two tables of hourly counts, of the files that a load replaced or added."""
+    old = before.select("h3_index", HOUR_NO, (-F.col("crime_count")).alias("d"))
+    new = now.select("h3_index", HOUR_NO, F.col("crime_count").alias("d"))
+    return old.unionByName(new).groupBy("h3_index", HOUR_NO).agg(F.sum("d").alias("d")).where("d <> 0").select("h3_index", HOUR_NO)
+
+
+def touched_ranges(changed: DataFrame, counts: DataFrame) -> DataFrame:
+    """Per cell with a change: the hours `low` to `high` whose rows may differ, and `until`, the next hour with an event after.
+
+    A change reaches the look-backs of the following 720 hours. On a dense grid it also makes or unmakes the rows up to the
+    events next to it, so the range goes from the event before the first change to the one after the last.
+    """
+    span = changed.groupBy("h3_index").agg(F.min(HOUR_NO).alias("first"), F.max(HOUR_NO).alias("last"))
+    hour = F.col(HOUR_NO)
+    near = counts.join(span, "h3_index").groupBy("h3_index", "first", "last").agg(
+        F.max(F.when(hour < F.col("first"), hour)).alias("before"), F.min(F.when(hour > F.col("last"), hour)).alias("after"),
+        F.min(F.when(hour > F.col("last") + MONTH_HOURS, hour)).alias("later"))
+    ranged = span.join(near, ["h3_index", "first", "last"], "left").select(
+        "h3_index", F.coalesce("before", "first").alias("low"), F.greatest(F.coalesce("after", "last"), F.col("last") + MONTH_HOURS).alias("high"), "later")
+    return ranged.select("h3_index", "low", "high", F.greatest("high", F.coalesce("later", "high")).alias("until"))
+
+
+def refreshed_features(
+    previous: DataFrame, changed: DataFrame, counts: DataFrame, holidays: DataFrame | None = None, span: str | None = "cell",
+) -> DataFrame:
+    """M1 kept up to date: the stored features with the rows that a load can have changed computed anew (one row per cell and hour).
+
+    `counts` are all hourly counts as they are now, `changed` the hours in which they differ from when `previous` was made. Only the
+    cells with changes are computed, from 720 hours before the first change on; all other rows are taken over. The ranges
+    are one row per changed cell. `span` is `cell` or None; the hours of the whole table would change every cell.
+    """
+    if span not in ("cell", None):
+        raise ValueError("only features by cell or of hours with events can be refreshed")
+    ranges = touched_ranges(changed, counts)
+    hour = F.col(HOUR_NO)
+    needed = counts.join(ranges, "h3_index").where(hour.between(F.col("low") - MONTH_HOURS, F.col("until"))).select(*counts.columns)
+    dense = needed if span is None else densify(needed, span)
+    rows = with_targets(with_lookbacks(dense)).join(ranges, "h3_index").where(hour.between(F.col("low"), F.col("high"))).drop("low", "high", "until")
+    fresh = with_calendar(rows.withColumn("time_window", F.timestamp_seconds(hour * F.lit(3600))), holidays).select(*FEATURE_COLUMNS)
+    own_hour = times.hour_number(F.col("time_window"))
+    marks = ranges.select(F.col("h3_index").alias("_cell"), "low", "high")
+    kept = previous.join(marks, (F.col("h3_index") == F.col("_cell")) & own_hour.between(F.col("low"), F.col("high")), "left_anti")
+    return kept.select(*FEATURE_COLUMNS).unionByName(fresh)
+
+
 def build_features(
     gold: DataFrame, holidays: DataFrame | None = None, span: str | None = "cell",
     start: Column | None = None, end: Column | None = None,
