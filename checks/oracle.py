@@ -597,6 +597,7 @@ def oracles() -> dict[str, str]:
           'in_progress' as status, arg_max(dataset_type, seq) filter (dataset_type is not null) as dataset_type
         from ledger_events where kind = 'start' group by file_name""")
     o["l2_l3_l4_fold"] = sql(LEDGER_CTES, "select * from ledger")
+    o["l2_fold_snapshots"] = o["l2_l3_l4_fold"]
     o["l4_gold_completion"] = on_gold("""
         select source_file as file_name, count(*) as record_count, 'completed' as status,
           max(occurred_at) as last_timestamp from gold group by source_file""")

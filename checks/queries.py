@@ -830,6 +830,18 @@ def l2_l3_l4_fold(spark, sf):
     return plain(ledger_now(spark, sf))
 
 
+@query
+def l2_fold_snapshots(spark, sf):
+    """The same state from a snapshot of the first part of the events and the part after it."""
+    path, events = shared_dir(spark, "ledger"), ledger_events(spark, sf)
+    middle = events.agg(F.floor(F.max("seq") * 0.6)).first()[0]
+    ledger.append_events(events.where(F.col("seq") <= middle), path)
+    ledger.compact(spark, path)
+    ledger.append_events(events.where(F.col("seq") > middle), path)
+    ledger.drop_folded(spark, path)
+    return plain(ledger.read_state(spark, path))
+
+
 @query
 def l4_gold_completion(spark, sf):
     stats = aggregates.file_load_stats(gold(spark, sf))

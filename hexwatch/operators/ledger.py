@@ -48,42 +48,115 @@ def fold(events: DataFrame) -> DataFrame:
     only by a known one; forget removes the row, so that the file is loaded again. Events before the file's first start
     change nothing.
     """
-    kind, seq = F.col("kind"), F.col("seq")
-    done = kind.isin("complete", "gold_complete")
+    return current(partial(events))
 
-    def latest(value: Column, when: Column) -> Column:
-        return F.max_by(value, F.when(when, seq))
 
-    def latest_seq(when: Column) -> Column:
-        return F.max(F.when(when, seq))
+def partial(events: DataFrame) -> DataFrame:
+    """Per file what the fold needs to know of its events: each field's last value with the number of the event that set it.
 
-    typed_event = kind.isin("start", "complete") & F.col("dataset_type").isNotNull()
+    Two such rows of a file merge into one, so a snapshot of them stands for all events before it.
+    """
+    kind, seq = F.col("kind"), F.col("seq")
+    done = kind.isin("complete", "gold_complete")
+    failed = kind == "fail"
+    typed = kind.isin("start", "complete") & F.col("dataset_type").isNotNull()
     state = F.when(kind == "start", "in_progress").when(done, "completed").when(kind == "forget", "forgotten").otherwise("failed")
-    folded = events.groupBy("file_name").agg(
-        F.min(F.when(kind == "start", seq)).alias("_first"),
-        latest(F.col("at"), kind == "start").alias("ingested_at"),
-        latest(F.col("record_count"), (kind == "start") | done).alias("record_count"),
-        latest(F.col("last_timestamp"), done).alias("last_timestamp"),
-        latest_seq(done).alias("_done"),
-        latest(state, F.lit(True)).alias("status"),
-        latest(F.when(kind == "fail", truncate(F.col("error_message"), ERROR_MESSAGE_WIDTH)), done | (kind == "fail"))
-        .alias("error_message"),
-        latest_seq(done | (kind == "fail")).alias("_error"),
-        latest(F.col("dataset_type"), typed_event).alias("dataset_type"),
-        latest_seq(typed_event).alias("_typed"),
+    message = F.when(failed, truncate(F.col("error_message"), ERROR_MESSAGE_WIDTH))
+
+    def last(value: Column, when: Column) -> Column:
+        return F.max_by(F.struct(seq.alias("seq"), value.alias("value")), F.when(when, seq))
+
+    return events.groupBy("file_name").agg(
+        F.min(F.when(kind == "start", seq)).alias("first"),
+        last(F.col("at"), kind == "start").alias("ingested_at"),
+        last(F.col("record_count"), (kind == "start") | done).alias("record_count"),
+        last(F.col("last_timestamp"), done).alias("last_timestamp"),
+        last(state, F.lit(True)).alias("status"),
+        last(message, done | failed).alias("error_message"),
+        last(F.col("dataset_type"), typed).alias("dataset_type"),
+        F.max(seq).alias("seq"),
     )
-    first = F.col("_first")
-    return folded.where(first.isNotNull() & (F.col("status") != "forgotten")).select(
+
+
+FOLDED = ("ingested_at", "record_count", "last_timestamp", "status", "error_message", "dataset_type")
+
+
+def merged(parts: DataFrame) -> DataFrame:
+    """One row per file from partial rows: of every field the value with the greatest number."""
+    return parts.groupBy("file_name").agg(
+        F.min("first").alias("first"), *(F.max_by(c, F.col(f"{c}.seq")).alias(c) for c in FOLDED), F.max("seq").alias("seq"))
+
+
+def current(parts: DataFrame) -> DataFrame:
+    """The state that partial rows, one per file, stand for."""
+    first = F.col("first")
+
+    def since(c: str, test: Column) -> Column:
+        return F.when(test, F.col(f"{c}.value")).alias(c)
+
+    return parts.where(first.isNotNull() & (F.col("status.value") != "forgotten")).select(
         "file_name",
-        "ingested_at",
-        F.coalesce("record_count", F.lit(0)).alias("record_count"),
-        F.when(F.col("_done") > first, F.col("last_timestamp")).alias("last_timestamp"),
-        "status",
-        F.when(F.col("_error") > first, F.col("error_message")).alias("error_message"),
-        F.when(F.col("_typed") >= first, F.col("dataset_type")).alias("dataset_type"),
+        F.col("ingested_at.value").alias("ingested_at"),
+        F.coalesce("record_count.value", F.lit(0)).alias("record_count"),
+        since("last_timestamp", F.col("last_timestamp.seq") > first),
+        F.col("status.value").alias("status"),
+        since("error_message", F.col("error_message.seq") > first),
+        since("dataset_type", F.col("dataset_type.seq") >= first),
     )
 
 
+def snapshots(spark: SparkSession, path: str) -> list[int]:
+    """The numbers up to which snapshots of the event table hold everything, ascending; a folder without its mark does not count."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    folder = hadoop.Path(f"{path.rstrip('/')}_snapshots")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(folder):
+        return []
+    names = [s.getPath() for s in fs.listStatus(folder)]
+    return sorted(int(p.getName().removeprefix("upto=")) for p in names if p.getName().startswith("upto=") and fs.exists(hadoop.Path(p, "_SUCCESS")))
+
+
+def compact(spark: SparkSession, path: str) -> int:
+    """Fold all events so far into a snapshot, and return the number up to which it holds them. Later reads take the snapshot and
+    newer events. One writer at a time, as for the events."""
+    upto = next_seq(spark, path) - 1
+    known = snapshots(spark, path)
+    if upto > (known[-1] if known else 0):
+        parts = _parts(spark, path).where(F.col("seq") <= upto)
+        parts.write.mode("overwrite").parquet(f"{path.rstrip('/')}_snapshots/upto={upto}")
+    return upto
+
+
+def drop_folded(spark: SparkSession, path: str) -> int:
+    """Remove the event files that the newest snapshot holds whole, and older snapshots; return the number of files removed."""
+    known = snapshots(spark, path)
+    if not known:
+        return 0
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    held = read_events(spark, path).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.max("seq").alias("last")).where(F.col("last") <= known[-1])
+    files = [r["file"] for r in held.select("file").collect()]  # one per append since the snapshot before
+    for name in [*files, *(f"{path.rstrip('/')}_snapshots/upto={n}" for n in known[:-1])]:
+        old = hadoop.Path(name)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return len(files)
+
+
+def _parts(spark: SparkSession, path: str) -> DataFrame:
+    """Partial rows of everything: the newest snapshot and the events after it, whose older files the scan skips by statistics."""
+    known = snapshots(spark, path)
+    events = read_events(spark, path)
+    if not known:
+        return partial(events)
+    tail = partial(events.where(F.col("seq") > known[-1]))
+    held = spark.read.schema(tail.schema).parquet(f"{path.rstrip('/')}_snapshots/upto={known[-1]}")
+    return merged(held.unionByName(tail))
+
+
+def read_state(spark: SparkSession, path: str) -> DataFrame:
+    """The current state of the ledger under a path, from its newest snapshot and what came after."""
+    return current(_parts(spark, path))
+
+
 def bronze_events(files: DataFrame, seq: Column, at: Column | None = None) -> DataFrame:
     """Start and complete events for loaded files (file_name, record_count, dataset_type); the last time stays
     unknown until gold."""
@@ -98,15 +171,18 @@ def gold_events(stats: DataFrame, seq: Column, at: Column | None = None) -> Data
     return event(files, "gold_complete", seq, at, F.col("record_count"), F.col("last_timestamp"))
 
 
-def next_seq(events: DataFrame) -> int:
-    """Above every sequence number so far, also after a stream's checkpoint was lost."""
-    return 1 + (events.agg(F.max("seq")).first()[0] or 0)
+def next_seq(spark: SparkSession, path: str) -> int:
+    """Above every sequence number so far, also after a stream's checkpoint was lost. One writer at a time: two that ask at
+    once get the same number."""
+    known = snapshots(spark, path)
+    newest = read_events(spark, path).agg(F.max("seq")).first()[0] or 0
+    return 1 + max(newest, known[-1] if known else 0)
 
 
 def forget(spark: SparkSession, names: list[str], path: str) -> None:
     """Let files be loaded again, whatever their state."""
     files = spark.createDataFrame([(n,) for n in names], "file_name string")
-    append_events(event(files, "forget", F.lit(next_seq(read_events(spark, path)))), path)
+    append_events(event(files, "forget", F.lit(next_seq(spark, path))), path)
 
 
 def append_events(events: DataFrame, path: str) -> None:

@@ -26,7 +26,7 @@ def load_files(spark: SparkSession, paths: list[str], gold_path: str, ledger_pat
     one, so that one that cannot be read does not hold back the others.
     """
     def record(facts: list[dict], *kinds: str) -> None:
-        seq = ledger.next_seq(ledger.read_events(spark, ledger_path))
+        seq = ledger.next_seq(spark, ledger_path)
         rows = spark.createDataFrame([(f["file_name"], f.get("record_count"), f.get("dataset_type"), f.get("reason")) for f in facts], FILE_FACTS)
         made = [ledger.event(rows, k, F.lit(seq + i), record_count=F.col("record_count") if k != "fail" else None, dataset_type=F.col("dataset_type"),
                              error_message=F.col("error_message") if k == "fail" else None) for i, k in enumerate(kinds)]
@@ -50,7 +50,7 @@ def load_files(spark: SparkSession, paths: list[str], gold_path: str, ledger_pat
         stats = aggregates.file_load_stats(stored).drop("record_count").withColumnRenamed(SOURCE_FILE, "file_name")
         raw_counts = spark.createDataFrame([(f["file_name"], f["record_count"]) for f in facts], "file_name string, record_count bigint")
         done = raw_counts.join(stats, "file_name", "left")
-        seq = F.lit(ledger.next_seq(ledger.read_events(spark, ledger_path)))
+        seq = F.lit(ledger.next_seq(spark, ledger_path))
         ledger.append_events(ledger.event(done, "gold_complete", seq, record_count=F.col("record_count"), last_timestamp=F.col("last_timestamp")), ledger_path)
     except (PySparkException, OSError) as e:
         if len(paths) > 1:
@@ -101,7 +101,7 @@ def load_arrivals(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        seen = ledger.fold(ledger.read_events(session, ledger_path))
+        seen = ledger.read_state(session, ledger_path)
         # Started but not completed: a load that was cut off is taken up again.
         open_ones = seen.where("status <> 'in_progress'")
         files = joins.unseen_files(batch, open_ones, retry_failed).select("path").collect()  # at most max_files
