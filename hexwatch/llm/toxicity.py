@@ -21,7 +21,6 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -110,32 +109,49 @@ KIND_LIST = list(IDENTITY_TERMS.values())
 class Counterfactuals:
     """Pairs of a text's sentences with other terms, by the model's features that only the one or only the other holds."""
 
+    #: Words whose features are remembered.
+    most = 1 << 18
+
     def __init__(self, features_of) -> None:
-        self.features_of = lru_cache(1 << 16)(lambda word: frozenset(features_of(word)))
-        self.terms = {t: self.features_of(t) for terms in KIND_LIST for t in terms}
+        """`features_of` gives the model's features of each word of a list."""
+        self.features_of = features_of
+        self.known: dict[str, frozenset] = {}
+        terms = [t for kind in KIND_LIST for t in kind]
+        self.learn(terms)
+        self.terms = {t: self.known[t] for t in terms}
+
+    def learn(self, words) -> None:
+        if new := sorted(set(words) - self.known.keys()):
+            if len(self.known) > self.most:
+                self.known = dict(self.terms)
+                new = sorted(set(words) - self.known.keys())
+            self.known.update(zip(new, map(frozenset, self.features_of(new))))
 
     def of(self, text: str) -> tuple[Counter, int]:
         """The pairs (plus, minus) that differ, with the number of times each was made, and the number of all that were made."""
         pairs: Counter = Counter()
         made = 0
-        for m in SENTENCE.finditer(text.lower()):
+        text = text.lower()
+        self.learn([*WORD.findall(text), *self.terms])
+        known = self.known
+        for m in SENTENCE.finditer(text):
             sentence = m[0]
             named = list(TERM.finditer(sentence))
             words = [(w.start(), w[0]) for w in WORD.finditer(sentence)]
             if named:
                 places = [(t.start(), t[1], SWAPS[t[1]]) for t in named]
             else:
-                plain = [(at, w) for at, w in words if len(w) > 3 and not self.features_of(w)]
+                plain = [(at, w) for at, w in words if len(w) > 3 and not known[w]]
                 if not plain:
                     continue
                 choice = zlib.crc32(sentence.encode())
                 places = [(*plain[choice % len(plain)], KIND_LIST[choice // 7 % len(KIND_LIST)])]
             for at, term, others in places:
                 made += len(others)
-                mine = self.features_of(term)
+                mine = known[term]
                 if not mine and not any(self.terms[o] for o in others):
                     continue
-                rest = frozenset().union(*(self.features_of(w) for start, w in words if start != at))
+                rest = frozenset().union(*(known[w] for start, w in words if start != at))
                 for other in others:
                     plus, minus = mine - self.terms[other] - rest, self.terms[other] - mine - rest
                     if plus or minus:
@@ -247,7 +263,14 @@ def fit(labelled: DataFrame, counterfactual: float = COUNTERFACTUAL) -> Model:
             _, slot, n = counts_of(raw, np.array([0, len(raw)]), keep)
             return np.searchsorted(chosen, slot), n
 
-        swapped = Counterfactuals(lambda word: features_of(word)[0].tolist())
+        def of_words(words: list[str]) -> list[list[int]]:
+            raw = [w.encode() for w in words]
+            doc, slot, _ = counts_of(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(w) for w in raw]))), keep)
+            at = np.searchsorted(doc, np.arange(len(words) + 1))
+            found = np.searchsorted(chosen, slot).tolist()
+            return [found[a:b] for a, b in zip(at[:-1], at[1:])]
+
+        swapped = Counterfactuals(of_words)
         for batch in batches:
             out: list[tuple] = []
             for text, toxic, weight in zip(text_array(batch.column(0)), batch.column(1), batch.column(2)):

@@ -48,7 +48,7 @@ def plain_pairs(text, kept):
 def test_swaps_stay_in_their_kind():
     text = "One muslim came. A WOMAN left! a muslim and a hindu . " + "the hindu came. " * 70
     kept = {"muslim", "hindu", "man", "came"}
-    pairs, made = toxicity.Counterfactuals(lambda w: kept & {w}).of(text)
+    pairs, made = toxicity.Counterfactuals(lambda words: [kept & {w} for w in words]).of(text)
     expected = [p for p in plain_pairs(text, kept) if p != ((), ())]
     assert sum(pairs.values()) == len(expected) and set(pairs) == set(expected)  # all sentences count, without a cap
     assert made == 7 * 73 + 3
@@ -57,7 +57,7 @@ def test_swaps_stay_in_their_kind():
 
 def test_terms_are_put_into_sentences_without_any():
     text = "the scumbag walked through that village. " * 3 + "some other people went there. " + " ".join(f"word{i} walked there." for i in range(200))
-    pairs, made = toxicity.Counterfactuals(lambda w: {w[:4]} & {"scum", "musl", "gay", "blac"}).of(text)
+    pairs, made = toxicity.Counterfactuals(lambda words: [{w[:4]} & {"scum", "musl", "gay", "blac"} for w in words]).of(text)
     assert made > 600 and pairs and all(not plus for plus, _ in pairs)  # an ordinary word went, a term came
     assert not any("scum" in minus for _, minus in pairs)
 
