@@ -1,6 +1,8 @@
 """Preparation of a text corpus: language ID, quality rules, near duplicates, secrets, packing.
 
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the next stage's documents.
+All stages take empty tables, repeated rows, each judged for itself, texts of any length as a whole, and further columns of any name,
+which the first four keep.
 """
 
 from __future__ import annotations
@@ -16,7 +18,11 @@ MIN_LANGUAGE_SHARE = 0.2
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is recognised; nothing is learned from the held-out fold."""
+    """Documents whose language is recognised; nothing is learned from the held-out fold.
+
+    Null and empty texts, and texts without letters, have no language and go; null languages are not learned from; of equally
+    likely languages the first in order is taken; without any known language all documents go.
+    """
     filters = language.learn(docs.where(~held_out()).select("text", "lang"))
     names = fresh(docs, "lang_pred"), fresh(docs, "lang_score")
     found = language.identify(docs, filters, into=names)
@@ -25,22 +31,31 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rule and their group's thresholds."""
+    """Documents that pass the base rule and their group's limits.
+
+    Null and empty texts have no words and go; null language or source are groups of their own; texts at a limit stay.
+    """
     return quality.filtered(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each class of near duplicates, the one with the least id."""
+    """One document of each class of near duplicates, the one with the least id.
+
+    Of several rows of that id one stays; null and empty texts are one class; null ids come last.
+    """
     return neardup.one_of_each(docs)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced in their texts."""
+    """All documents, with secrets replaced in their texts; null texts stay null, overlapping spans become one mark."""
     return secrets.redacted(docs)
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences."""
+    """The pieces of all documents and their places in sequences.
+
+    A null or empty text is one piece with the end id; equal pieces are packed each for itself; other columns are left behind.
+    """
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
