@@ -26,6 +26,8 @@ INPUTS = [
 ]
 #: Second-order boosting by name: how its trees grow.
 GROWTH = {"xgboost": "level", "lightgbm": "leaf"}
+#: Spark's names of the same parameters; there is nothing random to seed.
+SPARK_NAMES = {"maxIter": "trees", "maxDepth": "max_depth", "stepSize": "learning_rate", "maxBins": "bins"}
 REGISTRY_SCHEMA = (
     "model_id string, version string, model_type string, trained_at timestamp, artifact_path string, "
     "is_active boolean, metrics map<string,double>, training_samples bigint, feature_count int, "
@@ -55,7 +57,8 @@ def train(features: DataFrame, model_type: str = "logistic_regression", **params
     """M3. `logistic_regression` and `gbt` are Spark's and learn from `training_rows`; `xgboost` and `lightgbm` boost with second
     derivatives over binned inputs, level by level or leaf by leaf (see `boosting.Params`), and learn from missing inputs too."""
     if model_type in GROWTH:
-        return boosting.fit(features, INPUTS, "target_binary", boosting.Params(GROWTH[model_type], **params))
+        own = {SPARK_NAMES.get(k, k): v for k, v in params.items() if k != "seed"}
+        return boosting.fit(features, INPUTS, "target_binary", boosting.Params(GROWTH[model_type], **own))
     common = dict(featuresCol="features", labelCol="target_binary")
     if model_type == "logistic_regression":
         classifier = LogisticRegression(**common, **params)
