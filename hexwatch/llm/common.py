@@ -69,7 +69,8 @@ def with_columns(df: DataFrame, text: str, fields: dict[str, T.DataType], make)
             made = make(text_array(batch.column(at)))
             yield pa.RecordBatch.from_arrays([*(batch.columns[i] for i in kept), *(as_array(x) for x in made)], names=[*names, *fields])
 
-    return df.mapInArrow(run, schema)
+    # Plain names on the way in: a function over Arrow batches looks columns up by name, and dots would be taken apart.
+    return df.toDF(*(f"c{i}" for i in range(len(df.columns)))).mapInArrow(run, schema)
 
 
 def as_array(values) -> pa.Array:
