@@ -1,6 +1,4 @@
 import numpy as np
-import pytest
-
 from hexwatch.llm import language
 from hexwatch.llm.common import held_out
 from hexwatch.llm.queries import QUERIES
@@ -67,9 +65,9 @@ def test_held_out_fold(docs_of):
     assert all(r["h"] == (zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2) for r in rows)
 
 
-def test_names_that_exist_are_refused(odd):
-    with pytest.raises(ValueError, match="exist already"):
-        language.identify(odd.withColumnRenamed("source", "score"), language.SlicedFilters([], [], None))
+def test_names_that_exist_are_replaced(odd):
+    out = language.identify(odd.withColumnRenamed("source", "Score"), language.SlicedFilters([], [], None))
+    assert out.columns == ["doc_id", "text", "lang", "n_chars", "lang_pred", "score"]
 
 
 def test_copies_change_neither_sample_nor_filters(spark, docs_of):
