@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexwatch.operators import clean, load
-from hexwatch.session import require_utc
+from hexwatch.operators import clean, keyindex, load
+from hexwatch.session import require_utc, shared_dir
 from hexwatch.settings import GOLD_SCHEMA, RAW_KEY, SILVER_COLUMNS
 from hexwatch.sources.bronze import ROW_POS, SOURCE_FILE, exact, latest_file, list_files, scan_landing
 from hexwatch.sources.gold import with_reject_reason
@@ -14,7 +14,7 @@ from hexwatch.sources.gold import with_reject_reason
 
 def silver(
     raw: DataFrame | list[DataFrame], skip_validation: bool = False, across_files: bool = False,
-    formats: list[str] | None = None,
+    formats: list[str] | None = None, key_index: str | None = None, files: list[str] | None = None,
 ) -> DataFrame:
     """Deduplicate, filter to the region (unless switched off, P8), project, drop incomplete rows.
 
@@ -23,6 +23,10 @@ def silver(
     carries parsed values instead of text and the filters after it read finished columns instead of parsing again.
     Layouts that have the key share one shuffle; layouts without it are made distinct on their own columns, and with
     `across_files` several such layouts also on the cleaned columns. `formats` adds date formats.
+
+    With `key_index` (`operators.keyindex`) and the names of the `files` of this load, rows whose key an earlier load of another
+    file holds are dropped as well, and the keys of this load are added; the deduplicated rows are stored once for that. Rows of layouts
+    without the key are told apart within the load only.
     """
     frames = raw if isinstance(raw, list) else [raw]
     keyed = [cleaned(f, formats) for f in frames if RAW_KEY in f.columns]
@@ -33,13 +37,24 @@ def silver(
         first = F.min(F.struct(SOURCE_FILE, "dataset_type")).alias("first")
         kept = [_union(plain).groupBy(*content).agg(first).select(*content, "first.*").select(*SILVER_COLUMNS)]
     if keyed:
-        kept = [*kept, clean.dedup_first(_union(keyed), across_files=across_files).drop(RAW_KEY, ROW_POS)]
+        first = clean.dedup_first(_union(keyed), across_files=across_files or key_index is not None)
+        if key_index is not None:
+            first = _first_of_all_loads(first, key_index, files or [])
+        kept = [*kept, first.drop(RAW_KEY, ROW_POS)]
     rows = _union(kept)
     if not skip_validation:
         rows = clean.filter_region(rows)
     return clean.drop_missing_critical(rows)
 
 
+def _first_of_all_loads(rows: DataFrame, key_index: str, files: list[str]) -> DataFrame:
+    spark, path = rows.sparkSession, shared_dir(rows.sparkSession, "first-rows")
+    keyindex.drop_known(rows, key_index, files).write.parquet(path)
+    kept = spark.read.schema(rows.schema).parquet(path)
+    keyindex.add_keys(kept, key_index, files)
+    return kept
+
+
 def cleaned(frame: DataFrame, formats: list[str] | None = None) -> DataFrame:
     """One raw layout to the eight cleaned columns, plus key and row position where it has them."""
     return clean.to_silver_schema(clean.with_coordinates(clean.canonical(frame)), formats=formats)

@@ -50,7 +50,7 @@ def write_gold(df: DataFrame, path: str, mode: str = "replace", files: list[str]
         raise ValueError(f"mode must be replace or append, is {mode!r}")
     spark = df.sparkSession
     # Later than every earlier load, also if clocks differ between drivers.
-    load_id = max(time.time_ns(), 1 + (_entries(spark, path).agg(F.max("load_id")).first()[0] or 0))
+    load_id = max(time.time_ns(), 1 + (entries_of(spark, path).agg(F.max("load_id")).first()[0] or 0))
     tagged = df if "reject_reason" in df.columns else df.withColumn("reject_reason", F.lit(None).cast("string"))
     arranged = (
         tagged.withColumns({"load_id": F.lit(load_id), "refused": F.col("reject_reason").isNotNull()})
@@ -62,26 +62,30 @@ def write_gold(df: DataFrame, path: str, mode: str = "replace", files: list[str]
     if files:
         loaded = loaded.union(spark.createDataFrame([(f,) for f in files], "source_file string"))
     entries = loaded.distinct().select("source_file", F.lit(load_id).alias("load_id"), F.lit(mode == "replace").alias("replaces"))
-    _publish(entries, path)
+    publish(entries, path)
 
 
-def _publish(entries: DataFrame, path: str) -> None:
+def publish(entries: DataFrame, path: str) -> None:
     """From here on the load shows."""
     entries.coalesce(1).write.mode("append").parquet(f"{path}/entries")
 
 
-def _entries(spark: SparkSession, path: str) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: str) -> DataFrame:
     try:
-        return spark.read.schema(ENTRY_SCHEMA).parquet(f"{path}/entries")
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], ENTRY_SCHEMA)
+        return spark.createDataFrame([], schema)
 
 
-def _live(spark: SparkSession, path: str) -> DataFrame:
+def entries_of(spark: SparkSession, path: str) -> DataFrame:
+    return read_or_empty(spark, f"{path}/entries", ENTRY_SCHEMA)
+
+
+def live_loads(spark: SparkSession, path: str) -> DataFrame:
     """(source_file, load_id) of the loads that count: a file's last replacing load and what was appended after it."""
-    entries = _entries(spark, path)
+    entries = entries_of(spark, path)
     since = entries.groupBy("source_file").agg(F.coalesce(F.max(F.when(F.col("replaces"), F.col("load_id"))), F.lit(0)).alias("since"))
     if since.count() <= MAX_BROADCAST_ENTRIES:
         since = F.broadcast(since)
@@ -90,7 +94,7 @@ def _live(spark: SparkSession, path: str) -> DataFrame:
 
 def _current(spark: SparkSession, path: str) -> DataFrame:
     """Rows of the loads that count."""
-    live = _live(spark, path)
+    live = live_loads(spark, path)
     if live.count() <= MAX_BROADCAST_ENTRIES:
         live = F.broadcast(live)
     return spark.read.schema(STORED_SCHEMA).parquet(f"{path}/rows").join(live, ["source_file", "load_id"], "left_semi")
@@ -105,7 +109,7 @@ def vacuum(spark: SparkSession, path: str, keep_hours: float = 168.0) -> list[in
     fs = rows.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(rows):
         return []
-    live = {r["load_id"] for r in _live(spark, path).select("load_id").distinct().collect()}
+    live = {r["load_id"] for r in live_loads(spark, path).select("load_id").distinct().collect()}
     newest = time.time_ns() - int(keep_hours * 3600 * 1e9)
     gone = []
     for status in fs.listStatus(rows):

@@ -18,12 +18,14 @@ FILE_FACTS = "file_name string, record_count bigint, dataset_type string, error_
 Scan = Callable[[SparkSession, list[str]], Landing]
 
 
-def load_files(spark: SparkSession, paths: list[str], gold_path: str, ledger_path: str, scan: Scan = scan_landing) -> None:
+def load_files(
+    spark: SparkSession, paths: list[str], gold_path: str, ledger_path: str, scan: Scan = scan_landing, key_index: str | None = None,
+) -> None:
     """Load files of one batch, whatever the ledger says of them, and record every step.
 
     Usable files start with their raw row count and dataset type before the load and complete after it, also if none of
-    their rows survive; unusable ones start and fail with the reason. If the load as a whole fails, its files are tried one by
-    one, so that one that cannot be read does not hold back the others.
+    their rows survive; unusable ones start and fail with the reason. If the load as a whole fails, its halves are tried, so that
+    one file that cannot be read does not hold back the others. With `key_index` copies of rows of earlier loads are dropped.
     """
     def record(facts: list[dict], *kinds: str) -> None:
         seq = ledger.next_seq(spark, ledger_path)
@@ -44,7 +46,7 @@ def load_files(spark: SparkSession, paths: list[str], gold_path: str, ledger_pat
         facts = _with_counts(landing)
         record(facts, "start")
         names = [f["file_name"] for f in facts]
-        write_gold(incident.gold_or_refused(incident.silver(landing.frames)), gold_path, mode="replace", files=names)
+        write_gold(incident.gold_or_refused(incident.silver(landing.frames, key_index=key_index, files=names)), gold_path, mode="replace", files=names)
         record(facts, "complete")
         stored = scan_gold(spark, gold_path).where(F.col(SOURCE_FILE).isin(names))
         stats = aggregates.file_load_stats(stored).drop("record_count").withColumnRenamed(SOURCE_FILE, "file_name")
@@ -54,8 +56,9 @@ def load_files(spark: SparkSession, paths: list[str], gold_path: str, ledger_pat
         ledger.append_events(ledger.event(done, "gold_complete", seq, record_count=F.col("record_count"), last_timestamp=F.col("last_timestamp")), ledger_path)
     except (PySparkException, OSError) as e:
         if len(paths) > 1:
-            for path in paths:
-                load_files(spark, [path], gold_path, ledger_path, scan)
+            half = len(paths) // 2
+            for part in (paths[:half], paths[half:]):
+                load_files(spark, part, gold_path, ledger_path, scan, key_index)
         else:
             record([{"file_name": paths[0].rsplit("/", 1)[-1], "reason": str(e)}], "start", "fail")
 
@@ -82,6 +85,7 @@ def load_arrivals(
     max_files: int = 1000,
     scan: Scan = scan_landing,
     retry_failed: bool = False,
+    key_index: str | None = None,
 ):
     """Start the stream and return its query; it ends when the files present now are loaded.
 
@@ -106,7 +110,7 @@ def load_arrivals(
         open_ones = seen.where("status <> 'in_progress'")
         files = joins.unseen_files(batch, open_ones, retry_failed).select("path").collect()  # at most max_files
         if files:
-            load_files(session, [r["path"] for r in files], gold_path, ledger_path, scan)
+            load_files(session, [r["path"] for r in files], gold_path, ledger_path, scan, key_index)
 
     return (
         arrivals.writeStream.foreachBatch(load)

@@ -123,7 +123,7 @@ def test_a_batch_that_is_cut_off(spark, landing, monkeypatch, cut):  # noqa: F81
     whole, base = shared_dir(spark, "whole"), shared_dir(spark, "cut")
     run(whole)
 
-    real_publish, real_append, calls = gold_io._publish, ledger.append_events, []
+    real_publish, real_append, calls = gold_io.publish, ledger.append_events, []
 
     def publish(entries, path):
         if cut == "before entries":
@@ -137,7 +137,7 @@ def test_a_batch_that_is_cut_off(spark, landing, monkeypatch, cut):  # noqa: F81
         real_append(events, path)
 
     with monkeypatch.context() as m:
-        m.setattr(gold_io, "_publish", publish)
+        m.setattr(gold_io, "publish", publish)
         m.setattr(ledger, "append_events", append)
         with pytest.raises(RuntimeError):
             load_files(spark, sorted(str(p) for p in landing.glob("*.csv")), f"{base}/gold", f"{base}/ledger")
