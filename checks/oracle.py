@@ -496,6 +496,14 @@ def oracles() -> dict[str, str]:
     o["a3_non_null_counts"] = on_gold(
         "select count(*) as total, count(h3_index) as with_cell, count(latitude) as with_point from gold")
     o["a4_distinct_cells"] = on_gold("select count(distinct h3_index) as distinct_cells from gold")
+    o["a4_distinct_over_loads"] = on_gold("""
+        select dataset_type, count(*) as crime_count, count(distinct h3_index) as exact_cells,
+          count(distinct (h3_index, date_trunc('hour', occurred_at))) as exact_hours,
+          true as distinct_cells_near, true as distinct_cell_hours_near from gold group by all""")
+    o["a4_shared_cells"] = on_gold(f"""
+        select count(*) filter (sides = 2) as exact_shared, count(*) as exact_all, true as shared_near, true as all_near
+        from (select h3_index, count(distinct dataset_type) as sides from gold
+          where dataset_type in ('{MCI}', '{SHOOTINGS}') group by all)""")
     o["a5_date_range"] = on_gold("select min(occurred_at) as first_at, max(occurred_at) as last_at from gold")
     o["a6_type_distribution"] = on_gold("select crime_type, count(*) as crime_count from gold group by all")
     o["a7_rows_per_file"] = on_gold("select source_file, count(*) as crime_count from gold group by all")
@@ -534,6 +542,9 @@ def oracles() -> dict[str, str]:
     o["w1_dedup_across_files"] = on_cleaned("""
         select pos, id, source_file from cleaned
         qualify row_number() over (partition by id order by source_file, pos) = 1""")
+    o["w1_dedup_across_loads"] = on_cleaned("""
+        select pos, id, source_file, length(source_file) % 3 as load from cleaned
+        qualify row_number() over (partition by id order by length(source_file) % 3, source_file, pos) = 1""")
     for name, col in (
         ("w2_last_1h", "crimes_last_1h"), ("w3_last_24h", "crimes_last_24h"), ("w4_last_7d", "crimes_last_7d"),
         ("w5_same_hour_last_week", "same_hour_last_week"), ("w6_rolling_avg_30d", "rolling_avg_30d"),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hexwatch.functions import hexcover, hexgrid, metrics_json, naming, numbers, text, times
-from hexwatch.operators import aggregates, boosting, clean, columns, features, joins, ledger, load, model, quality
+from hexwatch.operators import aggregates, boosting, clean, columns, features, joins, keyindex, ledger, load, model, quality, sketches
 from hexwatch.plans import incident, testview
 from hexwatch.plans.testview import raw_incidents, table
 from hexwatch.session import shared_dir
@@ -534,6 +534,43 @@ def a4_distinct_cells(spark, sf):
     return aggregates.summary(gold(spark, sf)).select("distinct_cells")
 
 
+@query
+def a4_distinct_over_loads(spark, sf):
+    """Three loads by month, sketched one after the other; rows are exact, distinct counts within four standard errors of the rows'."""
+    base = shared_dir(spark, "sketched-loads")
+    rows = _stored(gold(spark, sf), "gold-rows")
+    for part in range(3):
+        gold_io.write_gold(rows.where(F.month("occurred_at") % 3 == part), f"{base}/gold", mode="append")
+        sketches.update(spark, f"{base}/gold", f"{base}/sketches")
+    merged = sketches.distinct_counts(sketches.current(spark, f"{base}/gold", f"{base}/sketches"), "dataset_type")
+    exact = rows.groupBy("dataset_type").agg(
+        F.countDistinct("h3_index").alias("exact_cells"), F.countDistinct("h3_index", times.hour_start(F.col("occurred_at"))).alias("exact_hours"))
+
+    def near(estimate: str, count: str):
+        return (F.abs(F.col(estimate) - F.col(count)) <= 4 * sketches.ERROR * F.col(count)).alias(f"{estimate}_near")
+
+    both = merged.join(exact.withColumnRenamed("dataset_type", "type"), F.col("dataset_type").eqNullSafe(F.col("type")))
+    return both.select(
+        "dataset_type", "crime_count", "exact_cells", "exact_hours", near("distinct_cells", "exact_cells"), near("distinct_cell_hours", "exact_hours"))
+
+
+@query
+def a4_shared_cells(spark, sf):
+    """Cells that two datasets share, by intersected sketches."""
+    base = shared_dir(spark, "shared-cells")
+    rows = _stored(gold(spark, sf), "gold-rows")
+    gold_io.write_gold(rows, f"{base}/gold")
+    sketches.update(spark, f"{base}/gold", f"{base}/sketches")
+    merged = sketches.shared_cells(sketches.current(spark, f"{base}/gold", f"{base}/sketches"), MCI, SHOOTINGS)
+    sides = rows.where(F.col("dataset_type").isin(MCI, SHOOTINGS)).groupBy("h3_index").agg(F.countDistinct("dataset_type").alias("sides"))
+    exact = sides.agg(F.count_if(F.col("sides") == 2).alias("exact_shared"), F.count("*").alias("exact_all"))
+    allowed = 4 * sketches.ERROR * F.col("exact_all")
+    both = exact.unionByName(merged, allowMissingColumns=True)
+    return both.agg(*(F.max(c).alias(c) for c in both.columns)).select(
+        "exact_shared", "exact_all", (F.abs(F.col("shared_cells") - F.col("exact_shared")) <= allowed).alias("shared_near"),
+        (F.abs(F.col("all_cells") - F.col("exact_all")) <= allowed).alias("all_near"))
+
+
 @query
 def a5_date_range(spark, sf):
     return plain(aggregates.summary(gold(spark, sf)).select("first_at", "last_at"))
@@ -616,6 +653,21 @@ def w1_dedup_across_files(spark, sf):
     return with_pos(clean.dedup_first(cleaned(spark, sf), across_files=True), F.col(RAW_KEY).alias("id"), "source_file")
 
 
+@query
+def w1_dedup_across_loads(spark, sf):
+    """The files come in three loads; a copy in a later one is dropped, and loading the second again changes nothing."""
+    base = shared_dir(spark, "across-loads")
+    rows = _stored(cleaned(spark, sf), "cleaned")
+    per_file = rows.groupBy("source_file").agg((F.length("source_file") % 3).alias("load")).collect()
+    for load in (0, 1, 2, 1):
+        files = [r["source_file"] for r in per_file if r["load"] == load]
+        first = clean.dedup_first(rows.where(F.length("source_file") % 3 == load), across_files=True)
+        kept = keyindex.drop_known(first, f"{base}/keys", files)
+        kept.write.mode("overwrite").parquet(f"{base}/rows/load={load}")
+        keyindex.add_keys(spark.read.schema(rows.schema).parquet(f"{base}/rows/load={load}"), f"{base}/keys", files)
+    return with_pos(spark.read.parquet(f"{base}/rows"), F.col(RAW_KEY).alias("id"), "source_file", F.col("load").cast("bigint").alias("load"))
+
+
 def _lookback(name: str, col: str) -> None:
     def run(spark, sf):
         return plain(features.with_lookbacks(counts(spark, sf)).select("h3_index", "hour_no", col))
