@@ -12,12 +12,16 @@ with the same payload digest.
 Defined results of `records`: a null html is an empty payload; payloads under 100 bytes are always responses; of equal longer
 ones the rows with the smallest page_id are responses (several if that id repeats), also all of them if every id is null; a null url
 leaves out the target header; control characters in header values are percent-encoded; an empty table writes no records and
-reads as no rows.
+reads as no rows; html of any length is written whole; columns other than the three named are ignored, whatever their names.
+
+Archives from elsewhere: see `header_fields` and `http_payload`; a record without a content length is an error that names it, since
+what follows it cannot be found.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -29,13 +33,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualNullSafe, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, In, InputPartition, IsNotNull, LessThan, LessThanOrEqual, StringStartsWith, WriterCommitMessage
 
-from hexwatch.llm.common import column
+from hexwatch.llm.common import column, stored
 
 MIN_REVISIT_BYTES = 100
 FILE_BYTES = 256 << 20
 READ_BYTES = 1 << 20
 BATCH_BYTES = 8 << 20
 SALTS = 16
+#: Digest and id are some 100 bytes.
+MAX_BROADCAST_DIGESTS = 200_000
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 #: Fixed values of the format.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -135,11 +141,13 @@ class RecordStream:
                 if bytes(self.buffer[self.at :]).strip():
                     raise ValueError("archive ends inside a header")
                 return None
-        lines = bytes(self.buffer[self.at : end]).decode("utf-8").split("\r\n")
+        first, fields = header_fields(bytes(self.buffer[self.at : end]))
         self.at = end + 4
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"not a record: {lines[0][:80]!r}")
-        return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines[1:])}
+        if not first.startswith("WARC/"):
+            raise ValueError(f"not a record: {first[:80]!r}")
+        if not fields.get("content-length", "").isdigit():
+            raise ValueError(f"record without a content length: {fields.get('warc-record-id')}")
+        return fields
 
     def block(self, length: int) -> bytes:
         parts, left = [], length
@@ -162,6 +170,59 @@ class RecordStream:
                 raise ValueError("archive ends inside a block")
 
 
+def header_fields(block: bytes) -> tuple[str, dict[str, str]]:
+    """The first line and the headers by lower-cased name. Bytes that are not UTF-8 are Latin-1; a line that begins with white space goes
+    on with the one before it."""
+    try:
+        text = block.decode("utf-8")
+    except UnicodeDecodeError:
+        text = block.decode("latin-1")
+    first, *lines = re.sub(r"\r?\n[ \t]+", " ", text).replace("\r\n", "\n").split("\n")
+    return first, {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+
+
+def http_payload(block: bytes) -> bytes:
+    """The body of an HTTP message as its reader gets it: chunks joined, gzip and deflate undone. A block that does not begin like a message
+    is all body, one that does and has no blank line has none. A body in another coding, or damaged, stays as stored."""
+    if not block.startswith((b"HTTP/", b"GET ", b"POST ", b"HEAD ", b"PUT ")):
+        return block
+    end = re.search(rb"\r?\n\r?\n", block)
+    if end is None:
+        return b""
+    _, fields = header_fields(block[: end.start()])
+    body = block[end.end() :]
+    if fields.get("transfer-encoding", "").lower() == "chunked":
+        body = joined_chunks(body)
+    if fields.get("content-encoding", "").lower() in ("gzip", "x-gzip", "deflate"):
+        for bits in (47, -15):  # with a gzip or zlib head, and bare
+            unpacker = zlib.decompressobj(bits)
+            try:
+                whole = unpacker.decompress(body) + unpacker.flush()
+            except zlib.error:
+                continue
+            if unpacker.eof:
+                return whole
+            break
+    return body
+
+
+def joined_chunks(body: bytes) -> bytes:
+    """A chunked body without its chunk lines; unchanged if it does not have the form of one."""
+    parts, at = [], 0
+    while (line := body.find(b"\r\n", at)) >= 0:
+        size = body[at:line].partition(b";")[0].strip()
+        if not re.fullmatch(rb"[0-9A-Fa-f]+", size):
+            return body
+        length = int(size, 16)
+        if length == 0:
+            return b"".join(parts)
+        if body[line + 2 + length : line + 4 + length] != b"\r\n":
+            return body
+        parts.append(body[line + 2 : line + 2 + length])
+        at = line + 4 + length
+    return body
+
+
 def from_headers(head: dict[str, str]) -> dict:
     number = lambda k: int(head[k]) if head.get(k, "").lstrip("-").isdigit() else None
     digest = head.get("warc-payload-digest", "")
@@ -234,7 +295,7 @@ class WarcReader(DataSourceReader):
                 else:
                     body = stream.block(length)
                     if "application/http" in head.get("content-type", ""):
-                        body = body[body.find(b"\r\n\r\n") + 4 :]
+                        body = http_payload(body)
                     row["payload"] = body
                     held += len(body)
                 if wanted:
@@ -329,16 +390,21 @@ def as_uri(path: str) -> str:
 def records(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Rows for the writer: of equal payloads of 100 bytes or more the smallest page id is the response.
 
-    The join deals pages by digest and salt, so that one payload of a third of all pages does not meet in one task.
+    Repeated digests, one row each, are stored and counted: while they are few the pages stay where they are, and beyond that they
+    are dealt by digest and salt, so that one payload of a third of all pages does not meet in one task.
     """
     text = F.coalesce(column(pages, html), F.lit(""))
     base = pages.select(column(pages, page_id).cast("long").alias("page_id"), column(pages, url).alias("url"), text.cast("binary").alias("payload"))
     base = base.select("page_id", "url", "payload", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha2("payload", 256).alias("payload_digest"))
     long = base.where(F.col("payload_bytes") >= MIN_REVISIT_BYTES)
     first = long.groupBy("payload_digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 and first is not null")
-    first = first.select("payload_digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = base.withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    joined = salted.join(first, ["payload_digest", "salt"], "left")
+    first = stored(first.select("payload_digest", "first"), "repeated-digests")
+    if first.count() <= MAX_BROADCAST_DIGESTS:
+        joined = base.join(F.broadcast(first), "payload_digest", "left")
+    else:
+        first = first.select("payload_digest", "first", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+        place = F.pmod(F.xxhash64(F.coalesce("page_id", F.xxhash64("url"))), F.lit(SALTS)).cast("int")
+        joined = base.withColumn("salt", place).join(first, ["payload_digest", "salt"], "left")
     refers = F.when((F.col("payload_bytes") >= MIN_REVISIT_BYTES) & (~F.col("page_id").eqNullSafe(F.col("first"))), F.col("first"))
     rows = joined.select("page_id", "url", "payload", "payload_bytes", "payload_digest", refers.alias("refers_to"))
     return rows.withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload")))

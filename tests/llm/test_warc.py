@@ -1,6 +1,8 @@
+import gzip
 import hashlib
 import pathlib
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -82,3 +84,54 @@ def test_empty(spark):
     path = shared_dir(spark, "warc-empty")
     warc.write(warc.records(spark.createDataFrame([], "page_id long, url string, html string")), path)
     assert warc.read(spark, path).count() == 0
+
+
+GZIP = gzip.compress(b"packed body")
+DEFLATE = zlib.compress(b"deflated")
+BARE = zlib.compress(b"bare deflated")[2:-4]
+FOREIGN = [
+    (b"no message at all", b"no message at all"),
+    (b"HTTP/1.1 204 No Content\r\nServer: x", b""),
+    (b"HTTP/1.1 200 OK\n\nline ends alone", b"line ends alone"),
+    (b"HTTP/1.1 200 OK\r\nServer: caf\xe9\r\n\r\nlatin", b"latin"),
+    (b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n4;x=y\r\nabcd\r\nA\r\n0123456789\r\n0\r\n\r\n", b"abcd0123456789"),
+    (b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\nnot chunks\r\n", b"not chunks\r\n"),
+    (b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\n\r\n9\r\ncut", b"9\r\ncut"),
+    (b"HTTP/1.1 200 OK\r\nContent-Encoding:\r\n gzip\r\n\r\n" + GZIP, b"packed body"),
+    (b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\n\r\n" + GZIP[:-9], GZIP[:-9]),
+    (b"HTTP/1.1 200 OK\r\nContent-Encoding: gzip\r\n\r\nplain after all", b"plain after all"),
+    (b"HTTP/1.1 200 OK\r\nContent-Encoding: deflate\r\n\r\n" + DEFLATE, b"deflated"),
+    (b"HTTP/1.1 200 OK\r\nContent-Encoding: deflate\r\n\r\n" + BARE, b"bare deflated"),
+    (b"HTTP/1.1 200 OK\r\nContent-Encoding: br\r\n\r\nstays", b"stays"),
+]
+
+
+def test_archives_from_elsewhere(spark, tmp_path):
+    """Plain and compressed files without manifest, odd headers and codings."""
+    for k, pack in enumerate((bytes, gzip.compress)):
+        with open(tmp_path / f"f{k}.warc{'.gz' if k else ''}", "wb") as out:
+            for n, (block, _) in enumerate(FOREIGN):
+                head = f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <r{n}>\r\nX-Note: \u00e9\r\n\tfolded\r\n".encode("latin-1")
+                head += b"Content-Type: application/http; msgtype=response\r\nContent-Length: %d\r\n\r\n" % len(block)
+                out.write(pack(head + block + b"\r\n\r\n"))
+    got = sorted((r["record_id"], bytes(r["payload"])) for r in warc.read(spark, str(tmp_path)).collect())
+    assert got == sorted((f"<r{n}>", body) for n, (_, body) in enumerate(FOREIGN) for _ in range(2))
+
+
+def test_a_record_without_length_is_named(spark, tmp_path):
+    (tmp_path / "x.warc").write_bytes(b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <lost>\r\n\r\nabc\r\n\r\n")
+    with pytest.raises(Exception, match="without a content length: <lost>"):
+        warc.read(spark, str(tmp_path)).collect()
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_many_repeated_digests(spark, monkeypatch, most):
+    """The same records whether repeated digests are broadcast or dealt by salt."""
+    monkeypatch.setattr(warc, "MAX_BROADCAST_DIGESTS", most)
+    pages = spark.createDataFrame(PAGES, "page_id long, url string, html string")
+    rows = warc.records(pages).select("page_id", "url", "refers_to", "payload_digest", F.col("payload").isNull().alias("bare")).collect()
+    first = {d: min((i for i, _, h in PAGES if i is not None and hashlib.sha256((h or "").encode()).hexdigest() == d), default=None) for d in {r["payload_digest"] for r in rows}}
+    assert len(rows) == len(PAGES)
+    for r in rows:
+        revisit = first[r["payload_digest"]] == 1 and r["page_id"] != 1
+        assert (r["refers_to"], r["bare"]) == ((1, True) if revisit else (None, False))
