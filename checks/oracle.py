@@ -690,6 +690,10 @@ def oracles() -> dict[str, str]:
             **hex_ctes("select latitude as lat, longitude as lon from kept")}, """
         select cell as name, count(*) as n from kept join hexes on latitude = lat and longitude = lon group by all
         union all select 'no coordinate columns in [''o_orderkey'', ''o_totalprice'']', 1""")
+    o["s1_stored_manifest"] = sql({**{k: CTE[k] for k in ("raw", "cleaned")}, "kept": f"select * from cleaned where {IN_BOX} and {COMPLETE}",
+            **hex_ctes("select latitude as lat, longitude as lon from kept")}, """
+        select cell as h3_index, count(*) as n from kept join hexes on latitude = lat and longitude = lon group by all
+        union all select 'read twice', 0 union all select 'raw rows', count(*) from raw""")
     o["s2_split_scan"] = on_raw("select pos, true as in_order from raw")
     o["s6_replace_changed_type"] = on_cleaned(f"""
         select source_file, dataset_type, count(*) as n, case when crime_type = 'Robbery' then 'refused' else 'kept' end as part

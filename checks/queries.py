@@ -208,6 +208,22 @@ def s1_mixed_landing(spark, sf):
     return cells.union(aside.distinct())
 
 
+@query
+def s1_stored_manifest(spark, sf):
+    """Two deliveries, each scanned when it has come: the second scan reads only its own text for encodings and layouts, and no file's facts
+    are stored twice."""
+    out, facts = shared_dir(spark, "delivered"), shared_dir(spark, "manifest")
+    rows = _stored(raw(spark, sf).withColumn(RAW_KEY, F.col(ROW_POS).cast("string")), "raw-rows")
+    for part in range(2):
+        _write_csv(rows.where(F.col(ROW_POS) % 2 == part).drop("source_file", ROW_POS), f"{out}/part{part}")
+        cells = incident.pipeline(spark, out, manifest=facts).groupBy("h3_index").agg(F.count(F.lit(1)).alias("n"))
+    known = spark.read.schema(bronze.MANIFEST_SCHEMA).parquet(facts)
+    twice = known.groupBy("path").agg(F.count(F.lit(1)).alias("times")).agg(F.count_if(F.col("times") > 1).alias("n"))
+    lines = known.agg(F.sum(F.greatest(F.col("lines") - 1, F.lit(0))).alias("n"))
+    extra = twice.select(F.lit("read twice").alias("h3_index"), "n").union(lines.select(F.lit("raw rows").alias("h3_index"), "n"))
+    return cells.union(extra)
+
+
 @query
 def s2_split_scan(spark, sf):
     """A file read in many splits keeps its row order: the position numbers the rows in the order written."""

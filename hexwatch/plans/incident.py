@@ -74,16 +74,16 @@ def gold_or_refused(silver_df: DataFrame, source_tz: str | None = None) -> DataF
 
 def pipeline(
     spark: SparkSession, paths, multi_line: bool | None = None, encoding: str | None = None, source_tz: str | None = None,
-    latest_only: bool = False, **options,
+    latest_only: bool = False, manifest: str | None = None, **options,
 ) -> DataFrame:
     """All raw files under `paths`, or with `latest_only` the newest of each dataset, to the gold schema.
 
     Files whose header lacks needed columns are left out; `sources.bronze.scan_landing` names them. No usable file gives an
-    empty table. Further options are those of `silver`.
+    empty table. `manifest` is the folder of known file facts, see there. Further options are those of `silver`.
     """
     if latest_only:
         paths = [exact(r["path"]) for r in latest_file(list_files(spark, paths)).select("path").collect()]
-    frames = scan_landing(spark, paths, encoding, multi_line).frames if paths else []
+    frames = scan_landing(spark, paths, encoding, multi_line, manifest=manifest).frames if paths else []
     if not frames:
         return spark.createDataFrame([], GOLD_SCHEMA).select(*load.GOLD_COLUMNS, "geom")
     return gold(silver(frames, **options), source_tz)

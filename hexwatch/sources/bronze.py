@@ -14,6 +14,7 @@ import re
 from collections.abc import Iterable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,10 @@ from hexwatch.settings import DATASETS, LAT_NAMES, LON_NAMES
 ROW_POS = "_row_pos"
 SOURCE_FILE = "source_file"
 PATTERN = "*.csv"
+MANIFEST_SCHEMA = (
+    "path string, modified_at timestamp, bytes bigint, lines bigint, is_utf8 boolean, unpaired_quotes boolean, "
+    "unterminated_quote boolean, layout bigint, header_cells int, most_cells int"
+)
 UNUSABLE_SCHEMA = "path string, file_name string, reason string"
 
 
@@ -119,6 +124,32 @@ def file_manifest(spark: SparkSession, paths: str | Iterable[str], pattern: str
     )
 
 
+def stored_manifest(spark: SparkSession, paths: str | Iterable[str], manifest: str, pattern: str = PATTERN) -> DataFrame:
+    """As `file_manifest`, with the facts kept in the folder `manifest` by path, time and size: only text that it does not know is read.
+
+    A file that was written anew has another time or size and is read again. Two scans at once may both store a file's facts, which
+    are equal then.
+    """
+    listed = list_files(spark, paths, pattern).select("path", "modified_at", "bytes")
+    keys = listed.columns
+    unseen = listed.join(_known_facts(spark, manifest), keys, "left_anti").collect()  # files whose text is about to be read
+    if unseen:
+        facts = file_manifest(spark, [exact(r["path"]) for r in unseen], "*")
+        # Files without a line have no facts of their own and are remembered too.
+        found = spark.createDataFrame(unseen, listed.schema).join(facts, "path", "left")
+        found.write.mode("append").parquet(manifest)
+    return listed.join(_known_facts(spark, manifest).dropDuplicates(keys), keys)
+
+
+def _known_facts(spark: SparkSession, manifest: str) -> DataFrame:
+    try:
+        return spark.read.schema(MANIFEST_SCHEMA).parquet(manifest)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST_SCHEMA)
+
+
 def header_of(spark: SparkSession, path: str, encoding: str) -> list[str]:
     """The names in a file's first line, as written; none if a name holds a line break."""
     first = spark.read.text(exact(path)).select(F.col("value").cast("binary").alias("line")).first()
@@ -200,21 +231,23 @@ def why_unusable(columns: list[str]) -> str | None:
 
 def scan_landing(
     spark: SparkSession, paths: str | Iterable[str], encoding: str | None = None, multi_line: bool | None = None,
-    pattern: str = PATTERN, check: bool = True,
+    pattern: str = PATTERN, check: bool = True, manifest: str | None = None,
 ) -> Landing:
     """All files that match, one frame per (header layout, encoding, line breaks in cells), and those set aside.
 
     Files of which rows would be lost without a word (a quote without its end, rows with more cells than the header) are set aside
     with the reason. Encodings are decided per file, UTF-8 when all of it is valid, else Latin-1 (which accepts any bytes); whether
     cells hold line breaks is decided by unpaired quotes, and only such files are read whole by one task. Give `encoding`
-    or `multi_line` when they are known. Rows are told apart by file name, so equal names in two folders are an error.
+    or `multi_line` when they are known. Rows are told apart by file name, so equal names in two folders are an error. With `manifest`, a
+    folder, what is found about a file is kept there, and later scans read only the text of new and changed files for it.
     """
     listed = {r["path"]: r for r in list_files(spark, paths, pattern).select("path", "file_name", "bytes", "dataset_type").collect()}
     by_name: dict[str, str] = {}
     for path, row in sorted(listed.items()):
         if by_name.setdefault(row["file_name"], path) != path:
             raise ValueError(f"files of equal name: {by_name[row['file_name']]} and {path}")
-    known = {} if not listed else {r["path"]: r for r in file_manifest(spark, paths, pattern).collect()}
+    facts_of = file_manifest(spark, paths, pattern) if manifest is None else stored_manifest(spark, paths, manifest, pattern)
+    known = {} if not listed else {r["path"]: r for r in facts_of.collect()}
     groups: dict[tuple, list[str]] = {}
     files, unusable = [], []
     for path, row in sorted(listed.items()):

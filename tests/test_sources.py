@@ -245,3 +245,30 @@ def test_damaged_files_are_set_aside(spark, tmp_path):
     counts = {r[0]: r[1] for f in landing.frames for r in f.groupBy("source_file").count().collect()}
     assert counts == {"major-crime-indicators_1.csv": 1, "quoted_comma_4.csv": 3, "break_5.csv": 2}
     assert {f["file_name"]: f["record_count"] for f in landing.files} == {"major-crime-indicators_1.csv": 1, "quoted_comma_4.csv": 3, "break_5.csv": None}
+
+
+def test_stored_manifest(spark, landing, monkeypatch):
+    """The same scan with and without; text is read once per file and time, also of damaged and empty files."""
+    facts, read = shared_dir(spark, "manifest"), []
+    real = bronze.file_manifest
+    monkeypatch.setattr(bronze, "file_manifest", lambda spark, paths, pattern="*.csv": read.append(paths) or real(spark, paths, pattern))
+
+    def scan(**options):
+        got = bronze.scan_landing(spark, str(landing), **options)
+        return got.files, got.unusable, sorted(map(repr, rows(bronze.union_layouts(got.frames))))
+
+    def names():
+        return sorted(p.rsplit("/", 1)[-1] for p in read.pop())
+
+    (landing / "cut.csv").write_text(f'{HEADER}\nE1,2024-01-01,5,43.7,-79.4,Assault,"x,y\n')
+    (landing / "one line.csv").write_text("\n")
+    assert scan(manifest=facts) == scan() and len(read) == 2
+    read.pop()
+    assert names() == sorted([A, B, C, "cut.csv", "one line.csv"])
+    assert scan(manifest=facts)[1] and read == []
+    late = "assault_20240105_000000.csv"
+    (landing / late).write_text(f"{HEADER}\nE9,2024-01-05,5,43.70,-79.40,Assault,x,y\n")
+    (landing / "cut.csv").write_text(f"{HEADER}\nE1,2024-01-01,5,43.7,-79.4,Assault,x,y\n")
+    with_facts = scan(manifest=facts)
+    assert names() == [late, "cut.csv"] and read == []
+    assert with_facts == scan() and [u["file_name"] for u in with_facts[1]] == ["one line.csv"]
