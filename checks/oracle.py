@@ -660,6 +660,17 @@ def oracles() -> dict[str, str]:
         select {parent(7)} as h3_index, count(*) as crime_count from gold where latitude between 43.6 and 43.75
           and longitude between -79.5 and -79.3 and occurred_at >= timestamp '2024-01-05'
           and occurred_at < timestamp '2024-01-20' group by all""")
+    axial = """axial as (
+          select h3_index, any_value(a) as a, any_value(b) as b, count(*) as n from gold join (select lat, lon, a, b from climb where q = 9)
+            on latitude = lat and longitude = lon where {} group by h3_index),
+        near as (select x.h3_index, y.h3_index as ring_cell, x.n, y.n as ring_n from axial x
+          cross join (values (0, 0), (1, 0), (0, 1), (1, 1), (-1, 0), (0, -1), (-1, -1)) as o(da, db)
+          join axial y on y.a = x.a + da and y.b = x.b + db)"""
+    o["h1_ring_pairs"] = on_gold(f"select * from (with {axial.format('true')} select * from near where h3_index <> ring_cell)")
+    map_box = """latitude between 43.6 and 43.75 and longitude between -79.5 and -79.3
+          and occurred_at >= timestamp '2024-01-05' and occurred_at < timestamp '2024-01-20'"""
+    o["m7_heatmap_smoothed"] = on_gold(f"""select * from (with {axial.format(map_box)}
+        select h3_index, any_value(n) as crime_count, sum(ring_n) as with_ring from near group by h3_index)""")
     o["m7_heatmap_counts"] = on_gold("""
         select h3_index, count(*) as crime_count from gold where latitude between 43.6 and 43.75
           and longitude between -79.5 and -79.3 and occurred_at >= timestamp '2024-01-05'

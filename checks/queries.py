@@ -1155,6 +1155,20 @@ def m7_heatmap_rollup(spark, sf):
     return model.heatmap_counts(_stored_gold(spark, sf), MAP_BOX, _day("2024-01-05"), _day("2024-01-20"), by_cell=True, res=7)
 
 
+@query
+def m7_heatmap_smoothed(spark, sf):
+    counts = model.heatmap_counts(gold(spark, sf), MAP_BOX, _day("2024-01-05"), _day("2024-01-20"))
+    return model.heatmap_smoothed(counts)
+
+
+@query
+def h1_ring_pairs(spark, sf):
+    """Pairs of adjacent cells that both hold incidents."""
+    cells = _stored(gold(spark, sf).groupBy("h3_index").agg(F.count(F.lit(1)).alias("n")), "cells")
+    pairs = hexgrid.with_ring(cells)
+    return pairs.join(cells.select(F.col("h3_index").alias("ring_cell"), F.col("n").alias("ring_n")), "ring_cell")
+
+
 @query
 def m7_heatmap_risk(spark, sf):
     scored = _risk_table(spark, sf)

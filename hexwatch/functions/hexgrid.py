@@ -113,9 +113,6 @@ def with_h3(
     depth, a, b = _dot(vec["depth"]), _dot(vec["a"]), _dot(vec["b"])
     on_face = f"{depth} > 0D and {_dot(vec['edge1'])} <= {depth} and {_dot(vec['edge2'])} <= {depth}"
     worst_a = "_ea > _eb and _ea > _ec"
-    prefix = (1 << 59) | (res << 52) | (BASE_CELL << 45)
-    for unused in range(res + 1, 16):
-        prefix |= 7 << (3 * (15 - unused))
     steps = [
         # Unit vector of the point, then its axial coordinates on the face plane.
         [f"cos({phi}) * cos({lam}) as _px", f"cos({phi}) * sin({lam}) as _py", f"sin({phi}) as _pz"],
@@ -125,17 +122,55 @@ def with_h3(
          "cast(floor(_b + 0.5D) as double) as _rb", "cast(floor(_b - _a + 0.5D) as double) as _rc"],
         ["_ra", "_rb", "_rc", "abs(_ra - _a) as _ea", "abs(_rb - _b) as _eb", "abs(_rc - _c) as _ec"],
         [f"case when {worst_a} then _rb - _rc else _ra end as _a",
-         f"case when not ({worst_a}) and _eb > _ec then _ra + _rc else _rb end as _b", f"{prefix}L as _id"],
-        *[_climb(q) for q in range(res, 0, -1)],
+         f"case when not ({worst_a}) and _eb > _ec then _ra + _rc else _rb end as _b", f"{_prefix(res)}L as _id"],
     ]
+    return _with_id(df, keep, steps, out, res)
+
+
+def _prefix(res: int) -> int:
+    """An id of a resolution without its digits."""
+    prefix = (1 << 59) | (res << 52) | (BASE_CELL << 45)
+    for unused in range(res + 1, 16):
+        prefix |= 7 << (3 * (15 - unused))
+    return prefix
+
+
+def _with_id(df: DataFrame, keep: list[str], steps: list[list[str]], out: str, res: int) -> DataFrame:
+    """The steps that end with axial coordinates `_a`, `_b` and an id without digits, then the climb to the base cell."""
     step = df
-    for columns in steps:
+    for columns in [*steps, *[_climb(q) for q in range(res, 0, -1)]]:
         step = step.selectExpr(*keep, *columns)
     inside = f"_a = {BASE_AXIAL[0]}D and _b = {BASE_AXIAL[1]}D"
     cell = f"inline(array(named_struct('{out}', case when {inside} then lower(hex(_id)) end)))"
     return step.selectExpr(*keep, cell)
 
 
+def _descend(q: int) -> list[str]:
+    """Axial coordinates at resolution q of the child that an id's digit names: the centre child's, by the inverse of the parent
+    division, and the digit's offset, looked up by shifting."""
+    digit = f"cast(shiftright(_id, {3 * (15 - q)}) & 7L as int)"
+    offset = [sum((o[axis] + 1) << (2 * d) for d, o in DIGIT_OFFSET.items()) for axis in (0, 1)]
+    a, b = ("2D * _a + _b", "3D * _b - _a") if q % 2 else ("3D * _a - _b", "_a + 2D * _b")
+    return ["_id", *(f"{centre} + cast((shiftright({packed}, 2 * {digit}) & 3) - 1 as double) as {name}" for centre, packed, name in ((a, offset[0], "_a"), (b, offset[1], "_b")))]
+
+
+def with_ring(df: DataFrame, cell: str = "h3_index", out: str = "ring_cell", res: int = H3_RESOLUTION, own: bool = False) -> DataFrame:
+    """One row for each of the six cells around a cell, and with `own` one for itself: down the digits to the axial coordinates, one axial
+    step, and up again, which is the carry from digit to digit. NULL for a NULL cell and beyond the base cell."""
+    taken = sorted(SCRATCH & {c.lower() for c in df.columns})
+    if taken:
+        raise ValueError(f"column names used inside the cell computation: {taken}")
+    keep = [f"`{c}`" for c in df.columns if c != out]
+    moves = ", ".join(f"named_struct('_da', {a}D, '_db', {b}D)" for d, (a, b) in DIGIT_OFFSET.items() if d or own)
+    steps = [
+        [f"cast(conv(`{cell}`, 16, 10) as bigint) as _id", f"{BASE_AXIAL[0]}D as _a", f"{BASE_AXIAL[1]}D as _b"],
+        *[_descend(q) for q in range(1, res + 1)],
+        ["_id", "_a", "_b", f"inline(array({moves}))"],
+        ["case when _id is not null then _a + _da end as _a", "_b + _db as _b", f"{_prefix(res)}L as _id"],
+    ]
+    return _with_id(df, keep, steps, out, res)
+
+
 def make_point(lon: Column | str, lat: Column | str, srid: int = SRID) -> Column:
     """H2: the point as a plain struct, which every file format can store."""
     lon = F.col(lon) if isinstance(lon, str) else lon

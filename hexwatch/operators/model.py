@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hexwatch.functions.hexcover import in_box_by_cell, parent_cell
+from hexwatch.functions.hexgrid import with_ring
 from hexwatch.functions.metrics_json import metrics_map
 from hexwatch.operators import boosting
 from hexwatch.operators.boosting import BoostedModel
@@ -237,6 +238,15 @@ def heatmap_counts(gold: DataFrame, box: Box, start: Column, end: Column, by_cel
     return inside.groupBy(cell.alias("h3_index")).agg(F.count(F.lit(1)).alias("crime_count"))
 
 
+def heatmap_smoothed(counts: DataFrame, res: int = H3_RESOLUTION) -> DataFrame:
+    """M7 over counts per cell (`h3_index`, `crime_count`): the incidents in each cell with some and in the ring around it. Every count goes
+    to its seven cells before the one exchange; nothing is joined."""
+    spread = with_ring(counts.select("h3_index", "crime_count"), res=res, own=True)
+    mine = F.sum(F.when(F.col("ring_cell") == F.col("h3_index"), F.col("crime_count"))).alias("crime_count")
+    summed = spread.where("ring_cell is not null").groupBy("ring_cell").agg(mine, F.sum("crime_count").alias("with_ring"))
+    return summed.where("crime_count is not null").select(F.col("ring_cell").alias("h3_index"), "crime_count", "with_ring")
+
+
 def heatmap_risk(scored: DataFrame, gold: DataFrame, box: Box, start: Column, end: Column, by_cell: bool = False) -> DataFrame:
     """M7 over risk: mean risk per cell that has incidents in the box."""
     cells = _in_box(gold, box, by_cell).select("h3_index").distinct()

@@ -5,6 +5,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from hexwatch.functions import hexgrid
 from hexwatch.functions.hexgrid import BASE_CELL, FACE_AXIS_AZIMUTH, FACE_LAT, FACE_LON, ODD_ROTATION, UNIT_STEP, with_h3
 
 AXES = np.array([(1.0, 0.0), (-0.5, math.sqrt(3) / 2), (-0.5, -math.sqrt(3) / 2)])
@@ -81,3 +82,27 @@ def test_plan_is_generated_code_and_predicates_stay_out(spark):
     physical = filtered._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in physical
     assert filtered.count() >= 0
+
+
+@pytest.mark.parametrize("res", [8, 9])
+def test_rings(spark, res):
+    """Cells of points a fine step apart are the same or in each other's ring; rings are symmetric and hold six cells."""
+    step, side = (0.0003, 60) if res == 9 else (0.0008, 60)
+    points = spark.createDataFrame(
+        [(i, j, 43.65 + i * step, -79.38 + j * step) for i in range(side) for j in range(side)], "i int, j int, latitude double, longitude double")
+    at = {(r.i, r.j): r.h3_index for r in hexgrid.with_h3(points, res=res).collect()}
+    cells = spark.createDataFrame([(c,) for c in sorted(set(at.values()))] + [(None,)], "h3_index string")
+    ring = {}
+    for r in hexgrid.with_ring(cells, res=res).collect():
+        ring.setdefault(r.h3_index, []).append(r.ring_cell)
+    assert ring.pop(None) == [None] * 6
+    assert all(len(set(found)) == 6 and own not in found and None not in found for own, found in ring.items())
+    assert all(own in ring[other] for own, found in ring.items() for other in found if other in ring)
+    touching = {(at[k], at[n]) for k in at for n in ((k[0] + 1, k[1]), (k[0], k[1] + 1)) if n in at and at[k] != at[n]}
+    assert len(touching) > 100 and all(b in ring[a] for a, b in touching)
+
+
+def test_ring_with_itself(spark):
+    cell = hexgrid.with_h3(spark.sql("select 43.7 as latitude, -79.4 as longitude")).select("h3_index")
+    own, around = (hexgrid.with_ring(cell, own=o).collect() for o in (True, False))
+    assert {r.ring_cell for r in own} == {r.ring_cell for r in around} | {own[0].h3_index} and len(own) == 7
