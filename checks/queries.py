@@ -1224,12 +1224,17 @@ def r1_ledger(spark, sf):
     return state.join(loaded, "dataset_type", "left").select("dataset_type", "status", "error_message", raw_rows.alias("raw_rows"), F.coalesce("gold_rows", F.lit(0)).alias("gold_rows"))
 
 
+def _live_cleaned(spark, sf):
+    """The cleaned rows as a stream. Rows are dealt out before cleaning, which else runs in as many tasks as the file has splits."""
+    events = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    events = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return incident.cleaned(testview.raw_from(events, table(spark, sf, "nation")))
+
+
 @query
 def r2_live_counts(spark, sf):
     base = shared_dir(spark, "live")
-    schema = table(spark, sf, "events").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    rows = incident.cleaned(testview.raw_from(events, table(spark, sf, "nation")))
+    rows = _live_cleaned(spark, sf)
     rows = load.to_gold_schema(load.assign_cells(clean.drop_missing_critical(clean.filter_region(rows))))
     out = live_counts(rows)
     (
@@ -1243,8 +1248,7 @@ def r2_live_counts(spark, sf):
 def r2_live_first_counts(spark, sf):
     """Without copies: the closed hours of A1."""
     base = shared_dir(spark, "live-first")
-    events = spark.readStream.schema(table(spark, sf, "events").schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    rows = hexgrid.with_h3(incident.cleaned(testview.raw_from(events, table(spark, sf, "nation"))))
+    rows = hexgrid.with_h3(_live_cleaned(spark, sf))
     held = clean.in_box(F.col("latitude"), F.col("longitude"))
     for c in SILVER_CRITICAL:
         held = held & F.col(c).isNotNull()

@@ -107,6 +107,28 @@ def test_forgotten_keys(spark):
     assert got == [("a", t, 1), ("a", t + 41 * hour, 1), ("b", t + 40 * hour, 1)]
 
 
+def test_keys_share_state(spark, monkeypatch):
+    """The state has a row per group of keys, not per key; keys of one group stay apart, also nulls and texts that look like them."""
+    from hexwatch.streaming import live_counts as module
+
+    monkeypatch.setattr(module, "GROUPS", 4, raising=False)
+    base, t, hour = shared_dir(spark, "groups"), dt.datetime(2024, 1, 1), dt.timedelta(hours=1)
+    schema = "file string, id string, pos long, h3_index string, crime_type string, occurred_at timestamp"
+    ids = [*(f"k{i}" for i in range(300)), None, "null", "", '"', "x,y"]
+    states = []
+    for batch in ([("f", k, 5, "a", "x", t) for k in ids] * 2, [("f", k, 4, "b", "y", t + hour) for k in ids[::2]], [("g", "end", 1, "b", "q", t + 9 * hour)],
+                  [("g", "end", 2, "b", "q", t + 60 * hour)]):
+        spark.createDataFrame(batch, schema).repartition(3).write.mode("append").parquet(f"{base}/in")
+        out = live_first_counts(spark.readStream.schema(schema).parquet(f"{base}/in"), ["file", "id"], "pos", "4 hours", keep_hours=20)
+        run = out.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/c").trigger(availableNow=True).start()
+        run.awaitTermination()
+        states += [o.numRowsTotal for p in run.recentProgress for o in p.stateOperators if o.operatorName.startswith("transformWithState")]
+    got = sorted(rows(spark.read.parquet(f"{base}/out").select("h3_index", "time_window", "crime_count", "distinct_crime_types")))
+    assert got == [("a", t, len(ids) // 2, 1), ("b", t + hour, len(ids) - len(ids) // 2, 1), ("b", t + 9 * hour, 1, 1)]
+    # What is forgotten leaves the state: only the last key's group is left.
+    assert max(states) == 4 and states[-1] == 1
+
+
 @pytest.mark.parametrize("cut", ["before entries", "before ledger"])
 def test_a_batch_that_is_cut_off(spark, landing, monkeypatch, cut):  # noqa: F811
     """The driver dies half-way through a batch: between rows and entries, or between entries and ledger. The rerun gives the
