@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hexwatch.llm import language, neardup, packing, quality, secrets
 from hexwatch.llm.common import column, fresh, held_out, stored
 from hexwatch.llm.queries import tokenizer_path
+from hexwatch.session import apply_defaults
 
 #: A document of which the best language explains less than this share of the n-grams is rejected.
 MIN_LANGUAGE_SHARE = 0.2
@@ -59,13 +60,13 @@ def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return packing.pack_documents(docs, tokenizer_path("byte_bpe_50k.json"))
 
 
-STAGES = [
-    ("language_id", language_id),
-    ("quality_rules", quality_rules),
-    ("near_duplicates", near_duplicates),
-    ("secret_scan", secret_scan),
-    ("best_fit_packing", best_fit_packing),
-]
+
+def _configured(stage):
+    """The stage under the settings that the package relies on, as its operator's query has them."""
+    return lambda spark, docs, sf_dir: stage(apply_defaults(spark), docs, sf_dir)
+
+
+STAGES = [(f.__name__, _configured(f)) for f in (language_id, quality_rules, near_duplicates, secret_scan, best_fit_packing)]
 
 #: Models, sketches, signatures and packing are not SQL; tests hold the stages against brute force.
 ORACLE_SQL = None

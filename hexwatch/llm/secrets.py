@@ -319,8 +319,8 @@ def suspects(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
         start, end = spans_in(table[data], bounds)
         hit[np.searchsorted(bounds, start[end - start >= least], side="right") - 1] = True
     start, end = spans_in(RUN_CLASS[data], bounds)  # a short token has two dots in a run
-    dots = np.concatenate(([0], np.cumsum(data == ord("."))))
-    token = (end - start >= LEAST_TOKEN) & (dots[end] - dots[start] >= 2)
+    dots = np.flatnonzero(data == ord("."))
+    token = (end - start >= LEAST_TOKEN) & (np.searchsorted(dots, end) - np.searchsorted(dots, start) >= 2)
     hit[np.searchsorted(bounds, start[token], side="right") - 1] = True
     whole = LOWER[data].tobytes()
     for word in (*(w.encode() for w in WORDS), b"akia", b"private key-----"):
@@ -336,7 +336,7 @@ def scan(texts: pa.Array) -> list[list[tuple[str, int, int]]]:
     """All spans of every text, in order."""
     out: list[list[tuple[str, int, int]]] = [[] for _ in range(len(texts))]
     data, bounds = text_bytes(texts)
-    for i, j in blocks(bounds, 4 << 20):
+    for i, j in blocks(bounds):
         own = bounds[i : j + 1]
         for k in suspects(data[own[0] : own[-1]], own - own[0]):
             text = texts[i + int(k)].as_py()

@@ -19,6 +19,8 @@ DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Batches for Python end at this size as well, not at 10,000 texts of any length: executors hold a batch and its result twice.
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
     # Keyed state of any form is kept in this store only.
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }

@@ -29,3 +29,12 @@ def test_odd_and_empty_documents(spark, odd, empty):
         for name, stage in corpus_pipeline.STAGES:
             docs = stored(stage(spark, docs, ""), name)
         docs.count()
+
+
+def test_stages_bound_the_batches(spark):
+    """A stage alone has the package's settings: batches for Python end by bytes, not only by rows."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, "1g")
+    docs = spark.createDataFrame([(1, "text", "en", "s", 4)], "doc_id long, text string, lang string, source string, n_chars int")
+    dict(corpus_pipeline.STAGES)["secret_scan"](spark, docs, "")
+    assert spark.conf.get(key) == "4m"

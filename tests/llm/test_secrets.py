@@ -155,3 +155,21 @@ def test_redaction(docs_of, odd, empty):
     assert secrets.redacted(docs).columns == docs.columns
     assert secrets.redacted(odd).count() == odd.count() and secrets.redacted(empty).count() == 0
     assert secrets.redact("abcdef", [("hex", 0, 3), ("der", 1, 5)]) == "[hex]f"
+
+
+def test_memory_of_a_scan():
+    """Runs of letters take a few bytes a position, whatever the block: executors hold several blocks at once."""
+    import tracemalloc
+
+    import numpy as np
+
+    from hexwatch.llm import secrets
+    from hexwatch.llm.common import spans_in
+
+    data, bounds = np.full(1 << 20, ord(" "), np.uint8), np.array([0, 1 << 20])
+    data[5:50] = ord("a")
+    tracemalloc.start()
+    start, end = spans_in(secrets.RUN_CLASS[data], bounds)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (start.tolist(), end.tolist()) == ([5], [50]) and peak < 6 * len(data)
